@@ -76,11 +76,11 @@ def utc_ts(c) -> Column:
 
 
 def whole_minutes(start, end) -> Column:
-    return F.timestampdiff("MINUTE", col_(start), col_(end))
+    return F.timestamp_diff("MINUTE", col_(start), col_(end))
 
 
 def whole_hours(start, end) -> Column:
-    return F.timestampdiff("HOUR", col_(start), col_(end))
+    return F.timestamp_diff("HOUR", col_(start), col_(end))
 
 
 def as_of_ts(as_of) -> Column:

@@ -18,6 +18,14 @@ AS_OF = "2024-01-31 23:59:59"
 K1, K2, CAP = 3, 2, 2
 
 
+def round6(c):
+    """Round to 6 decimals with plain IEEE steps, so Spark and DuckDB agree bit for bit."""
+    return F.floor(c.cast("double") * 1e6 + 0.5) / 1e6
+
+
+ROUND6_SQL = "floor(cast({c} as double) * 1e6 + 0.5) / 1e6"
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Output types both engines render identically: dates and decimals as text,
     doubles rounded to 6 digits, zone-less timestamps as UTC timestamps."""
@@ -28,7 +36,7 @@ def portable(df: DataFrame) -> DataFrame:
         if isinstance(t, (T.DateType, T.DecimalType)):
             c = c.cast("string")
         elif isinstance(t, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 6)
+            c = round6(c)
         elif isinstance(t, T.TimestampNTZType):
             c = c.cast("timestamp")
         elif isinstance(t, T.IntegerType | T.ShortType | T.ByteType):
