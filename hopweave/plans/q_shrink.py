@@ -1 +1,149 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered shrink/profile queries and their SQL oracles.
+
+Week thinning runs on the dense per-customer order calendar (long idle
+stretches); the light projection and profiles run on the daily build.
+"""
+
+from __future__ import annotations
+
+from hopweave.operators import shrink as p
+from hopweave.plans import q_daily
+from hopweave.plans.registry import register
+from hopweave.sources import fixtures as fx
+
+CAL = ["fx_order_calendar"]
+BASE_COLS = ["address", "day", "normal_total_cnt", "erc20_total_cnt", "internal_in_cnt", "internal_out_cnt",
+             "week", "day_activity"]
+
+
+def _base(spark, sf_dir):
+    return p.p_day_activity(fx.order_calendar(spark, sf_dir))
+
+
+def _runs_sql(strict: bool) -> str:
+    if strict:
+        start = ("case when week_activity = 0 and coalesce(lag(case when week_activity = 0 then 1 else 0 end) "
+                 "over (partition by address order by week), 0) = 0 then 1 else 0 end")
+        part = "address, zero_run_id, is_zero"
+    else:
+        start = ("case when week_activity = 0 and lag(case when week_activity = 0 then 1 else 0 end) "
+                 "over (partition by address order by week) = 0 then 1 else 0 end")
+        part = "address, zero_run_id"
+    return (
+        "WITH base AS (select *, cast(date_trunc('week', day) as date) as week, "
+        "normal_total_cnt + erc20_total_cnt + internal_in_cnt + internal_out_cnt as day_activity from fx_order_calendar), "
+        "wm AS (select address, week, sum(day_activity) as week_activity from base group by all), "
+        f"wr AS (select address, week, week_activity, case when week_activity > 0 then 0 else 1 end as is_zero, "
+        f"{start} as zero_run_start from wm), "
+        "zr AS (select address, week, week_activity, is_zero, sum(case when is_zero = 1 and zero_run_start = 1 then 1 else 0 end) "
+        "over (partition by address order by week rows between unbounded preceding and current row) as zero_run_id from wr), "
+        f"zrr AS (select *, case when is_zero = 1 then row_number() over (partition by {part} order by week) end as zero_idx_in_run, "
+        f"case when is_zero = 1 then count(*) over (partition by {part}) end as zero_run_len from zr), "
+        "wk AS (select address, week, week_activity > 0 as is_active, "
+        "case when is_zero = 1 and (zero_idx_in_run = 1 or zero_idx_in_run = zero_run_len) then true else false end as is_boundary_zero, "
+        "case when is_zero = 1 and zero_run_len >= 3 and (zero_idx_in_run - 1) % 4 = 0 then true else false end as is_sampled_zero "
+        "from zrr), "
+        "kept AS (select address, week from wk where is_active or is_boundary_zero or is_sampled_zero) ")
+
+
+_BASE_OUT = ("select address, cast(day as varchar) as day, normal_total_cnt, erc20_total_cnt, internal_in_cnt, internal_out_cnt, "
+             "cast(week as varchar) as week, cast(day_activity as bigint) as day_activity")
+
+
+@register("p_day_activity", sql=_runs_sql(False) + _BASE_OUT + " from base", fixtures=CAL)
+def q_day_activity(spark, sf_dir):
+    """Week (Monday) and total activity of each day."""
+    return _base(spark, sf_dir).select(*BASE_COLS)
+
+
+@register("p_week_marks", sql=_runs_sql(False) +
+          "select address, cast(week as varchar) as week, cast(week_activity as bigint) as week_activity from wm", fixtures=CAL)
+def q_week_marks(spark, sf_dir):
+    """Activity per (account, week)."""
+    return p.p_week_marks(_base(spark, sf_dir))
+
+
+_RUNS_OUT = ("select address, cast(week as varchar) as week, cast(week_activity as bigint) as week_activity, "
+             "cast(is_zero as bigint) as is_zero, cast(zero_run_id as bigint) as zero_run_id")
+
+
+@register("p_zero_runs", sql=_runs_sql(False) + _RUNS_OUT + " from zr", fixtures=CAL)
+def q_zero_runs(spark, sf_dir):
+    """Zero-run ids, source rule (run id carries over following active weeks)."""
+    return p.p_zero_runs(p.p_week_marks(_base(spark, sf_dir)))
+
+
+@register("p_zero_runs_strict", sql=_runs_sql(True) + _RUNS_OUT + " from zr", fixtures=CAL)
+def q_zero_runs_strict(spark, sf_dir):
+    """Zero-run ids, strict rule (every stretch of zero weeks is a run)."""
+    return p.p_zero_runs(p.p_week_marks(_base(spark, sf_dir)), "strict")
+
+
+@register("p_run_rank", sql=_runs_sql(False) + _RUNS_OUT +
+          ", cast(zero_idx_in_run as bigint) as zero_idx_in_run, cast(zero_run_len as bigint) as zero_run_len from zrr",
+          fixtures=CAL)
+def q_run_rank(spark, sf_dir):
+    """Index inside the run and run length of each zero week."""
+    return p.p_run_rank(p.p_zero_runs(p.p_week_marks(_base(spark, sf_dir))))
+
+
+@register("p_keep_weeks", sql=_runs_sql(False) + _BASE_OUT + " from base b where exists "
+          "(select 1 from kept k where k.address = b.address and k.week = b.week)", fixtures=CAL)
+def q_keep_weeks(spark, sf_dir):
+    """Daily rows of kept weeks (active, run boundary, every 4th zero week)."""
+    return p.p_keep_weeks(_base(spark, sf_dir)).select(*BASE_COLS)
+
+
+@register("p_keep_weeks_strict", sql=_runs_sql(True) + _BASE_OUT + " from base b where exists "
+          "(select 1 from kept k where k.address = b.address and k.week = b.week)", fixtures=CAL)
+def q_keep_weeks_strict(spark, sf_dir):
+    """Week thinning with strict zero runs."""
+    return p.p_keep_weeks(_base(spark, sf_dir), mode="strict").select(*BASE_COLS)
+
+
+@register("p_light", sql=q_daily.oracle("final", p.LIGHT_COLUMNS), fixtures=q_daily.FX)
+def q_light(spark, sf_dir):
+    """28-column light daily table."""
+    return p.p_light(q_daily.build(spark, sf_dir)["final"])
+
+
+NULL_COLS = q_daily.CORE_COLS[2:q_daily.CORE_COLS.index("tx_cnt_18_24") + 1]
+
+
+def _null_sql():
+    inner = q_daily.oracle("final", ["address"])  # reuse the CTE chain
+    ctes = inner[:inner.rindex(" select ")]
+    cols = ", ".join(f"floor(cast(count(*) filter (where {c} is null) as double) / count(*) * 1e6 + 0.5) / 1e6 "
+                     f"as {c}_null_frac" for c in NULL_COLS)
+    return f"{ctes} select {cols} from final"
+
+
+@register("q_null_fractions", sql=_null_sql(), fixtures=q_daily.FX)
+def q_null_fracs(spark, sf_dir):
+    """Null share of the 46 profiled daily columns (one row)."""
+    return p.q_null_fractions(q_daily.build(spark, sf_dir)["final"], NULL_COLS)
+
+
+def _zero_sql():
+    inner = q_daily.oracle("final", ["address"])
+    ctes = inner[:inner.rindex(" select ")]
+    parts = " union all ".join(f"select '{c}' as col, cast(count(*) filter (where {c} = 0) as double) / count(*) as zero_frac "
+                               f"from final" for c in p.ZERO_PROFILE_COLUMNS)
+    return f"{ctes} select col, floor(zero_frac * 1e6 + 0.5) / 1e6 as zero_frac from ({parts})"
+
+
+@register("q_zero_fractions", sql=_zero_sql(), fixtures=q_daily.FX)
+def q_zero_fracs(spark, sf_dir):
+    """Zero share of 8 light columns, long form, largest first."""
+    return p.q_zero_fractions(p.p_light(q_daily.build(spark, sf_dir)["final"]))
+
+
+@register("q_profile_identities", sql=(lambda i: i[:i.rindex(" select ")] + (
+    " select floor(cast(count(*) filter (where normal_sent_cnt = 0) as double) / count(*) * 1e6 + 0.5) / 1e6 as zero_sent, "
+    "floor(cast(count(*) filter (where eth_sent_avg is null) as double) / count(*) * 1e6 + 0.5) / 1e6 as null_sent_avg, "
+    "floor(cast(count(*) filter (where burst_max_tx_5m = 0) as double) / count(*) * 1e6 + 0.5) / 1e6 as zero_burst, "
+    "floor(cast(count(*) filter (where tx_cnt_00_06 is null) as double) / count(*) * 1e6 + 0.5) / 1e6 as null_hour_bucket "
+    "from final"))(q_daily.oracle("final", ["address"])), fixtures=q_daily.FX)
+def q_identities(spark, sf_dir):
+    """Published shape identities: zero sent count ⇔ null sent average, zero burst ⇔ null hour buckets."""
+    return p.zero_null_identities(q_daily.build(spark, sf_dir)["final"])
