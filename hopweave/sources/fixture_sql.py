@@ -70,7 +70,8 @@ select concat('  ', upper({_a('o_custkey')})) as address, case when o_orderstatu
 select c.address, c.day,
  cast(coalesce(p.normal_total_cnt, 0) as bigint) as normal_total_cnt,
  cast(coalesce(p.erc20_total_cnt, 0) as bigint) as erc20_total_cnt,
- cast(0 as bigint) as internal_in_cnt, cast(0 as bigint) as internal_out_cnt
+ cast(0 as bigint) as internal_in_cnt, cast(0 as bigint) as internal_out_cnt,
+ cast(coalesce(p.cents, 0) as double) / 1e5 as eth_recv_sum
 from (
   select address, cast(unnest(generate_series(d0, d1, interval 1 day)) as date) as day
   from (select lower({_a('o_custkey')}) as address, min(cast(o_orderdate as date)) as d0, max(cast(o_orderdate as date)) as d1
@@ -78,7 +79,8 @@ from (
 ) c
 left join (
   select lower({_a('o_custkey')}) as address, cast(o_orderdate as date) as day,
-   count(*) as normal_total_cnt, sum(case when o_orderstatus = 'O' then 1 else 0 end) as erc20_total_cnt
+   count(*) as normal_total_cnt, sum(case when o_orderstatus = 'O' then 1 else 0 end) as erc20_total_cnt,
+   sum(cast(round(o_totalprice * 100) as bigint)) as cents
   from orders group by 1, 2
 ) p on c.address = p.address and c.day = p.day""",
 }

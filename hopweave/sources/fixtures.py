@@ -163,16 +163,18 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense per-customer day series from first to last order date.
 
     ``normal_total_cnt`` = orders that day, ``erc20_total_cnt`` = open orders that
-    day, internal counts 0.  Long idle stretches make it the input for the
+    day, internal counts 0, ``eth_recv_sum`` = order value / 1000.  Long idle stretches make it the input for the
     week-thinning operators.
     """
     o = table(spark, sf_dir, "orders").select(
         F.lower(synth_address("o_custkey")).alias("address"),
         F.col("o_orderdate").cast("date").alias("day"),
-        (F.col("o_orderstatus") == "O").cast("int").alias("is_open"))
+        (F.col("o_orderstatus") == "O").cast("int").alias("is_open"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
     per_day = o.groupBy("address", "day").agg(
         F.count(F.lit(1)).alias("normal_total_cnt"),
-        F.sum("is_open").cast("bigint").alias("erc20_total_cnt"))
+        F.sum("is_open").cast("bigint").alias("erc20_total_cnt"),
+        F.sum("cents").alias("cents"))
     span = o.groupBy("address").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
     cal = span.select("address", F.explode(F.sequence("d0", "d1")).alias("day"))
     return (cal.join(per_day, ["address", "day"], "left")
@@ -180,4 +182,5 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce("normal_total_cnt", F.lit(0)).cast("bigint").alias("normal_total_cnt"),
                     F.coalesce("erc20_total_cnt", F.lit(0)).cast("bigint").alias("erc20_total_cnt"),
                     F.lit(0).cast("bigint").alias("internal_in_cnt"),
-                    F.lit(0).cast("bigint").alias("internal_out_cnt")))
+                    F.lit(0).cast("bigint").alias("internal_out_cnt"),
+                    (F.coalesce("cents", F.lit(0)).cast("double") / 1e5).alias("eth_recv_sum")))
