@@ -83,6 +83,17 @@ left join (
    sum(cast(round(o_totalprice * 100) as bigint)) as cents
   from orders group by 1, 2
 ) p on c.address = p.address and c.day = p.day""",
+    "fx_label_sheet": f"""
+select c_custkey as row_no,
+ case when c_mktsegment = 'BUILDING' then concat('  ', upper({_a('c_custkey')}), ' ')
+      when c_mktsegment = 'AUTOMOBILE' then concat('0x', cast(c_custkey as varchar)) else {_a('c_custkey')} end as address,
+ c_name as name, case when c_acctbal < 1000 then '' else n_name end as tag,
+ case when c_acctbal < 0 then '1' else '0' end as flag, c_mktsegment as segment
+from customer join nation on c_nationkey = n_nationkey
+union all
+select 1000000000 + o_orderkey, {_a('o_custkey')}, concat('Order#', cast(o_orderkey as varchar)), o_orderpriority,
+ case when o_orderstatus = 'F' then '1' else '0' end, o_orderstatus
+from orders where o_orderpriority = '1-URGENT'""",
 }
 
 # Order in which CTEs may reference one another.

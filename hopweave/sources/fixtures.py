@@ -184,3 +184,30 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(0).cast("bigint").alias("internal_in_cnt"),
                     F.lit(0).cast("bigint").alias("internal_out_cnt"),
                     (F.coalesce("cents", F.lit(0)).cast("double") / 1e5).alias("eth_recv_sum")))
+
+
+def label_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings shaped like scraped label lists: customers (padded upper-case,
+    malformed and plain addresses, empty tags) plus urgent orders (repeated
+    addresses with other flags).  Every label reader is fed a projection of it."""
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"),
+                                              F.col("c_nationkey") == F.col("n_nationkey"))
+    a = synth_address("c_custkey")
+    seg = F.col("c_mktsegment")
+    cust = c.select(
+        F.col("c_custkey").alias("row_no"),
+        F.when(seg == "BUILDING", F.concat(F.lit("  "), F.upper(a), F.lit(" ")))
+         .when(seg == "AUTOMOBILE", F.concat(F.lit("0x"), F.col("c_custkey").cast("string")))
+         .otherwise(a).alias("address"),
+        F.col("c_name").alias("name"),
+        F.when(F.col("c_acctbal") < 1000, F.lit("")).otherwise(F.col("n_name")).alias("tag"),
+        F.when(F.col("c_acctbal") < 0, F.lit("1")).otherwise(F.lit("0")).alias("flag"),
+        seg.alias("segment"))
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(
+        (F.lit(1000000000) + F.col("o_orderkey")).alias("row_no"),
+        synth_address("o_custkey").alias("address"),
+        F.concat(F.lit("Order#"), F.col("o_orderkey").cast("string")).alias("name"),
+        F.col("o_orderpriority").alias("tag"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("1")).otherwise(F.lit("0")).alias("flag"),
+        F.col("o_orderstatus").alias("segment"))
+    return cust.unionByName(o)
