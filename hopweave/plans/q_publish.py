@@ -1 +1,57 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered publishing queries.
+
+Compaction and repack write under the session's shared checkpoint folder and
+read the result back.  Manifest and verify hash files on disk; SQL has no
+equivalent, so they carry no oracle (row-count check only).
+"""
+
+from __future__ import annotations
+
+from hopweave.operators import publish as pub
+from hopweave.plans.registry import register
+from hopweave.session import stage_path
+
+LINEITEM_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+                 "l_returnflag, l_linestatus, l_shipdate")
+
+
+def _round(cols):
+    out = []
+    for c in cols.split(", "):
+        if c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"):
+            out.append(f"floor({c} * 1e6 + 0.5) / 1e6 as {c}")
+        elif c == "l_linenumber":
+            out.append(f"cast({c} as bigint) as {c}")
+        else:
+            out.append(c)
+    return ", ".join(out)
+
+
+@register("pub_compact", sql=f"select {_round(LINEITEM_COLS)} from lineitem")
+def q_compact(spark, sf_dir):
+    """Line items rewritten as zstd parts of at most 100,000 rows, read back."""
+    return pub.pub_compact(spark, f"{sf_dir}/lineitem.parquet", stage_path(spark, "compact_lineitem"),
+                           rows_per_file=100_000)
+
+
+@register("pub_repack_validated", sql="select count(*) as rows_in, count(*) as rows_out, true as published from orders")
+def q_repack(spark, sf_dir):
+    """Orders repacked through a staging folder; published only when counts match."""
+    return pub.pub_repack_validated(spark, f"{sf_dir}/orders.parquet", stage_path(spark, "repack_orders_staging"),
+                                    stage_path(spark, "repack_orders"))
+
+
+@register("pub_manifest")
+def q_manifest(spark, sf_dir):
+    """Checksum manifest (path, size, mtime, sha256, md5) of the input tables."""
+    return pub.pub_manifest(spark, sf_dir, "*.parquet")
+
+
+@register("pub_verify")
+def q_verify(spark, sf_dir):
+    """Recomputed manifest checked against a stored one (written, then read back)."""
+    m = pub.pub_manifest(spark, sf_dir, "*.parquet")
+    path = stage_path(spark, "manifest_inputs")
+    m.write.mode("overwrite").json(path)
+    listed = spark.read.json(path)
+    return pub.pub_verify(listed, pub.pub_manifest(spark, sf_dir, "*.parquet"))
