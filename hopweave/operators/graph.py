@@ -20,8 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hopweave.functions.common import (DUST_WEI, as_of_ts, hash_shard, sized_broadcast,
-                                       strict_greatest, utc_ts)
+from hopweave.functions.common import DUST_WEI, as_of_ts, hash_shard, strict_greatest, utc_ts
 
 TX_COLS = ["from_address", "to_address", "block_number", "timestamp", "value_wei_raw",
            "gas_price_wei", "gas_used", "nonce", "input_bytes", "tx_hash", "day"]
@@ -64,23 +63,30 @@ def g_seeds(accounts: DataFrame, as_of, shard: tuple | None = None) -> DataFrame
     return out
 
 
-def g_first_hop(tx: DataFrame, seeds: DataFrame, prune_window: bool = True) -> DataFrame:
+def seed_window(seeds: DataFrame) -> dict:
+    """One pass over the seed list: row count and overall [start, end] (three scalars)."""
+    r = seeds.agg(F.count(F.lit(1)).alias("n"), F.min("start_ts").alias("lo"), F.max("end_ts").alias("hi")).first()
+    return {"n": int(r["n"]), "lo": r["lo"], "hi": r["hi"]}
+
+
+def g_first_hop(tx: DataFrame, seeds: DataFrame, window: dict | None = None) -> DataFrame:
     """Transfers with a seed on either side inside the seed's window (inclusive).
 
     A self-transfer of a seed yields two rows (one per side), as a UNION ALL of
-    the sender and receiver joins would.
+    the sender and receiver joins would.  The overall seed window is pushed into
+    the ledger scan as a timestamp range; the seed list is broadcast when its
+    counted size is under ``SEED_BROADCAST_ROWS``.
     """
+    window = window or seed_window(seeds)
     t = normalize_tx(tx)
     s = seeds.select(F.col("address").alias("seed_addr"), "start_ts", "end_ts")
-    if prune_window:
-        # Two scalars, pushed into the ledger scan as a timestamp range.
-        b = s.agg(F.min("start_ts").alias("lo"), F.max("end_ts").alias("hi")).first()
-        if b["lo"] is None:
-            t = t.where(F.lit(False))
-        else:
-            t = t.where(F.col("timestamp").between(F.lit(b["lo"]), F.lit(b["hi"])))
+    if window["lo"] is None:
+        t = t.where(F.lit(False))
+    else:
+        t = t.where(F.col("timestamp").between(F.lit(window["lo"]), F.lit(window["hi"])))
     ends = t.select(*TX_COLS, F.explode(F.array("from_address", "to_address")).alias("endpoint"))
-    s = sized_broadcast(s, SEED_BROADCAST_ROWS)
+    if window["n"] <= SEED_BROADCAST_ROWS:
+        s = F.broadcast(s)
     j = ends.join(s, (ends.endpoint == s.seed_addr)
                   & ends.timestamp.between(s.start_ts, s.end_ts), "inner")
     return j.select(*TX_COLS, "seed_addr")
@@ -111,16 +117,26 @@ def g_l1_topk(e1: DataFrame, k: int = 15) -> DataFrame:
     return ranked.select("seed_addr", "neighbor_addr", "day", "sum_value_wei", "last_ts")
 
 
-def g_active_days_filter(tx: DataFrame, l1: DataFrame) -> DataFrame:
-    """Ledger rows only on days that have first-hop neighbours (semi join on a day list)."""
+def g_active_days_filter(tx: DataFrame, l1: DataFrame, window: dict | None = None) -> DataFrame:
+    """Ledger rows only on days that have first-hop neighbours (semi join on the day list).
+
+    The day list is bounded by the span of the seed window (``window``, or the
+    span of ``l1`` computed in one pass), which also prunes the ledger scan;
+    within the bound it is broadcast without counting it.
+    """
     t = normalize_tx(tx)
-    days = l1.select("day").distinct()
-    lo_hi = days.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-    if lo_hi["lo"] is None:
+    if window is not None and window["lo"] is not None:
+        lo, hi = window["lo"].date(), window["hi"].date()
+    else:
+        r = l1.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
+        lo, hi = r["lo"], r["hi"]
+    if lo is None:
         return t.where(F.lit(False))
-    # Range first (prunes files/row groups), then the exact day set.
-    t = t.where(F.col("day").between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
-    return t.join(sized_broadcast(days, DAYS_BROADCAST_ROWS), "day", "left_semi")
+    t = t.where(F.col("day").between(F.lit(lo), F.lit(hi)))
+    days = l1.select("day").distinct()
+    if (hi - lo).days + 1 <= DAYS_BROADCAST_ROWS:
+        days = F.broadcast(days)
+    return t.join(days, "day", "left_semi")
 
 
 def g_addr_day_index(tx_days: DataFrame) -> DataFrame:

@@ -52,6 +52,7 @@ HIDDEN_PREFIXES = (".", "_")
 
 def pub_manifest(spark: SparkSession, root: str, pattern: str = "*", with_md5: bool = True) -> DataFrame:
     """path (relative to ``root``), size, mtime, sha256[, md5] of every visible file, sorted by path."""
+    spark.catalog.refreshByPath(root)  # never hash against a stale cached listing
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(root))
     prefix = "file:" + os.path.abspath(root).rstrip("/") + "/"

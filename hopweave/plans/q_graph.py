@@ -14,9 +14,10 @@ FX = ["fx_transactions", "fx_seeds"]
 def stages(spark, sf_dir, k1=K1, k2=K2, cap=CAP, scope="batch"):
     tx = fx.transactions(spark, sf_dir)
     seeds = g.g_seeds(fx.seeds(spark, sf_dir), AS_OF)
-    e1 = g.g_first_hop(tx, seeds)
+    win = g.seed_window(seeds)
+    e1 = g.g_first_hop(tx, seeds, win)
     l1 = g.g_l1_topk(e1, k1)
-    txd = g.g_active_days_filter(tx, l1)
+    txd = g.g_active_days_filter(tx, l1, win)
     l2 = g.g_l2_topk(txd, l1, k2, scope=scope)
     return dict(tx=tx, seeds=seeds, e1=e1, l1=l1, txd=txd, l2=l2, cap=cap)
 
