@@ -48,9 +48,20 @@ def d_bounds(base: DataFrame, as_of_day) -> DataFrame:
                     end.alias("activity_end_ts")))
 
 
+def by_address(df: DataFrame) -> DataFrame:
+    """Hash-partition one-row-per-account input by address before it is expanded to days.
+
+    Every later (address, day) table is then joined to the calendar, and the
+    day-over-day window runs, on this one partitioning; a partition holds at
+    most one account's days per account, so no key can be skewed.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "address")
+
+
 def d_calendar(bounds: DataFrame) -> DataFrame:
     """One row per account and day of its window, both ends included."""
-    return bounds.select("address", "is_scam", "description", "is_contract",
+    return by_address(bounds).select("address", "is_scam", "description", "is_contract",
                          F.explode(F.sequence(F.to_date("activity_start_ts"), F.to_date("activity_end_ts"))).alias("day"))
 
 
@@ -72,7 +83,7 @@ def d_calendar_labels(bounds: DataFrame) -> DataFrame:
     The first calendar day of an account is the day of its window start, so
     no aggregation over the calendar is needed.
     """
-    cal = bounds.select("address", "is_scam", "description", "is_contract",
+    cal = by_address(bounds).select("address", "is_scam", "description", "is_contract",
                         F.to_date("activity_start_ts").alias("_first"),
                         F.explode(F.sequence(F.to_date("activity_start_ts"), F.to_date("activity_end_ts"))).alias("day"))
     return cal.select("address", "is_scam", "description", "is_contract", "day",

@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Tables keyed by (address, day) that are hash-partitioned by address join and
+    # window on address without a further shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
