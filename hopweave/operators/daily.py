@@ -52,8 +52,11 @@ def by_address(df: DataFrame) -> DataFrame:
     """Hash-partition one-row-per-account input by address before it is expanded to days.
 
     Every later (address, day) table is then joined to the calendar, and the
-    day-over-day window runs, on this one partitioning; a partition holds at
-    most one account's days per account, so no key can be skewed.
+    day-over-day window runs, on this one partitioning; a partition holds whole
+    accounts, and an account has at most one row per day, so no key is skewed.
+    (When the input already comes out of a shuffle on address, Spark reuses that
+    shuffle; the session keeps adaptive coalescing from shrinking such a small
+    shuffle below one partition per core — see ``session.BASE_CONF``.)
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, "address")

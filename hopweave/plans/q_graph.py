@@ -202,3 +202,12 @@ def q_edge_features(spark, sf_dir):
     """Deduplicated daily edges with exact value/fee, input size and creation flag."""
     s = stages(spark, sf_dir)
     return g.g_edge_features(g.g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], CAP))
+
+
+@register("g_append_final", sql=_with(*_ALL, "g_final") + _FEAT, fixtures=FX)
+def q_append_final(spark, sf_dir):
+    """Daily edges written by day partition (re-runs replace their days), read back."""
+    from hopweave.session import stage_path
+    s = stages(spark, sf_dir)
+    edges = g.g_edge_features(g.g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], CAP))
+    return g.g_append_final(edges, stage_path(spark, "transactions_daily"))

@@ -14,6 +14,11 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small one-row-per-account tables are expanded into one row per account-day:
+    # let adaptive coalescing keep about one partition per core for them instead
+    # of folding them into a single 1 MB partition (parallelism first).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",

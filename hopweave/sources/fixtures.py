@@ -178,8 +178,8 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = o.groupBy("address").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
     # Expand days inside address partitions: the dense table comes out hash-partitioned
     # by address, which the week thinning and rollups reuse without a shuffle.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cal = span.repartition(n, "address").select("address", F.explode(F.sequence("d0", "d1")).alias("day"))
+    from hopweave.operators.daily import by_address
+    cal = by_address(span).select("address", F.explode(F.sequence("d0", "d1")).alias("day"))
     return (cal.join(per_day, ["address", "day"], "left")
             .select("address", "day",
                     F.coalesce("normal_total_cnt", F.lit(0)).cast("bigint").alias("normal_total_cnt"),

@@ -1,0 +1 @@
+"""Incremental drivers: Structured Streaming wrappers around the batch operators."""
