@@ -141,14 +141,14 @@ def s_daily_filtered(daily: DataFrame, address_map: DataFrame) -> DataFrame:
                     *measures)
 
 
-def _series_aggs(df: DataFrame, from_text: bool = False) -> list:
+def _series_aggs(df: DataFrame, from_text: bool = False, as_text: bool = True) -> list:
     cols = set(df.columns)
     out = []
     for c in sorted((set(INT_COUNTS) | set(ETH_NUMS)) & cols):
         if c in ETH_NUMS:
             src = F.col(c).cast("string") if from_text else F.col(c)
-            out.append(F.sum(F.coalesce(src.try_cast("decimal(38,9)"), F.lit(0).cast("decimal(38,9)")))
-                       .cast("decimal(38,9)").cast("string").alias(c))
+            v = F.sum(F.coalesce(src.try_cast("decimal(38,9)"), F.lit(0).cast("decimal(38,9)"))).cast("decimal(38,9)")
+            out.append((v.cast("string") if as_text else v).alias(c))
         elif c in MAX_ONLY:
             out.append(F.max(F.coalesce(F.col(c).try_cast("bigint"), F.lit(0))).alias(c))
         else:
@@ -156,21 +156,34 @@ def _series_aggs(df: DataFrame, from_text: bool = False) -> list:
     return out
 
 
-def s_weekly(daily_filtered: DataFrame, week_index: DataFrame) -> DataFrame:
+def s_week_parts(daily_filtered: DataFrame) -> DataFrame:
+    """One pass over the daily rows: exact partial sums per (node, week, month).
+
+    A week straddling two months has two parts.  Both the weekly rollup and the
+    week → month map are derived from this small table, so the daily table is
+    read once.
+    """
+    return daily_filtered.groupBy("node_id", "week", "month").agg(*_series_aggs(daily_filtered, as_text=False))
+
+
+def s_weekly(daily_filtered: DataFrame, week_index: DataFrame, parts: DataFrame | None = None) -> DataFrame:
     """Per (node, ISO week) for weeks of the graph index: counts summed, ETH sums as
     decimal(38,9) text, burst maximum; missing or bad values count as 0."""
-    d = daily_filtered.join(week_index.select("week").distinct(), "week", "left_semi")
-    return d.groupBy("node_id", "week").agg(*_series_aggs(d))
+    p = parts if parts is not None else s_week_parts(daily_filtered)
+    # A week list is bounded by the calendar (about 53 rows per year): broadcast is safe.
+    p = p.join(F.broadcast(week_index.select("week").distinct()), "week", "left_semi")
+    return p.groupBy("node_id", "week").agg(*_series_aggs(p))
 
 
-def s_week_month_map(daily_filtered: DataFrame) -> DataFrame:
-    return daily_filtered.select("week", "month").distinct()
+def s_week_month_map(daily_filtered: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    src = parts if parts is not None else daily_filtered
+    return src.select("week", "month").distinct()
 
 
 def s_monthly(weekly: DataFrame, week_month: DataFrame, month_index: DataFrame) -> DataFrame:
     """Per (node, month) built from weeks: every week touching the month counts in full."""
-    m = week_month.join(month_index.select("month").distinct(), "month", "left_semi")
-    j = weekly.join(m, "week", "inner")
+    m = week_month.join(F.broadcast(month_index.select("month").distinct()), "month", "left_semi")
+    j = weekly.join(F.broadcast(m), "week", "inner")
     return j.groupBy("node_id", "month").agg(*_series_aggs(j, from_text=True))
 
 

@@ -117,8 +117,8 @@ def q_daily_filtered(spark, sf_dir):
     return daily_filtered(spark, sf_dir)
 
 
-def weekly(spark, sf_dir):
-    return w.s_weekly(daily_filtered(spark, sf_dir), w.w_window_index(edges(spark, sf_dir), "week"))
+def weekly(spark, sf_dir, parts=None):
+    return w.s_weekly(daily_filtered(spark, sf_dir), w.w_window_index(edges(spark, sf_dir), "week"), parts)
 
 
 @register("s_weekly", sql=CTE + "select * from wk", fixtures=FX)
@@ -136,5 +136,6 @@ def q_week_month(spark, sf_dir):
 @register("s_monthly", sql=CTE + "select * from mo", fixtures=FX)
 def q_monthly(spark, sf_dir):
     """Monthly rollup built from whole weeks (a straddling week counts in both months)."""
-    return w.s_monthly(weekly(spark, sf_dir), w.s_week_month_map(daily_filtered(spark, sf_dir)),
+    parts = w.s_week_parts(daily_filtered(spark, sf_dir))
+    return w.s_monthly(weekly(spark, sf_dir, parts), w.s_week_month_map(None, parts),
                        w.w_window_index(edges(spark, sf_dir), "month"))
