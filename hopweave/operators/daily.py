@@ -258,11 +258,17 @@ def d_activity_list(calendar: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def minute_bins(events: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
-    """(address, day, minute, count, first ts, last ts); optionally only calendar days."""
-    if calendar is not None:
-        events = events.join(calendar.select(*KEYS), KEYS, "left_semi")
-    return events.groupBy("address", "day", F.date_trunc("minute", "ts").alias("m")).agg(
+    """(address, day, minute, count, first ts, last ts); optionally only calendar days.
+
+    Events are binned first (partial aggregation before the shuffle), and only
+    the bins — at most 1,440 per account-day — are matched to the calendar, so a
+    hot account never sends its raw events to one partition.
+    """
+    bins = events.groupBy("address", "day", F.date_trunc("minute", "ts").alias("m")).agg(
         F.count(F.lit(1)).alias("cnt"), F.min("ts").alias("t0"), F.max("ts").alias("t1"))
+    if calendar is not None:
+        bins = bins.join(calendar.select(*KEYS), KEYS, "left_semi")
+    return bins
 
 
 def _day_stats(bins: DataFrame, burst_minutes: int = 5, session_gap_min: int = 30) -> DataFrame:
