@@ -276,3 +276,31 @@ def g_append_final(edges: DataFrame, path: str) -> DataFrame:
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("day").parquet(path))
     return edges.sparkSession.read.parquet(path)
+
+
+def build_graph(tx: DataFrame, accounts: DataFrame, as_of, k1: int = 15, k2: int = 5, cap: int = 20,
+                min_wei=DUST_WEI, scope: str = "batch", materialize: bool = True) -> dict:
+    """The whole neighbourhood build; returns every stage by name.
+
+    With ``materialize`` the small ranked stages (first-hop top-k, second-hop
+    top-k) are checkpointed into the shared checkpoint folder: each is computed
+    once and reread by the later joins, and a lost executor does not replay the
+    ledger scans behind them.
+    """
+    from hopweave.session import cut_lineage
+    seeds = g_seeds(accounts, as_of)
+    win = seed_window(seeds)
+    e1 = g_first_hop(tx, seeds, win)
+    l1 = g_l1_topk(e1, k1)
+    if materialize:
+        l1 = cut_lineage(l1)
+    txd = g_active_days_filter(tx, l1, win)
+    l2 = g_l2_topk(txd, l1, k2, scope=scope)
+    if materialize:
+        l2 = cut_lineage(l2)
+    return dict(tx=tx, seeds=seeds, e1=e1, l1=l1, txd=txd, l2=l2, cap=cap, min_wei=min_wei)
+
+
+def build_edges(stages: dict) -> DataFrame:
+    s = stages
+    return g_edge_features(g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], s["cap"], s["min_wei"]))

@@ -12,14 +12,7 @@ FX = ["fx_transactions", "fx_seeds"]
 
 
 def stages(spark, sf_dir, k1=K1, k2=K2, cap=CAP, scope="batch"):
-    tx = fx.transactions(spark, sf_dir)
-    seeds = g.g_seeds(fx.seeds(spark, sf_dir), AS_OF)
-    win = g.seed_window(seeds)
-    e1 = g.g_first_hop(tx, seeds, win)
-    l1 = g.g_l1_topk(e1, k1)
-    txd = g.g_active_days_filter(tx, l1, win)
-    l2 = g.g_l2_topk(txd, l1, k2, scope=scope)
-    return dict(tx=tx, seeds=seeds, e1=e1, l1=l1, txd=txd, l2=l2, cap=cap)
+    return g.build_graph(fx.transactions(spark, sf_dir), fx.seeds(spark, sf_dir), AS_OF, k1, k2, cap, scope=scope)
 
 
 # ---- SQL building blocks (DuckDB) -------------------------------------------
@@ -145,8 +138,7 @@ def q_l2_topk(spark, sf_dir):
           fixtures=FX)
 def q_l2_topk_global(spark, sf_dir):
     """Exact second-hop top-k per (seed, day)."""
-    s = stages(spark, sf_dir)
-    return g.g_l2_topk(s["txd"], s["l1"], K2, scope="global")
+    return stages(spark, sf_dir, scope="global")["l2"]
 
 
 @register("g_two_hop_raw", sql=_with("g_tx", "g_seeds", "g_e1", "g_l1", "g_txd", "g_idx") +
