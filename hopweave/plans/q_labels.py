@@ -427,3 +427,24 @@ def q_merge(spark, sf_dir):
 def q_counts(spark, sf_dir):
     """Clean / scam counts of the merged list."""
     return L.lbl_class_counts(L.lbl_merge_priority([fx.label_src_a(spark, sf_dir), fx.label_src_b(spark, sf_dir)]))
+
+
+def _write_sources(spark, sf_dir, root):
+    """Two label lists and one without a description column, as CSV part files under
+    ``<root>/<source>/processed/`` in row order."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    srcs = {"a": fx.label_src_a(spark, sf_dir), "b": fx.label_src_b(spark, sf_dir),
+            "c": fx.label_src_a(spark, sf_dir).drop("description")}
+    for name, df in srcs.items():
+        (df.drop("src_order").repartitionByRange(n, "row_no").sortWithinPartitions("row_no")
+         .write.mode("overwrite").option("header", True).csv(f"{root}/{name}/processed"))
+
+
+@register("lbl_skip_bad_files", sql=_merge_sql(), fixtures=["fx_label_src_a", "fx_label_src_b"])
+def q_skip_bad(spark, sf_dir):
+    """Label CSV folders merged in sorted path order; a file without the required columns is skipped."""
+    from hopweave.session import stage_path
+    from hopweave.sources import label_files as LF
+    root = stage_path(spark, "label_lists")
+    _write_sources(spark, sf_dir, root)
+    return L.lbl_merge_priority(LF.read_label_dir(spark, LF.list_label_csvs(root, spark), order_col="row_no"))

@@ -139,3 +139,12 @@ def q_monthly(spark, sf_dir):
     parts = w.s_week_parts(daily_filtered(spark, sf_dir))
     return w.s_monthly(weekly(spark, sf_dir, parts), w.s_week_month_map(None, parts),
                        w.w_window_index(edges(spark, sf_dir), "month"))
+
+
+@register("s_resume_parts", sql=CTE + "select * from wk", fixtures=FX)
+def q_resume_parts(spark, sf_dir):
+    """Weekly parts written per window (re-runs replace only windows present), read back."""
+    from hopweave.session import stage_path
+    path = stage_path(spark, "weekly_parts")
+    w.write_parts(weekly(spark, sf_dir), path, "week")
+    return spark.read.parquet(path)

@@ -77,16 +77,33 @@ def read_label_dump(spark: SparkSession, path: str) -> DataFrame:
                     F.col("row_no").cast("bigint").alias("row_no"))
 
 
-def list_label_csvs(root: str) -> list:
-    """Every ``processed/*.csv`` below ``root``, sorted (the merge's source order)."""
-    return sorted(glob.glob(os.path.join(root, "**", "processed", "*.csv"), recursive=True))
+def list_label_csvs(root: str, spark: SparkSession | None = None) -> list:
+    """Every ``processed/*.csv`` below ``root``, sorted (the merge's source order).
+
+    With a session the listing goes through the Hadoop filesystem of ``root``
+    (works on any cluster store); without one it uses the local filesystem.
+    """
+    if spark is None:
+        return sorted(glob.glob(os.path.join(root, "**", "processed", "*.csv"), recursive=True))
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(path, True)
+    out = []
+    while it.hasNext():
+        p = it.next().getPath()
+        name, parent = p.getName(), p.getParent().getName()
+        if parent == "processed" and name.endswith(".csv"):
+            out.append(p.toString())
+    return sorted(out)
 
 
-def read_label_dir(spark: SparkSession, paths) -> list:
+def read_label_dir(spark: SparkSession, paths, order_col: str | None = None) -> list:
     """Readable label CSVs that have the required columns, in the given order.
 
     Unreadable files and files lacking a required column are skipped; the
-    check reads only each file's header.
+    check reads only each file's header.  ``order_col`` names a column that
+    holds the row order inside a file (else the read order is used).
     """
     out = []
     for i, p in enumerate(paths):
@@ -97,5 +114,8 @@ def read_label_dir(spark: SparkSession, paths) -> list:
             continue
         if not set(REQUIRED).issubset(cols):
             continue
-        out.append(_with_row_no(df.select(*REQUIRED), i))
+        if order_col and order_col in cols:
+            out.append(df.select(*REQUIRED, F.col(order_col).cast("bigint").alias("row_no")))
+        else:
+            out.append(_with_row_no(df.select(*REQUIRED), i))
     return out
