@@ -45,9 +45,23 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def ensure_session_conf(spark: SparkSession) -> None:
+    """Apply the library's session settings (UTC calendar, adaptive execution,
+    co-partitioning) to a session created elsewhere."""
+    from hopweave.session import BASE_CONF
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.ui") or spark.conf.get(k, None) == v:
+            continue
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static settings cannot change at run time
+            pass
+
+
 def register(name: str, sql: str | None = None, fixtures=()):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_session_conf(spark)
             return portable(fn(spark, sf_dir))
         run.__name__ = f"q_{name}"
         run.__doc__ = fn.__doc__
