@@ -15,6 +15,12 @@ def stages(spark, sf_dir, k1=K1, k2=K2, cap=CAP, scope="batch"):
     return g.build_graph(fx.transactions(spark, sf_dir), fx.seeds(spark, sf_dir), AS_OF, k1, k2, cap, scope=scope)
 
 
+def first_hop(spark, sf_dir):
+    """Only the first hop (no ranked stages are built or checkpointed)."""
+    seeds = g.g_seeds(fx.seeds(spark, sf_dir), AS_OF)
+    return g.g_first_hop(fx.transactions(spark, sf_dir), seeds)
+
+
 # ---- SQL building blocks (DuckDB) -------------------------------------------
 _TX = ("select lower(from_address) as from_address, lower(to_address) as to_address, block_number, "
        "block_timestamp as timestamp, value as value_wei_raw, gas_price as gas_price_wei, receipt_gas_used as gas_used, "
@@ -90,7 +96,7 @@ def q_seeds(spark, sf_dir):
 @register("g_first_hop", sql=_with("g_tx", "g_seeds", "g_e1") + f"select {_TXC}, seed_addr from g_e1", fixtures=FX)
 def q_first_hop(spark, sf_dir):
     """Interval join of the ledger with seed windows, both sides."""
-    return stages(spark, sf_dir)["e1"]
+    return first_hop(spark, sf_dir)
 
 
 @register("g_counterparty", sql=_with("g_tx", "g_seeds", "g_e1") +
@@ -99,7 +105,7 @@ def q_first_hop(spark, sf_dir):
           fixtures=FX)
 def q_counterparty(spark, sf_dir):
     """The other side of each first-hop edge."""
-    return g.g_counterparty(stages(spark, sf_dir)["e1"])
+    return g.g_counterparty(first_hop(spark, sf_dir))
 
 
 @register("g_l1_topk", sql=_with("g_tx", "g_seeds", "g_e1", "g_l1") +
@@ -165,7 +171,7 @@ def q_frontier(spark, sf_dir):
           fixtures=FX)
 def q_e1_dust(spark, sf_dir):
     """First-hop edges at or above the dust threshold."""
-    return g.g_e1_dust(stages(spark, sf_dir)["e1"])
+    return g.g_e1_dust(first_hop(spark, sf_dir))
 
 
 @register("g_e2_out", sql=_with(*_ALL) + f"select {_TXC} from ({_e2('out', CAP)})", fixtures=FX)

@@ -259,3 +259,13 @@ def test_write_parts_rewrites_only_present_windows(spark, tmpdir_fresh):
     W.write_parts(spark.createDataFrame([(3, "2024-W02")], "node_id long, week string"), path, "week")
     got = sorted((r.node_id, r.week) for r in spark.read.parquet(path).collect())
     assert got == [(1, "2024-W01"), (3, "2024-W02")]
+
+
+def test_published_shape_identities_hold(spark):
+    """Zero share of sent count equals null share of sent average; zero share of the
+    burst equals null share of the hour buckets (published profile identities)."""
+    from __spark_entry__ import queries
+    r = queries()["q_profile_identities"](spark, "/root/testdata/sf0.001").first()
+    assert r.zero_sent == r.null_sent_avg
+    assert r.zero_burst == r.null_hour_bucket
+    assert 0 < r.zero_burst < 1
