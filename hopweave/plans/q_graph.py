@@ -9,10 +9,12 @@ from hopweave.plans.registry import AS_OF, CAP, K1, K2, register
 from hopweave.sources import fixtures as fx
 
 FX = ["fx_transactions", "fx_seeds"]
+MATERIALIZE = True  # checkpoint the ranked stages (tools/plan_report.py turns it off to show full plans)
 
 
 def stages(spark, sf_dir, k1=K1, k2=K2, cap=CAP, scope="batch"):
-    return g.build_graph(fx.transactions(spark, sf_dir), fx.seeds(spark, sf_dir), AS_OF, k1, k2, cap, scope=scope)
+    return g.build_graph(fx.transactions(spark, sf_dir), fx.seeds(spark, sf_dir), AS_OF, k1, k2, cap, scope=scope,
+                         materialize=MATERIALIZE)
 
 
 def first_hop(spark, sf_dir):
