@@ -36,7 +36,7 @@ KEEP_RATIO = 1.10
 ENSURE_EXCH = 2000
 SAMPLE_SEED = "42"
 
-ACCOUNT_BROADCAST_ROWS = 1_000_000
+ACCOUNT_BROADCAST_ROWS = 2_000_000
 ACCT_COLS = ["address", "is_scam", "description", "activity_start_ts", "activity_end_ts", "is_contract"]
 
 

@@ -25,8 +25,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hopweave.functions.common import (WEI_PER_ETH, WEI_PER_GWEI, as_of_ts, end_of_day,
-                                       sized_broadcast, utc_ts, whole_hours, whole_minutes)
+from hopweave.functions.common import (WEI_PER_ETH, WEI_PER_GWEI, as_of_ts, end_of_day, utc_ts, whole_hours,
+                                       whole_minutes)
 
 LN24 = math.log(24.0)
 KEYS = ["address", "day"]
@@ -465,4 +465,4 @@ def overwrite_shard(df: DataFrame, path: str, n: int, lo: int, hi: int, key: str
 
 
 __all__ = [n for n in dir() if n.startswith("d_")] + ["build_daily", "activity_events", "minute_bins",
-                                                      "overwrite_shard", "sized_broadcast"]
+                                                      "overwrite_shard", "by_address", "day_stats"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from hopweave.operators import graph as g
 from hopweave.plans.registry import AS_OF, CAP, K1, K2, register
