@@ -8,8 +8,10 @@ Scale notes
   count proves it small; otherwise it is a shuffle join (runtime bloom filter
   on the ledger side, AQE skew split for hot addresses).
 * Balancing needs a handful of counts (one aggregate, collected as scalars)
-  and ordered picks of a bounded number of rows: ``orderBy(...).limit(n)``
-  plans as a distributed per-partition top-n, never a global sort into one task.
+  and "the first n accounts in seeded-hash order".  The hash is uniform, so the
+  pick is exact without a global sort: count rows per 16-bit hash bucket (at
+  most 65,536 numbers reach the driver), keep every bucket below the cutoff
+  bucket, and order only the cutoff bucket (about total / 65,536 rows).
 """
 
 from __future__ import annotations
@@ -138,10 +140,31 @@ def sample_key(seed: str = SAMPLE_SEED) -> Column:
     return stable_hash(F.concat(F.lit(seed), F.col("address")))
 
 
-def _first_n(df: DataFrame, n: int, seed: str) -> DataFrame:
+BUCKET_SHIFT = 44  # 60-bit key → 16-bit bucket
+
+
+def first_n_by_key(df: DataFrame, n: int, key: Column, tie: str = "address") -> DataFrame:
+    """The ``n`` rows with the smallest (key, tie), for a uniformly distributed
+    non-negative 60-bit ``key`` — exact, and no task sees more than one bucket's rows."""
     if n <= 0:
         return df.limit(0)
-    return df.orderBy(sample_key(seed), F.col("address")).limit(n)
+    k = df.withColumn("_k", key).withColumn("_b", F.shiftright(F.col("_k"), BUCKET_SHIFT))
+    counts = sorted((r["_b"], r["count"]) for r in k.groupBy("_b").count().collect())
+    below, cut = 0, None
+    for b, c in counts:
+        if below + c >= n:
+            cut = b
+            break
+        below += c
+    if cut is None:  # fewer than n rows in total
+        return df
+    head = k.where(F.col("_b") < cut)
+    edge = k.where(F.col("_b") == cut).orderBy("_k", tie).limit(n - below)
+    return head.unionByName(edge).drop("_k", "_b")
+
+
+def _first_n(df: DataFrame, n: int, seed: str) -> DataFrame:
+    return first_n_by_key(df, n, sample_key(seed))
 
 
 def acct_balance_pick(base: DataFrame, t: dict, seed: str = SAMPLE_SEED) -> DataFrame:

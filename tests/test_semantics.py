@@ -269,3 +269,12 @@ def test_published_shape_identities_hold(spark):
     assert r.zero_sent == r.null_sent_avg
     assert r.zero_burst == r.null_hour_bucket
     assert 0 < r.zero_burst < 1
+
+
+def test_first_n_by_key_equals_ordered_limit(spark):
+    df = spark.range(5000).select(F.concat(F.lit("0x"), F.col("id").cast("string")).alias("address"))
+    key = C.stable_hash(F.concat(F.lit("42"), F.col("address")))
+    for n in (1, 77, 4999, 6000):
+        got = sorted(r.address for r in A.first_n_by_key(df, n, key).collect())
+        want = sorted(r.address for r in df.orderBy(key, "address").limit(n).collect())
+        assert got == want
