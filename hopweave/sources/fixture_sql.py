@@ -65,7 +65,7 @@ select {_a('c_custkey')} as address, case when c_acctbal < 0 then 1 else 0 end a
  case when c_custkey % 4 = 0 then 'null' else c_mktsegment end as description, 0 as src_order, c_custkey as row_no from customer""",
     "fx_label_src_b": f"""
 select concat('  ', upper({_a('o_custkey')})) as address, case when o_orderstatus = 'F' then 1 else 0 end as is_scam,
- o_orderpriority as description, 1 as src_order, o_orderkey as row_no from orders where o_orderkey % 10 = 0""",
+ o_orderpriority as description, 1 as src_order, o_orderkey as row_no from orders""",
     "fx_order_calendar": f"""
 select c.address, c.day,
  cast(coalesce(p.normal_total_cnt, 0) as bigint) as normal_total_cnt,

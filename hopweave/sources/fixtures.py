@@ -78,6 +78,7 @@ def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third customer is a deployed contract (a role assignment, not a sample)."""
     c = table(spark, sf_dir, "customer")
     return c.where(F.col("c_custkey") % 3 == 0).select(synth_address("c_custkey").alias("address"))
 
@@ -150,7 +151,7 @@ def label_src_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_src_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    return o.where(F.col("o_orderkey") % 10 == 0).select(
+    return o.select(
         F.concat(F.lit("  "), F.upper(synth_address("o_custkey"))).alias("address"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("is_scam"),
         F.col("o_orderpriority").alias("description"),
