@@ -40,7 +40,7 @@ def chain(ensure: int) -> str:
         "act AS (select address, is_scam, description, epoch_us(f) // 1000000 as activity_start_ts, "
         "epoch_us(l) // 1000000 as activity_end_ts from comb), "
         "ctr AS (select distinct lower(address) as c from fx_contracts), "
-        "base AS (select a.*, case when c.c is not null then 1 else 0 end as is_contract from act a left join ctr c on a.address = c.c), "
+        "base AS (select a.*, cast(case when c.c is not null then 1 else 0 end as bigint) as is_contract from act a left join ctr c on a.address = c.c), "
         f"bx AS (select *, regexp_matches(lower(coalesce(description, '')), '{ex}') as is_exchange from base), "
         "tg0 AS (select count(*) filter (where is_scam = 1) as pos, "
         "count(*) filter (where is_scam = 0 and is_contract = 1 and is_exchange) as con_exch_avail, "
