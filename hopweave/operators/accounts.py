@@ -167,21 +167,47 @@ def _first_n(df: DataFrame, n: int, seed: str) -> DataFrame:
     return first_n_by_key(df, n, sample_key(seed))
 
 
+def first_n_per_group(df: DataFrame, group: Column, ns: dict, key: Column, tie: str = "address") -> DataFrame:
+    """``first_n_by_key`` for several groups at once: one bucket-count job for all groups."""
+    k = (df.withColumn("_g", group).withColumn("_k", key)
+         .withColumn("_b", F.shiftright(F.col("_k"), BUCKET_SHIFT)))
+    counts: dict = {}
+    for r in k.groupBy("_g", "_b").count().collect():
+        counts.setdefault(r["_g"], []).append((r["_b"], r["count"]))
+    parts = []
+    for g, n in ns.items():
+        if n <= 0:
+            continue
+        below, cut = 0, None
+        for b, c in sorted(counts.get(g, [])):
+            if below + c >= n:
+                cut = b
+                break
+            below += c
+        kg = k.where(F.col("_g") == g)
+        if cut is None:
+            parts.append(kg)
+            continue
+        parts.append(kg.where(F.col("_b") < cut))
+        parts.append(kg.where(F.col("_b") == cut).orderBy("_k", tie).limit(n - below))
+    if not parts:
+        return df.limit(0)
+    out = parts[0]
+    for q in parts[1:]:
+        out = out.unionByName(q)
+    return out.drop("_g", "_k", "_b")
+
+
 def acct_balance_pick(base: DataFrame, t: dict, seed: str = SAMPLE_SEED) -> DataFrame:
     """Negatives per type: exchanges first (up to the type's take), the rest from non-exchanges."""
     b = acct_is_exchange(base).where(F.col("is_scam") == 0)
-    con = b.where(F.col("is_contract") == 1)
-    eoa = b.where(F.coalesce(F.col("is_contract"), F.lit(0)) == 0)
-    parts = [
-        _first_n(con.where(F.col("is_exchange")), t["con_exch_take"], seed),
-        _first_n(con.where(~F.col("is_exchange")), t["neg_contract"] - t["con_exch_take"], seed),
-        _first_n(eoa.where(F.col("is_exchange")), t["eoa_exch_take"], seed),
-        _first_n(eoa.where(~F.col("is_exchange")), t["neg_eoa"] - t["eoa_exch_take"], seed),
-    ]
-    out = parts[0].select(*ACCT_COLS)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*ACCT_COLS))
-    return out
+    con = F.col("is_contract") == 1
+    eoa = F.coalesce(F.col("is_contract"), F.lit(0)) == 0
+    ex = F.col("is_exchange")
+    group = (F.when(con & ex, 0).when(con & ~ex, 1).when(eoa & ex, 2).when(eoa & ~ex, 3))
+    ns = {0: t["con_exch_take"], 1: t["neg_contract"] - t["con_exch_take"],
+          2: t["eoa_exch_take"], 3: t["neg_eoa"] - t["eoa_exch_take"]}
+    return first_n_per_group(b.where(group.isNotNull()), group, ns, sample_key(seed)).select(*ACCT_COLS)
 
 
 def acct_balance_topup(base: DataFrame, initial: DataFrame, ensure_exch: int = ENSURE_EXCH,
