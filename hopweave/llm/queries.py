@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopweave.llm import language_id
+from hopweave.llm import language_id, quality, sharding
 from hopweave.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,23 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op3_hash_tree_shards")
+def op3_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document by the weighted hash tree (law: key)."""
+    return sharding.place(table(spark, sf_dir, "documents"), sharding.balanced_tree(8)) \
+        .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels outside the held-out quarter."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", crc_bucket(F.col("doc_id"), 4) == 2)
+    labels = table(spark, sf_dir, "labels").where(crc_bucket(F.col("doc_id"), 4) != 2)
+    model = quality.fit(docs.where(~F.col("held_out")), labels)
+    return quality.score(docs, model, keep=("doc_id", "held_out")) \
+        .withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows outside the held-out fifth."""
