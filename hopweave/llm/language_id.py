@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hopweave.llm.common import stage
 from hopweave.llm.textops import mix64, slices, word_hashes, words_of
 
 UND = "und"
@@ -144,7 +145,7 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> EcocModel:
     """Learn from every row of ``docs`` that has a language and a text."""
-    counts = ngram_counts(docs, text_col, lang_col)
+    counts = stage(ngram_counts(docs, text_col, lang_col), "language-counts")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")

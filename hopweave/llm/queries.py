@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopweave.llm import language_id, quality, sharding
+from hopweave.llm import language_id, packing, quality, sharding
 from hopweave.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path() -> str:
+    """The byte-level tokenizer installed on every node (never copied)."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -23,6 +29,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op2_pack")
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query("op3_hash_tree_shards")
 def op3_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document by the weighted hash tree (law: key)."""

@@ -136,14 +136,19 @@ def words_of(s: TextSlice) -> Words:
     return Words(start, end, np.searchsorted(start, s.offsets))
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
+    """64-bit hashes of byte spans; ``fold`` reads A-Z as a-z."""
+    if not len(start):
+        return np.zeros(0, dtype=U64)
+    up, down = _BYTE_POWERS.get(len(data) + 1)
+    prefix = np.zeros(len(data) + 1, dtype=U64)
+    np.cumsum((_BYTE_FOLDED if fold else _BYTE)[data] * up[:-1], out=prefix[1:])
+    return mix64((prefix[end] - prefix[start]) * down[start])
+
+
 def word_hashes(s: TextSlice, w: Words, fold: bool = False) -> np.ndarray:
     """64-bit hash of every word; ``fold`` reads A-Z as a-z."""
-    if not len(w.start):
-        return np.zeros(0, dtype=U64)
-    up, down = _BYTE_POWERS.get(len(s.data))
-    prefix = np.zeros(len(s.data) + 1, dtype=U64)
-    np.cumsum((_BYTE_FOLDED if fold else _BYTE)[s.data] * up, out=prefix[1:])
-    return mix64((prefix[w.end] - prefix[w.start]) * down[w.start])
+    return span_hashes(s.data, w.start, w.end, fold)
 
 
 def ngram_hashes(h: np.ndarray, first: np.ndarray, n: int, seed: int = 0,
