@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopweave.llm import language_id, packing, quality, sharding
+from hopweave.llm import language_id, packing, quality, sharding, substring_dedup
 from hopweave.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that repeat in 20-word windows removed from every document but the earliest."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows outside the held-out fifth."""
