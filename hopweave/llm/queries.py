@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopweave.llm import language_id, packing, quality, sharding, substring_dedup
+from hopweave.llm import language_id, nearest, packing, quality, sharding, substring_dedup
 from hopweave.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op9_multi_index_nearest")
+def op9_multi_index_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest rows (largest inner product) of every 20th embedding, against all rows."""
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows outside the held-out fifth."""
