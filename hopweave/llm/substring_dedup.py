@@ -27,24 +27,20 @@ columns are read; a kept column named like an output column is replaced by it.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hopweave.llm.block_sketch import REPLY, SEGMENT_KEYS, SKETCH, by_segment, estimated_repeats, merge_sketches, sketch_of, told
 from hopweave.llm.common import pieces_for, source_bytes
 from hopweave.llm.textops import mix64, ngram_hashes, slices, word_hashes, words_of
 
 WINDOW = 20
-#: Text bytes per block and windows per segment: they bound a task's memory.  Their number
-#: of pairs is the number of messages; beyond some 10 TB raise both.
+#: Text bytes per block: with the windows per segment they bound a task's memory.  Their
+#: number of pairs is the number of messages; beyond some 10 TB raise both.
 BLOCK_BYTES = 12 << 20
-SEGMENT_WINDOWS = 2_000_000
-#: Counters per sketch row and segment (a power of two, four per window).
-WIDTH_BITS = 23
 
 _OUT = ["n_words", "n_removed", "removed", "kept_text"]
 
@@ -69,80 +65,20 @@ def _block_windows(texts, n: int):
     return tuple(np.concatenate(x) for x in (h1, h2, rows, starts))
 
 
-def _segment(h: np.ndarray, segments: int) -> np.ndarray:
-    return ((h >> np.uint64(44)) % np.uint64(segments)).astype(np.int64)
-
-
-def _by_segment(h: np.ndarray, segments: int):
-    """(segment, positions of its windows) in order."""
-    seg = _segment(h, segments)
-    order = np.argsort(seg, kind="stable")
-    cut = np.searchsorted(seg[order], np.arange(segments + 1))
-    for k in range(segments):
-        if cut[k] < cut[k + 1]:
-            yield k, order[cut[k]:cut[k + 1]]
-
-
-def _cells(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << WIDTH_BITS) - 1)
-    return (h & mask).astype(np.int64), ((h >> np.uint64(21)) & mask).astype(np.int64)
-
-
-def _pack_cells(cells: np.ndarray) -> bytes:
-    """Non-zero counters of one sketch row: sorted places as gaps, and whether they are 2."""
-    place, count = np.unique(cells, return_counts=True)
-    gap = np.diff(place, prepend=0).astype("<u4")
-    planes = b"".join(np.ascontiguousarray(gap.view(np.uint8).reshape(-1, 4)[:, k]).tobytes() for k in range(3))
-    return len(place).to_bytes(4, "little") + zlib.compress(planes + np.packbits(count > 1).tobytes(), 1)
-
-
-def _unpack_cells(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = int.from_bytes(data[:4], "little")
-    raw = np.frombuffer(zlib.decompress(data[4:]), dtype=np.uint8)
-    gap = raw[:n].astype(np.int64) | raw[n:2 * n].astype(np.int64) << 8 | raw[2 * n:3 * n].astype(np.int64) << 16
-    return np.cumsum(gap), 1 + np.unpackbits(raw[3 * n:], count=n)
-
-
 def _sketch(segments: int, n: int):
     def sketch(t):
         h, *_ = _block_windows(t.column("text"), n)
-        block = t.column("block")[0].as_py()
-        ks, a, b = [], [], []
-        for k, at in _by_segment(h, segments):
-            x, y = _cells(h[at])
-            ks.append(k)
-            a.append(_pack_cells(x))
-            b.append(_pack_cells(y))
-        return pa.table({"segment": pa.array(ks, pa.int32()), "block": pa.array([block] * len(ks), pa.int32()),
-                         "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        return sketch_of(h, t.column("block")[0].as_py(), segments)
     return sketch
 
 
-def _merge_sketches(t):
-    """The merged counters of a segment, told to each block for the counters it sent."""
-    flags = []
-    for col in ("a", "b"):
-        total = np.zeros(1 << WIDTH_BITS, dtype=np.uint8)
-        sent = [_unpack_cells(x.as_py()) for x in t.column(col)]
-        for place, count in sent:
-            total[place] = np.minimum(2, total[place] + count)
-        flags.append(pa.array([np.packbits(total[place] > 1).tobytes() for place, _ in sent], pa.binary()))
-    return pa.table({"block": t.column("block"), "kind": pa.array([0] * t.num_rows, pa.int32()), "segment": t.column("segment"),
-                     "a": flags[0], "b": flags[1]})
-
-
 def _candidates(docs, replies, segments: int, n: int):
     """(docs in id order, windows, and of the windows that may repeat: position, whether it is
     later than the block's first of its sequence, position among the block's firsts)."""
     docs = docs.sort_by([("key", "ascending")])
     h1, h2, row, start = _block_windows(docs.column("text"), n)
     key = docs.column("key").to_numpy()
-    maybe = np.zeros(len(h1), dtype=bool)
-    told = {r["segment"]: r for r in replies.filter(pa.compute.equal(replies.column("kind"), 0)).to_pylist()} if replies.num_rows else {}
-    for k, at in _by_segment(h1, segments):
-        x, y = (np.unique(c, return_inverse=True) for c in _cells(h1[at]))
-        both = [np.unpackbits(np.frombuffer(told[k][col], np.uint8), count=len(u))[inv] for col, (u, inv) in (("a", x), ("b", y))]
-        maybe[at] = (both[0] & both[1]).astype(bool)
+    maybe = estimated_repeats(h1, replies, segments)
     at = np.flatnonzero(maybe)
     order = at[np.lexsort((start[at], key[row[at]], h2[at], h1[at]))]
     same = np.zeros(len(order), dtype=bool)                   # same sequence as the one before
@@ -157,7 +93,7 @@ def _group_exactly(segments: int, n: int):
     def firsts(docs, replies):
         _, key, (h1, h2, row, _), _, _, lead, _ = _candidates(docs, replies, segments, n)
         ks, data, sizes = [], [], []
-        for k, at in _by_segment(h1[lead], segments):
+        for k, at in by_segment(h1[lead], segments):
             own = lead[at]
             ids, count = np.unique(key[row[own]], return_counts=True)
             own = own[np.argsort(key[row[own]], kind="stable")]
@@ -199,10 +135,10 @@ def _finish(segments: int, n: int, keep: list[str]):
     def finish(docs, replies):
         docs, key, (h1, _, row, start), order, group, lead, later = _candidates(docs, replies, segments, n)
         first_of_all = np.zeros(len(lead), dtype=bool)
-        told = {r["segment"]: r["a"] for r in replies.filter(pa.compute.equal(replies.column("kind"), 1)).to_pylist()} if replies.num_rows else {}
-        for k, at in _by_segment(h1[lead], segments):
+        bits = told(replies, 1)
+        for k, at in by_segment(h1[lead], segments):
             at = at[np.argsort(key[row[lead[at]]], kind="stable")]
-            first_of_all[at] = np.unpackbits(np.frombuffer(told[k], np.uint8), count=len(at)).astype(bool)
+            first_of_all[at] = np.unpackbits(np.frombuffer(bits[k]["a"], np.uint8), count=len(at)).astype(bool)
         gone = order[later | ~first_of_all[group]]
         cut = np.searchsorted(row[np.sort(gone)], np.arange(docs.num_rows + 1)) if len(gone) else np.zeros(docs.num_rows + 1, np.int64)
         gone = np.sort(gone)                                  # windows are in row order
@@ -234,7 +170,7 @@ def _finish(segments: int, n: int, keep: list[str]):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=("doc_id",), n: int = WINDOW,
-                   block_bytes: int = BLOCK_BYTES, segment_windows: int = SEGMENT_WINDOWS) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, segment_windows: int = SEGMENT_KEYS) -> DataFrame:
     """``keep`` columns plus n_words, n_removed, removed (word spans) and kept_text of every row."""
     keep = [c for c in keep if c not in _OUT]
     _, size = source_bytes(docs, text_col)
@@ -243,12 +179,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.pmod(F.xxhash64(F.lit("block"), key), F.lit(blocks)).cast("int").alias("block"), key.alias("key"), F.col(text_col).alias("text"),
                        *[F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)])
     kept = [f"keep_{k}" for k in range(len(keep))]
-    reply = "block int, kind int, segment int, a binary, b binary"
     grouped = rows.groupBy("block")
-    maybe = grouped.applyInArrow(_sketch(segments, n), "segment int, block int, a binary, b binary") \
-        .groupBy("segment").applyInArrow(_merge_sketches, reply)
+    maybe = grouped.applyInArrow(_sketch(segments, n), SKETCH) \
+        .groupBy("segment").applyInArrow(merge_sketches, REPLY)
     firsts = grouped.cogroup(maybe.groupBy("block")).applyInArrow(_group_exactly(segments, n), "segment int, block int, n int, data binary") \
-        .groupBy("segment").applyInArrow(_find_first, reply)
+        .groupBy("segment").applyInArrow(_find_first, REPLY)
     schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                           T.StructField("removed", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
                           T.StructField("kept_text", T.StringType())])
