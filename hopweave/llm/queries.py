@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopweave.llm import language_id, nearest, packing, quality, sharding, substring_dedup
+from hopweave.llm import jaccard_join, language_id, nearest, packing, quality, sharding, substring_dedup
 from hopweave.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,13 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_jaccard_join")
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by a 4-word shingle Jaccard similarity of 0.85 or more."""
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"), n=4, percent=85) \
+        .select("doc_id", "n_shingles", "component_id")
+
+
 @query("op2_pack")
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
