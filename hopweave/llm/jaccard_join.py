@@ -19,7 +19,8 @@ percent))`` shingles, which drives everything:
    tickets as it has ``alone`` shingles - each of those already uses up a difference - and
    leaves out its costliest segments, empty ones first.
 4. Stars.  The members of a segment key are not paired with one another: each is verified
-   against the key's smallest member only (a row per member, whatever the group's size).
+   against the key's centre only, the one with the fewest ``alone`` shingles (a row per
+   member, whatever the group's size).
    Members that link with it are connected.  A member that does not may still link with
    another member: both then differ from the centre in common shingles.  Bounds from
    the verified distances close nearly all such members; the rest meet again under keys
@@ -53,6 +54,8 @@ BLOCK_BYTES = 12 << 20
 #: Estimated chance that two texts of a band agree on a shingle's presence, for the cost of
 #: chance meetings.
 AGREE = 0.15
+#: So many members left over in a star are paired: at most FEW / 2 pairs a member.
+FEW = 400
 
 
 def differ(r: int, s: int, percent: int) -> int:
@@ -178,8 +181,8 @@ def _sets(segments: int, n: int, percent: int):
 def _entries(bands: dict[int, Band], bounds: list[int], percent: int):
     def entries(batches):
         for b in batches:
-            keys, owner = [], []
-            for k, (c, n, alone, data) in enumerate(zip(*(b.column(x).to_pylist() for x in ("class", "n", "alone", "tokens")), strict=True)):
+            keys, owner, lone = [], [], []
+            for c, n, alone, data in zip(*(b.column(x).to_pylist() for x in ("class", "n", "alone", "tokens")), strict=True):
                 tokens, own = np.frombuffer(data, np.uint64), int(np.searchsorted(bounds, n, side="right")) - 1
                 for number in (own, own - 1):
                     band = bands.get(number)
@@ -188,15 +191,23 @@ def _entries(bands: dict[int, Band], bounds: list[int], percent: int):
                     x = entry_keys(tokens, alone, number, band)
                     keys.append(x)
                     owner.append(np.full(len(x), c))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()),
-                                              "class": pa.array(np.concatenate(owner) if owner else [], pa.int64())})
+                    lone.append(np.full(len(x), alone))
+            yield _entry_batch(keys, owner, lone)
     return entries
 
 
+_ENTRY = "key long, class long, alone long"
+
+
+def _entry_batch(keys, owner, lone) -> pa.RecordBatch:
+    join = lambda x: np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_pydict({"key": join(keys), "class": join(owner), "alone": join(lone)})
+
+
 def _stars(entries: DataFrame) -> DataFrame:
     """(centre, member) of every key with more than one member: one row per member."""
-    centre = entries.groupBy("key").agg(F.min("class").alias("centre"), F.max("class").alias("_last")) \
-        .where("centre < _last").drop("_last")
+    centre = entries.groupBy("key").agg(F.min(F.struct("alone", "class")).alias("_c"), F.min("class").alias("_a"), F.max("class").alias("_z")) \
+        .where("_a < _z").select("key", F.col("_c.class").alias("centre"))
     return entries.join(centre, "key").where("class <> centre").select("centre", F.col("class").alias("member")).distinct()
 
 
@@ -243,15 +254,24 @@ def _open_members(tested: DataFrame, percent: int) -> DataFrame:
     rows = rows.join(star, "centre").where("_size > 1") \
         .where(F.col("apart") + F.greatest(F.col("_a") - 2 * F.col("shared"), F.col("_b")) <= _reach(percent))
     # a star matters only while it has a member that is not linked with its centre, and another one
-    alive = rows.groupBy("centre").agg(F.count(F.lit(1)).alias("_open"), F.max((~F.col("linked")).cast("int")).alias("_far")) \
-        .where("_open > 1 and _far = 1").select("centre")
-    return rows.join(alive, "centre", "left_semi").select("centre", "member", "n", "alone")
+    alive = rows.groupBy("centre").agg(F.count(F.lit(1)).alias("open"), F.max((~F.col("linked")).cast("int")).alias("_far")) \
+        .where("open > 1 and _far = 1").select("centre", "open")
+    return rows.join(alive, "centre").select("centre", "member", "n", "alone", "apart", "shared", "linked", "open")
+
+
+def _left_over_pairs(still: DataFrame, percent: int) -> DataFrame:
+    """Pairs among the few members left over in a star, as (centre, member) rows."""
+    few = still.where(F.col("open") <= FEW)
+    other = few.select("centre", *[F.col(c).alias(f"o_{c}") for c in ("member", "apart", "shared", "linked")])
+    return few.join(other, "centre").where("member < o_member and not (linked and o_linked)") \
+        .where(F.col("apart") + F.col("o_apart") - 2 * F.least("shared", "o_shared") <= _reach(percent)) \
+        .select(F.col("member").alias("centre"), F.col("o_member").alias("member")).distinct()
 
 
 def _difference_keys(percent: int):
     def keys(batches):
         for b in batches:
-            out, owner = [], []
+            out, owner, lone = [], [], []
             cols = [b.column(c) for c in ("centre", "member", "n", "alone", "c_tokens", "tokens")]
             for centre, member, n, alone, x, y in zip(*(c.to_pylist() for c in cols[:4]), *cols[4:], strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -259,10 +279,12 @@ def _difference_keys(percent: int):
                 total = n + n * 100 // percent
                 reach = differ(n, total - n, percent) + 1
                 pick = apart[:max(0, reach - alone + 1)]
-                out.append(pick.view(np.int64))
+                if len(apart) <= reach - alone:  # two such members may have no difference in common
+                    pick = np.append(pick, mix64(np.array([centre]).view(np.uint64), 0xA110))
+                out.append(pick)
                 owner.append(np.full(len(pick), member))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(np.concatenate(out) if out else [], pa.int64()),
-                                              "class": pa.array(np.concatenate(owner) if owner else [], pa.int64())})
+                lone.append(np.full(len(pick), alone))
+            yield _entry_batch(out, owner, lone)
     return keys
 
 
@@ -280,22 +302,27 @@ def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
         number = F.when(F.col("n") >= low, F.lit(k)).otherwise(number)
     counts = {r["band"]: r["count"] for r in sets.groupBy(number.alias("band")).count().collect()}  # a row per band
     bands = {k: allot(bounds[k], bounds[k + 1] - 1, percent, c) for k, c in counts.items()}
-    entries = sets.mapInArrow(_entries(bands, bounds, percent), "key long, class long")
-    tested, links = None, []
+    entries = sets.mapInArrow(_entries(bands, bounds, percent), _ENTRY)
+    stars, pairs, tested, links = _stars(entries), None, None, []
     while True:
-        stars = _stars(entries)
+        rows = stars if pairs is None else stars.unionByName(pairs).distinct()
         if tested is not None:
-            stars = stars.join(tested.select("centre", "member"), ["centre", "member"], "left_anti")
-        now = stage(_verify(stars, sets, percent), "star-pairs")
+            rows = rows.join(tested.select("centre", "member"), ["centre", "member"], "left_anti")
+        now = stage(_verify(rows, sets, percent), "star-pairs")
         links.append(now.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b")))
         tested = now if tested is None else tested.unionByName(now)
+        if pairs is not None:                    # pairs are settled; only stars go on
+            now = now.join(stars, ["centre", "member"], "left_semi")
         still = stage(_open_members(now, percent), "open-members")
         if still.isEmpty():
             break
         centres = sets.select(F.col("class").alias("centre"), F.col("tokens").alias("c_tokens"))
-        entries = still.join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member") \
-            .select("centre", "member", "n", "alone", "c_tokens", "tokens").mapInArrow(_difference_keys(percent), "key long, class long").distinct()
-        entries = stage(entries, "difference-keys")
+        entries = still.where(F.col("open") > FEW).join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member") \
+            .select("centre", "member", "n", "alone", "c_tokens", "tokens").mapInArrow(_difference_keys(percent), _ENTRY).distinct()
+        stars = stage(_stars(entries), "stars")
+        pairs = stage(_left_over_pairs(still, percent), "left-over-pairs")
+        if stars.isEmpty() and pairs.isEmpty():
+            break
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
