@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopweave.llm import jaccard_join, language_id, nearest, packing, quality, sharding, substring_dedup
+from hopweave.llm import (class_lm, decontaminate, jaccard_join, language_id, nearest, packing, quality, quotation, sharding,
+                          substring_dedup)
 from hopweave.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +67,26 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op6_class_lm")
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-based language model score of every document, learned outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", crc_bucket(F.col("doc_id"), 5) == 1)
+    model, counts = class_lm.fit(docs.where(~F.col("held_out")))
+    return class_lm.score(docs, model, counts, keep=("doc_id", "held_out"))
+
+
+@query("op7_decontaminate", decontaminate.ORACLE)
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item of which it holds 80 % or more."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_quotation", quotation.ORACLE)
+def op8_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations in reply order: quotes linked to their originals and removed."""
+    return quotation.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 @query("op9_multi_index_nearest")
 def op9_multi_index_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20 nearest rows (largest inner product) of every 20th embedding, against all rows."""
