@@ -15,10 +15,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def tokenizer_path() -> str:
-    """The byte-level tokenizer installed on every node (never copied)."""
+def tokenizer_paths() -> tuple[str, str]:
+    """The byte-level tokenizer and its rank table, installed on every node (never copied)."""
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def query(name: str, sql: str | None = None):
@@ -40,7 +40,7 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_pack")
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_paths())
 
 
 @query("op3_hash_tree_shards")
