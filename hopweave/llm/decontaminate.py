@@ -56,9 +56,8 @@ def _item_shingles(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("item", "item_id", "length", F.explode(F.array_distinct(hashes)).alias("h"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text", percent: int = 80) -> DataFrame:
-    """(doc_id, item_id, n_item, n_shared, containment) of every leaked pair."""
+def _leaked(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, percent: int) -> DataFrame:
+    """(doc_id, t, item, item_id, n_item, n_shared) of every leaked pair; t: the text's hash."""
     wanted = stage(_item_shingles(items, item_col, item_text_col), "item-shingles")
     lengths = [r["length"] for r in wanted.select("length").distinct().collect()]          # at most SHINGLE values
     sizes = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("n_item"))
@@ -87,11 +86,25 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     pairs = found.select(F.col("doc_id").alias("d"), F.col("t").alias("u"), "item").join(wanted, "item")
     shared = again.join(pairs, (again["h"] == pairs["h"]) & again["doc_id"].eqNullSafe(F.col("d")) & (again["t"] == F.col("u"))) \
         .groupBy("doc_id", "t", "item", "item_id").agg(F.count(F.lit(1)).alias("n_shared"))
-    return shared.join(sizes, "item").where(F.col("n_shared") * 100 >= F.col("n_item") * percent) \
+    return shared.join(sizes, "item").where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
+
+
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text", percent: int = 80) -> DataFrame:
+    """(doc_id, item_id, n_item, n_shared, containment) of every leaked pair."""
+    return _leaked(docs, items, id_col, text_col, item_col, item_text_col, percent) \
         .groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("n_shared") / F.col("n_item")).alias("c"), "n_shared", "n_item")).alias("b")) \
         .select("doc_id", "item_id", F.col("b.n_item").alias("n_item"), F.col("b.n_shared").alias("n_shared"), F.col("b.c").alias("containment"))
 
 
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose text leaks no item."""
+    bad = _leaked(docs, items, id_col, text_col, item_col, item_text_col, percent) \
+        .select(F.col("doc_id").alias("_bad_id"), F.col("t").alias("_bad_t")).distinct()
+    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.col(text_col)) == F.col("_bad_t")), "left_anti")
+
+
 ORACLE = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x : x <> '') AS w FROM documents WHERE text IS NOT NULL),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x : x <> '') AS w FROM benchmark WHERE text IS NOT NULL),

@@ -171,7 +171,7 @@ def _sets(segments: int, n: int, percent: int):
             seen.add(int(klass[r]))
             own = slice(first[r], first[r + 1])
             data.append(tokens[own][keep[own]].tobytes())
-        return pa.table({"doc_id": docs.column("doc_id"), "n": pa.array(size, pa.int64()), "class": pa.array(klass, pa.int64()),
+        return pa.table({"doc_id": docs.column("doc_id"), "t": docs.column("t"), "n": pa.array(size, pa.int64()), "class": pa.array(klass, pa.int64()),
                          "alone": pa.array(alone, pa.int64()), "tokens": pa.array(data, pa.binary())})
     return sets
 
@@ -329,27 +329,54 @@ def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
     return out
 
 
-def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
-                    block_bytes: int = BLOCK_BYTES, segment_keys: int = SEGMENT_KEYS) -> DataFrame:
-    """(doc_id, n_shingles, class, component_id) of every row."""
+def _members(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, block_bytes: int, segment_keys: int) -> DataFrame:
+    """(doc_id, t, n, class, root, component_id) of every row; t: the text's hash, root: the
+    component as a class (null without shingles)."""
     _, size = source_bytes(docs, text_col)
     blocks, segments = pieces_for(size, block_bytes, 4), pieces_for(size // 6, segment_keys)
-    rows = docs.select(F.pmod(F.xxhash64(F.lit("block"), F.col(id_col), F.crc32(F.col(text_col).cast("binary"))), F.lit(blocks)).cast("int").alias("block"),
-                       F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("t"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc_id", "t"), F.lit(blocks)).cast("int"))
     grouped = rows.groupBy("block")
     replies = grouped.applyInArrow(_sketch(segments, n), SKETCH).groupBy("segment").applyInArrow(merge_sketches, REPLY)
     found = stage(grouped.cogroup(replies.groupBy("block"))
-                  .applyInArrow(_sets(segments, n, percent), "doc_id long, n long, class long, alone long, tokens binary"), "sets")
-    classes = found.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+                  .applyInArrow(_sets(segments, n, percent), "doc_id long, t long, n long, class long, alone long, tokens binary"), "sets")
     sets = stage(found.where(F.col("tokens").isNotNull()).groupBy("class").agg(
         F.min(F.struct("n", "alone", "tokens")).alias("s")).select("class", "s.n", "s.alone", "s.tokens"), "class-sets")
     links = links_of(sets, percent)
-    named = classes.withColumn("root", F.col("class"))
+    named = found.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least")).withColumn("root", F.col("class"))
     if links is not None:
-        roots = components(links).withColumnRenamed("node", "class")
-        named = classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+        named = named.drop("root").join(components(links).withColumnRenamed("node", "class"), "class", "left") \
+            .withColumn("root", F.coalesce("root", "class"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = stage(named.join(ids, "root").select("class", "component_id"), "class-components")
-    members = found.select("doc_id", F.col("n").alias("n_shingles"), "class")
-    return members.where("n_shingles > 0").join(of_class, "class").select("doc_id", "n_shingles", "class", "component_id") \
-        .unionByName(members.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("class"), F.col("doc_id").alias("component_id")))
+    of_class = stage(named.join(ids, "root").select("class", "root", "component_id"), "class-components")
+    members = found.select("doc_id", "t", "n", "class")
+    return members.where("n > 0").join(of_class, "class").select("doc_id", "t", "n", "class", "root", "component_id") \
+        .unionByName(members.where("n = 0").select("doc_id", "t", "n", "class", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id")))
+
+
+def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
+                    block_bytes: int = BLOCK_BYTES, segment_keys: int = SEGMENT_KEYS) -> DataFrame:
+    """(doc_id, n_shingles, class, component_id) of every row."""
+    return _members(docs, id_col, text_col, n, percent, block_bytes, segment_keys) \
+        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80,
+                block_bytes: int = BLOCK_BYTES, segment_keys: int = SEGMENT_KEYS) -> DataFrame:
+    """The rows of ``docs`` (all columns) with one row of every component: its smallest id.
+
+    Texts without shingles link with nothing and stay, row by row.
+    """
+    members = _members(docs, id_col, text_col, n, percent, block_bytes, segment_keys).where("n > 0")
+    best = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("b"))
+    best = best.select(F.coalesce("b.doc_id", F.lit(_NO_ID)).alias("_id"), F.col("b.t").alias("_t"), F.lit(True).alias("_one"))
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
+    rows = docs.withColumn("_id", key).withColumn("_t", F.xxhash64(F.col(text_col)))
+    some = rows.where(F.coalesce(F.col(text_col).rlike(_WORD), F.lit(False)))
+    none = docs.where(~F.coalesce(F.col(text_col).rlike(_WORD), F.lit(False)))
+    return some.join(best, ["_id", "_t"]).dropDuplicates(["_id", "_t"]).select(*docs.columns).unionByName(none)
+
+
+_NO_ID = -(1 << 63)
+#: A text with a word at all.
+_WORD = r"[^\x20\x09-\x0D]"

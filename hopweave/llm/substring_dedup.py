@@ -131,7 +131,7 @@ def _find_first(t):
                      "a": pa.array(bits, pa.binary()), "b": pa.array([None] * t.num_rows, pa.binary())})
 
 
-def _finish(segments: int, n: int, keep: list[str]):
+def _finish(segments: int, n: int, keep: list[str], untouched: bool):
     def finish(docs, replies):
         docs, key, (h1, _, row, start), order, group, lead, later = _candidates(docs, replies, segments, n)
         first_of_all = np.zeros(len(lead), dtype=bool)
@@ -161,7 +161,7 @@ def _finish(segments: int, n: int, keep: list[str]):
             n_words.append(len(words))
             n_removed.append(len(words) - len(left))
             spans.append([{"start": x, "end": y} for x, y in runs])
-            kept.append(b" ".join(left).decode())
+            kept.append(text.as_py() if untouched and not runs else b" ".join(left).decode())
         out = [docs.column(c) for c in keep]
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table([*out, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.string())],
@@ -170,8 +170,12 @@ def _finish(segments: int, n: int, keep: list[str]):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=("doc_id",), n: int = WINDOW,
-                   block_bytes: int = BLOCK_BYTES, segment_windows: int = SEGMENT_KEYS) -> DataFrame:
-    """``keep`` columns plus n_words, n_removed, removed (word spans) and kept_text of every row."""
+                   block_bytes: int = BLOCK_BYTES, segment_windows: int = SEGMENT_KEYS, untouched: bool = False) -> DataFrame:
+    """``keep`` columns plus n_words, n_removed, removed (word spans) and kept_text of every row.
+
+    kept_text is the kept words with one blank between; with ``untouched``, a text that loses
+    nothing is returned as it came.
+    """
     keep = [c for c in keep if c not in _OUT]
     _, size = source_bytes(docs, text_col)
     blocks, segments = pieces_for(size, block_bytes, 4), pieces_for(size // 6, segment_windows)
@@ -187,5 +191,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                           T.StructField("removed", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
                           T.StructField("kept_text", T.StringType())])
-    out = grouped.cogroup(maybe.unionByName(firsts).groupBy("block")).applyInArrow(_finish(segments, n, kept), schema)
+    out = grouped.cogroup(maybe.unionByName(firsts).groupBy("block")).applyInArrow(_finish(segments, n, kept, untouched), schema)
     return out.withColumnsRenamed(dict(zip(kept, keep, strict=True)))
