@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +23,6 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Tables keyed by (address, day) that are hash-partitioned by address join and
     # window on address without a further shuffle.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
@@ -57,17 +57,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a fresh folder is created and set.
+    Where it is unset, a local master gets a fresh folder (tests, a laptop); on a cluster a
+    machine-local folder would be lost, so that is an error.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a shared folder")
         current = tempfile.mkdtemp(prefix="hopweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
-    else:
-        spark.sparkContext.setCheckpointDir(current)
+    spark.sparkContext.setCheckpointDir(current)
     return current
 
 
@@ -78,6 +77,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A path for a written stage table beside the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), "stages", name)
+    """A new path for a written table beside the shared checkpoint folder.
+
+    Every call takes a folder of its own (runs and sessions never meet), removed when the
+    driver ends.
+    """
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex}"
+    hadoop_fs(spark, path).deleteOnExit(hadoop_path(spark, path))
+    return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """The file system of a path, wherever it is."""
+    return hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return hadoop_fs(spark, path).exists(hadoop_path(spark, path))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop_fs(spark, path).delete(hadoop_path(spark, path), True)
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> None:
+    if not hadoop_fs(spark, src).rename(hadoop_path(spark, src), hadoop_path(spark, dst)):
+        raise OSError(f"cannot rename {src} to {dst}")
