@@ -17,16 +17,19 @@ Scale notes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hopweave.functions.common import DUST_WEI, as_of_ts, hash_shard, strict_greatest, utc_ts
+from hopweave.session import path_exists
 
 TX_COLS = ["from_address", "to_address", "block_number", "timestamp", "value_wei_raw",
            "gas_price_wei", "gas_used", "nonce", "input_bytes", "tx_hash", "day"]
 
 # Seeds and day lists are broadcast below these proven row counts.
-SEED_BROADCAST_ROWS = 2_000_000
+SEED_BROADCAST_ROWS = 200_000
 DAYS_BROADCAST_ROWS = 100_000
 
 
@@ -270,12 +273,30 @@ def g_edge_features(final_tx: DataFrame) -> DataFrame:
     )
 
 
+EDGE_KEY = ["day", "tx_hash"]
+
+
+def append_keyed(rows: DataFrame, path: str, keys: list, partition_col: str = "day") -> DataFrame:
+    """Insert the rows whose key the table does not hold yet; create the table if missing.
+
+    Rows of earlier batches stay, and a replayed batch adds nothing.  Only the partitions
+    the batch touches are read; a hot partition is split over several tasks and files.
+    """
+    spark = rows.sparkSession
+    new = rows.dropDuplicates(keys)
+    if path_exists(spark, path):
+        days = [r[0] for r in new.select(partition_col).distinct().collect()]     # a calendar's worth
+        touched = F.col(partition_col).isin([d for d in days if d is not None])
+        touched = touched | F.col(partition_col).isNull() if None in days else touched
+        stored = spark.read.schema(rows.schema).parquet(path).where(touched).select(*[F.col(k).alias(f"_{k}") for k in keys])
+        new = new.join(stored, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_anti")
+    new.hint("rebalance", partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def g_append_final(edges: DataFrame, path: str) -> DataFrame:
-    """Write day partitions, replacing only the days present (idempotent re-runs)."""
-    (edges.repartition("day").sortWithinPartitions("from_address", "to_address")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day").parquet(path))
-    return edges.sparkSession.read.parquet(path)
+    """Append a batch of daily edges to the edge table, keyed by (day, transaction)."""
+    return append_keyed(edges, path, EDGE_KEY).select(*edges.columns)
 
 
 def build_graph(tx: DataFrame, accounts: DataFrame, as_of, k1: int = 15, k2: int = 5, cap: int = 20,

@@ -1,15 +1,17 @@
 """Registered publishing queries.
 
-Compaction and repack write under the session's shared checkpoint folder and
-read the result back.  Manifest and verify hash files on disk; SQL has no
-equivalent, so they carry no oracle (row-count check only).
+Compaction and repack write under the session's shared checkpoint folder and read the
+result back; manifest and verify hash document contents.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from hopweave.operators import publish as pub
 from hopweave.plans.registry import register
 from hopweave.session import stage_path
+from hopweave.sources.tables import table
 
 LINEITEM_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
                  "l_returnflag, l_linestatus, l_shipdate")
@@ -41,17 +43,31 @@ def q_repack(spark, sf_dir):
                                     stage_path(spark, "repack_orders"))
 
 
-@register("pub_manifest")
+# Checksums are a function of (path, content): registered over the documents table, each text a
+# file; the file walk around it is tested on real files.
+_FILES_SQL = ("select concat('doc/', doc_id) as path, cast(octet_length(encode(coalesce(text, ''))) as bigint) as size, "
+              "sha256(coalesce(text, '')) as sha256, md5(coalesce(text, '')) as md5 from documents")
+
+
+def _content_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
+    return pub.checksum_rows(docs, "text", ["path"])
+
+
+@register("pub_manifest", sql=_FILES_SQL)
 def q_manifest(spark, sf_dir):
-    """Checksum manifest (path, size, mtime, sha256, md5) of the input tables."""
-    return pub.pub_manifest(spark, sf_dir, "*.parquet")
+    """Size, sha256 and md5 of every document's content."""
+    return _content_manifest(spark, sf_dir)
 
 
-@register("pub_verify")
+@register("pub_verify", sql=f"""WITH m AS ({_FILES_SQL}), d AS (select *, cast(substr(path, 5) as bigint) as k from m)
+select path, case when k % 7 = 1 then 'missing' when k % 7 = 2 then 'not listed' when k % 7 = 3 then 'mismatch' else 'ok' end as status from d""")
 def q_verify(spark, sf_dir):
-    """Recomputed manifest checked against a stored one (written, then read back)."""
-    m = pub.pub_manifest(spark, sf_dir, "*.parquet")
-    path = stage_path(spark, "manifest_inputs")
-    m.write.mode("overwrite").json(path)
-    listed = spark.read.json(path)
-    return pub.pub_verify(listed, pub.pub_manifest(spark, sf_dir, "*.parquet"))
+    """A stored manifest (history of JSON lines) against content that has since lost, gained and changed files by rule."""
+    k = F.substring("path", 5, 20).cast("bigint") % 7
+    now = _content_manifest(spark, sf_dir)
+    history = stage_path(spark, "manifest_history")
+    pub.append_manifest(now.where(k != 2), history, "first")
+    listed = spark.read.json(history)
+    changed = now.where(k != 1).withColumn("sha256", F.when(k == 3, F.reverse("sha256")).otherwise(F.col("sha256")))
+    return pub.pub_verify(listed, changed)

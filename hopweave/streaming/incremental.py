@@ -1,16 +1,12 @@
 """Incremental edge building over a growing ledger folder (Structured Streaming).
 
-The batch pipeline appends each run's daily edges to one table ("create if
-missing, then insert").  Re-aimed for Spark: a file-source stream picks up new
-ledger files, every micro-batch runs the same batch operators on just those
-rows, and ``foreachBatch`` writes the result with dynamic partition overwrite
-keyed by day, so a replayed micro-batch (after a failure) rewrites the same
-partitions instead of duplicating rows.  The stream's checkpoint lives in the
-shared checkpoint folder, so a restarted driver resumes where it stopped.
-
-Note: a day whose transfers arrive in several micro-batches is rebuilt from
-the rows of the latest batch only; land ledger files per whole day (the usual
-export granularity) so each day partition is produced by one batch.
+The batch pipeline appends each run's daily edges to one table ("create if missing, then
+insert").  Here a file-source stream picks up new ledger files, every micro-batch runs the
+same batch operators on just those rows, and ``foreachBatch`` appends the edges keyed by
+(day, transaction): a day may arrive in any number of micro-batches and keeps the edges of
+all of them, while a replayed micro-batch (after a failure) adds nothing.  The stream's
+checkpoint lives in the shared checkpoint folder, so a restarted driver resumes where it
+stopped.
 """
 
 from __future__ import annotations
@@ -35,9 +31,7 @@ def start_edge_stream(spark: SparkSession, ledger_dir: str, seeds: DataFrame, ou
     src = spark.readStream.schema(schema).parquet(ledger_dir)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        edges = first_hop_edges(batch, seeds, min_wei)
-        (edges.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day").parquet(out_path))
+        g.g_append_final(first_hop_edges(batch, seeds, min_wei), out_path)
 
     ckpt = os.path.join(checkpoint_dir(spark).rstrip("/"), "streams", name)
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
