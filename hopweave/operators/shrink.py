@@ -46,54 +46,43 @@ def p_week_marks(base: DataFrame) -> DataFrame:
     return base.groupBy("address", "week").agg(F.sum("day_activity").alias("week_activity"))
 
 
-def p_zero_runs(marks: DataFrame, mode: str = "reference") -> DataFrame:
-    """Gaps-and-islands over weeks: a zero week after an active week opens a run.
+def p_idle_runs(marks: DataFrame, mode: str = "reference") -> DataFrame:
+    """Numbers the idle runs of each account: ``run_no`` is the number of changes from an
+    active to an idle week up to this week.
 
-    ``mode="reference"``: the run id stays on the following active weeks too and
-    a series that starts idle shares id 0 with what follows (the source's rule).
-    ``mode="strict"``: every maximal stretch of zero weeks is its own run.
+    ``mode="reference"``: an idle first week is no change, so such a series begins in run 0.
+    ``mode="strict"``: it is one, so every stretch of idle weeks has a number of its own.
     """
-    w = Window.partitionBy("address").orderBy("week")
-    is_zero = F.when(F.col("week_activity") > 0, 0).otherwise(1)
-    prev_zero = F.lag(F.when(F.col("week_activity") == 0, 1).otherwise(0)).over(w)
-    if mode == "reference":
-        start = F.when((F.col("week_activity") == 0) & (prev_zero == 0), 1).otherwise(0)
-    elif mode == "strict":
-        start = F.when((F.col("week_activity") == 0) & (prev_zero.isNull() | (prev_zero == 0)), 1).otherwise(0)
-    else:
+    if mode not in ("reference", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
-    runs = marks.select("address", "week", "week_activity", is_zero.alias("is_zero"), start.alias("zero_run_start"))
-    frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return runs.select("address", "week", "week_activity", "is_zero",
-                       F.sum(F.when((F.col("is_zero") == 1) & (F.col("zero_run_start") == 1), 1).otherwise(0))
-                       .over(frame).alias("zero_run_id"))
+    weeks = Window.partitionBy("address").orderBy("week")
+    idle = ~F.coalesce(F.col("week_activity") > 0, F.lit(False))
+    was_active = F.coalesce(F.lag(~F.col("is_idle")).over(weeks), F.lit(mode == "strict"))
+    return marks.select("address", "week", "week_activity", idle.alias("is_idle")) \
+        .withColumn("_opens", F.col("is_idle") & was_active) \
+        .select("address", "week", "week_activity", "is_idle", F.count_if("_opens").over(weeks).alias("run_no"))
 
 
-def p_run_rank(runs: DataFrame, mode: str = "reference") -> DataFrame:
-    """Index of each zero week inside its run and the run length (NULL on active weeks)."""
-    part = ["address", "zero_run_id"] + (["is_zero"] if mode == "strict" else [])
-    w = Window.partitionBy(*part).orderBy("week")
-    wall = Window.partitionBy(*part)
-    z = F.col("is_zero") == 1
-    return runs.select("*", F.when(z, F.row_number().over(w)).alias("zero_idx_in_run"),
-                       F.when(z, F.count(F.lit(1)).over(wall)).alias("zero_run_len"))
+def p_run_place(runs: DataFrame, mode: str = "reference") -> DataFrame:
+    """Place of each idle week in its run and the run's weeks (NULL on active weeks).
 
-
-def p_week_flags(ranked: DataFrame, keep_every: int = 4) -> DataFrame:
-    z = F.col("is_zero") == 1
-    idx, ln = F.col("zero_idx_in_run"), F.col("zero_run_len")
-    return ranked.select(
-        "address", "week",
-        (F.col("week_activity") > 0).alias("is_active"),
-        F.when(z & ((idx == 1) | (idx == ln)), True).otherwise(False).alias("is_boundary_zero"),
-        F.when(z & (ln >= 3) & (F.pmod(idx - 1, F.lit(keep_every)) == 0), True).otherwise(False).alias("is_sampled_zero"))
+    In reference mode a run lasts until the next one begins, active weeks included; in
+    strict mode it has its idle weeks only.
+    """
+    run = Window.partitionBy("address", "run_no")
+    weeks = F.count(F.lit(1)) if mode == "reference" else F.count_if("is_idle")
+    only_idle = lambda c: F.when(F.col("is_idle"), c)
+    return runs.withColumns({"place": only_idle(F.count_if("is_idle").over(run.orderBy("week"))),
+                             "run_weeks": only_idle(weeks.over(run))})
 
 
 def p_keep_weeks(base: DataFrame, keep_every: int = 4, mode: str = "reference") -> DataFrame:
-    """Daily rows of weeks kept: active weeks, first/last zero week of a run, and
-    every ``keep_every``-th zero week of runs of length ≥ 3."""
-    flags = p_week_flags(p_run_rank(p_zero_runs(p_week_marks(base), mode), mode), keep_every)
-    kept = flags.where(F.col("is_active") | F.col("is_boundary_zero") | F.col("is_sampled_zero")).select("address", "week")
+    """Daily rows of the weeks kept: active ones, the first and last place of a run, and
+    every ``keep_every``-th place of runs of three weeks or more."""
+    placed = p_run_place(p_idle_runs(p_week_marks(base), mode), mode)
+    edge = F.col("place").isin(1) | (F.col("place") == F.col("run_weeks"))
+    sampled = (F.col("run_weeks") > 2) & (F.col("place") % keep_every == 1 % keep_every)
+    kept = placed.where(~F.col("is_idle") | edge | sampled).select("address", "week")
     return base.join(kept, ["address", "week"], "left_semi")
 
 

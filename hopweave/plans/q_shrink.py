@@ -21,29 +21,27 @@ def _base(spark, sf_dir):
 
 
 def _runs_sql(strict: bool) -> str:
-    if strict:
-        start = ("case when week_activity = 0 and coalesce(lag(case when week_activity = 0 then 1 else 0 end) "
-                 "over (partition by address order by week), 0) = 0 then 1 else 0 end")
-        part = "address, zero_run_id, is_zero"
-    else:
-        start = ("case when week_activity = 0 and lag(case when week_activity = 0 then 1 else 0 end) "
-                 "over (partition by address order by week) = 0 then 1 else 0 end")
-        part = "address, zero_run_id"
-    return (
-        "WITH base AS (select *, cast(date_trunc('week', day) as date) as week, "
-        "normal_total_cnt + erc20_total_cnt + internal_in_cnt + internal_out_cnt as day_activity from fx_order_calendar), "
-        "wm AS (select address, week, sum(day_activity) as week_activity from base group by all), "
-        f"wr AS (select address, week, week_activity, case when week_activity > 0 then 0 else 1 end as is_zero, "
-        f"{start} as zero_run_start from wm), "
-        "zr AS (select address, week, week_activity, is_zero, sum(case when is_zero = 1 and zero_run_start = 1 then 1 else 0 end) "
-        "over (partition by address order by week rows between unbounded preceding and current row) as zero_run_id from wr), "
-        f"zrr AS (select *, case when is_zero = 1 then row_number() over (partition by {part} order by week) end as zero_idx_in_run, "
-        f"case when is_zero = 1 then count(*) over (partition by {part}) end as zero_run_len from zr), "
-        "wk AS (select address, week, week_activity > 0 as is_active, "
-        "case when is_zero = 1 and (zero_idx_in_run = 1 or zero_idx_in_run = zero_run_len) then true else false end as is_boundary_zero, "
-        "case when is_zero = 1 and zero_run_len >= 3 and (zero_idx_in_run - 1) % 4 = 0 then true else false end as is_sampled_zero "
-        "from zrr), "
-        "kept AS (select address, week from wk where is_active or is_boundary_zero or is_sampled_zero) ")
+    """The rule stated by week numbers instead of running counts: a run begins at the last
+    change before a week, and its length is the distance to where it ends."""
+    first_week = "or w.n = 1" if strict else ""
+    # where a run ends: at its first active week (strict), else where the next run begins
+    ends = "select address, n from numbered where activity > 0" if strict else "select address, n from changes"
+    return f"""WITH base AS (select *, cast(date_trunc('week', day) as date) as week,
+      normal_total_cnt + erc20_total_cnt + internal_in_cnt + internal_out_cnt as day_activity from fx_order_calendar),
+    weekly AS (select address, week, sum(day_activity) as activity from base group by address, week),
+    numbered AS (select *, row_number() over (partition by address order by week) as n, count(*) over (partition by address) as total from weekly),
+    changes AS (select w.address, w.n from numbered w left join numbered p on p.address = w.address and p.n = w.n - 1
+      where not w.activity > 0 and (p.activity > 0 {first_week})),
+    ends AS ({ends}),
+    begun AS (select w.address, w.n, count(c.n) as run_no, coalesce(max(c.n), 1) as begin_n
+      from numbered w left join changes c on c.address = w.address and c.n <= w.n group by w.address, w.n),
+    ended AS (select w.address, w.n, min(e.n) as end_n from numbered w join ends e on e.address = w.address and e.n > w.n group by w.address, w.n),
+    placed AS (select w.address, w.week, w.activity as week_activity, not w.activity > 0 as is_idle, b.run_no,
+      case when not w.activity > 0 then w.n - b.begin_n + 1 end as place,
+      case when not w.activity > 0 then coalesce(e.end_n, w.total + 1) - b.begin_n end as run_weeks
+      from numbered w join begun b on b.address = w.address and b.n = w.n left join ended e on e.address = w.address and e.n = w.n),
+    kept AS (select address, week from placed
+      where not is_idle or place = 1 or place = run_weeks or (run_weeks >= 3 and place % 4 = 1)) """
 
 
 _BASE_OUT = ("select address, cast(day as varchar) as day, normal_total_cnt, erc20_total_cnt, internal_in_cnt, internal_out_cnt, "
@@ -57,34 +55,32 @@ def q_day_activity(spark, sf_dir):
 
 
 @register("p_week_marks", sql=_runs_sql(False) +
-          "select address, cast(week as varchar) as week, cast(week_activity as bigint) as week_activity from wm", fixtures=CAL)
+          "select address, cast(week as varchar) as week, cast(activity as bigint) as week_activity from weekly", fixtures=CAL)
 def q_week_marks(spark, sf_dir):
     """Activity per (account, week)."""
     return p.p_week_marks(_base(spark, sf_dir))
 
 
-_RUNS_OUT = ("select address, cast(week as varchar) as week, cast(week_activity as bigint) as week_activity, "
-             "cast(is_zero as bigint) as is_zero, cast(zero_run_id as bigint) as zero_run_id")
+_RUNS_OUT = "select address, cast(week as varchar) as week, cast(week_activity as bigint) as week_activity, is_idle, cast(run_no as bigint) as run_no"
 
 
-@register("p_zero_runs", sql=_runs_sql(False) + _RUNS_OUT + " from zr", fixtures=CAL)
-def q_zero_runs(spark, sf_dir):
-    """Zero-run ids, source rule (run id carries over following active weeks)."""
-    return p.p_zero_runs(p.p_week_marks(_base(spark, sf_dir)))
+@register("p_zero_runs", sql=_runs_sql(False) + _RUNS_OUT + " from placed", fixtures=CAL)
+def q_idle_runs(spark, sf_dir):
+    """Idle run numbers, source rule (an idle first week opens no run)."""
+    return p.p_idle_runs(p.p_week_marks(_base(spark, sf_dir)))
 
 
-@register("p_zero_runs_strict", sql=_runs_sql(True) + _RUNS_OUT + " from zr", fixtures=CAL)
-def q_zero_runs_strict(spark, sf_dir):
-    """Zero-run ids, strict rule (every stretch of zero weeks is a run)."""
-    return p.p_zero_runs(p.p_week_marks(_base(spark, sf_dir)), "strict")
+@register("p_zero_runs_strict", sql=_runs_sql(True) + _RUNS_OUT + " from placed", fixtures=CAL)
+def q_idle_runs_strict(spark, sf_dir):
+    """Idle run numbers, strict rule (every stretch of idle weeks is a run)."""
+    return p.p_idle_runs(p.p_week_marks(_base(spark, sf_dir)), "strict")
 
 
-@register("p_run_rank", sql=_runs_sql(False) + _RUNS_OUT +
-          ", cast(zero_idx_in_run as bigint) as zero_idx_in_run, cast(zero_run_len as bigint) as zero_run_len from zrr",
+@register("p_run_rank", sql=_runs_sql(False) + _RUNS_OUT + ", cast(place as bigint) as place, cast(run_weeks as bigint) as run_weeks from placed",
           fixtures=CAL)
-def q_run_rank(spark, sf_dir):
-    """Index inside the run and run length of each zero week."""
-    return p.p_run_rank(p.p_zero_runs(p.p_week_marks(_base(spark, sf_dir))))
+def q_run_place(spark, sf_dir):
+    """Place in the run and run length of each idle week."""
+    return p.p_run_place(p.p_idle_runs(p.p_week_marks(_base(spark, sf_dir))))
 
 
 @register("p_keep_weeks", sql=_runs_sql(False) + _BASE_OUT + " from base b where exists "
