@@ -98,21 +98,21 @@ def list_label_csvs(root: str, spark: SparkSession | None = None) -> list:
     return sorted(out)
 
 
-def read_label_dir(spark: SparkSession, paths, order_col: str | None = None) -> list:
+def read_label_dir(spark: SparkSession, paths, order_col: str | None = None, skipped: list | None = None) -> list:
     """Readable label CSVs that have the required columns, in the given order.
 
-    Unreadable files and files lacking a required column are skipped; the
-    check reads only each file's header.  ``order_col`` names a column that
-    holds the row order inside a file (else the read order is used).
+    Files without a header or lacking a required column are skipped, and named in
+    ``skipped`` if a list is given; any other error (storage, permissions) is raised.  The
+    check reads only each file's header.  ``order_col`` names a column that holds the row
+    order inside a file (else the read order is used).
     """
     out = []
     for i, p in enumerate(paths):
-        try:
-            df = spark.read.option("header", True).option("inferSchema", False).csv(p)
-            cols = set(df.columns)
-        except Exception:  # noqa: BLE001 - unreadable source
-            continue
+        df = spark.read.option("header", True).option("inferSchema", False).csv(p)
+        cols = set(df.columns)
         if not set(REQUIRED).issubset(cols):
+            if skipped is not None:
+                skipped.append(p)
             continue
         if order_col and order_col in cols:
             out.append(df.select(*REQUIRED, F.col(order_col).cast("bigint").alias("row_no")))
