@@ -32,12 +32,12 @@ from events""",
     "fx_token_transfers": f"""
 select {_a('user_id')} as from_address, {_a(_KEY)} as to_address,
  {_a('1000000 + ' + _KEY + ' % 7')} as token_address, ts as block_timestamp
-from events where event_type in ('view','purchase')""",
+from events""",
     "fx_traces": f"""
 select {_a('user_id')} as from_address, {_a(_KEY)} as to_address,
  cast(round(value * 100) as decimal(18,0)) * cast(1000000000000 as decimal(13,0)) as value,
  case when event_id % 10 = 0 then 0 else 1 end as status, 'call' as call_type, ts as block_timestamp
-from events where event_type in ('purchase','click')""",
+from events""",
     "fx_contracts": f"""
 select {_a('c_custkey')} as address from customer where c_custkey % 3 = 0""",
     "fx_accounts": f"""
@@ -47,9 +47,9 @@ select {_a('c_custkey')} as address, case when c_acctbal < 0 then 1 else 0 end a
 from customer""",
     "fx_seeds": f"""
 select lower({_a('c_custkey')}) as address,
- cast(make_date(2024, 1, cast(3 + c_custkey % 5 as int)) as timestamp) as activity_start_ts,
+ case when c_custkey % 3 <> 1 then cast(make_date(2024, 1, cast(3 + c_custkey % 5 as int)) as timestamp) end as activity_start_ts,
  case when c_custkey % 4 = 0 then null else cast(make_date(2024, 1, cast(20 + c_custkey % 5 as int)) as timestamp) end as activity_end_ts
-from customer where c_custkey % 3 <> 1""",
+from customer""",
     "fx_seed_accounts": """
 select s.address, a.is_scam, a.description, a.is_contract, s.activity_start_ts, s.activity_end_ts
 from fx_seeds s join (select lower(address) as address, is_scam, description, is_contract from fx_accounts) a
@@ -93,7 +93,7 @@ from customer join nation on c_nationkey = n_nationkey
 union all
 select 1000000000 + o_orderkey, {_a('o_custkey')}, concat('Order#', cast(o_orderkey as varchar)), o_orderpriority,
  case when o_orderstatus = 'F' then '1' else '0' end, o_orderstatus
-from orders where o_orderpriority = '1-URGENT'""",
+from orders""",
 }
 
 # Order in which CTEs may reference one another.

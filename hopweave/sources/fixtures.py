@@ -56,7 +56,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "purchase"))
+    ev = table(spark, sf_dir, "events")
     return ev.select(
         synth_address("user_id").alias("from_address"),
         synth_address(_props_key()).alias("to_address"),
@@ -66,7 +66,7 @@ def token_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "click"))
+    ev = table(spark, sf_dir, "events")
     return ev.select(
         synth_address("user_id").alias("from_address"),
         synth_address(_props_key()).alias("to_address"),
@@ -97,12 +97,12 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled accounts with an activity window (two of every three customers)."""
+    """Labelled accounts; every third one was never active (no start)."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    return c.where(k % 3 != 1).select(
+    return c.select(
         F.lower(synth_address(k)).alias("address"),
-        F.make_date(F.lit(2024), F.lit(1), (F.lit(3) + k % 5).cast("int")).cast("timestamp").alias("activity_start_ts"),
+        F.when(k % 3 != 1, F.make_date(F.lit(2024), F.lit(1), (F.lit(3) + k % 5).cast("int")).cast("timestamp")).alias("activity_start_ts"),
         F.when(k % 4 == 0, F.lit(None).cast("timestamp"))
          .otherwise(F.make_date(F.lit(2024), F.lit(1), (F.lit(20) + k % 5).cast("int")).cast("timestamp"))
          .alias("activity_end_ts"),
@@ -192,7 +192,7 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings shaped like scraped label lists: customers (padded upper-case,
-    malformed and plain addresses, empty tags) plus urgent orders (repeated
+    malformed and plain addresses, empty tags) plus all orders (repeated
     addresses with other flags).  Every label reader is fed a projection of it."""
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"),
                                               F.col("c_nationkey") == F.col("n_nationkey"))
@@ -207,7 +207,7 @@ def label_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") < 1000, F.lit("")).otherwise(F.col("n_name")).alias("tag"),
         F.when(F.col("c_acctbal") < 0, F.lit("1")).otherwise(F.lit("0")).alias("flag"),
         seg.alias("segment"))
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(
+    o = table(spark, sf_dir, "orders").select(
         (F.lit(1000000000) + F.col("o_orderkey")).alias("row_no"),
         synth_address("o_custkey").alias("address"),
         F.concat(F.lit("Order#"), F.col("o_orderkey").cast("string")).alias("name"),
