@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hopweave.functions.common import round_half_up, sized_broadcast, stable_hash, utc_ts
+from hopweave.session import cut_lineage
 
 # ---- fixed values (patterns must equal the source pipeline's) -----------------
 # Exchange / DEX / aggregator names used by the balancing step.
@@ -38,7 +39,7 @@ KEEP_RATIO = 1.10
 ENSURE_EXCH = 2000
 SAMPLE_SEED = "42"
 
-ACCOUNT_BROADCAST_ROWS = 2_000_000
+ACCOUNT_BROADCAST_ROWS = 200_000
 ACCT_COLS = ["address", "is_scam", "description", "activity_start_ts", "activity_end_ts", "is_contract"]
 
 
@@ -76,15 +77,14 @@ def acct_merge_bounds(addrs: DataFrame, tx_bounds: DataFrame, token_bounds: Data
     if as_unix:
         first, last = F.unix_seconds(first), F.unix_seconds(last)
     return j.select("address", "is_scam", "description", first.alias("activity_start_ts"),
-                    last.alias("activity_end_ts")).orderBy("address")
+                    last.alias("activity_end_ts"))
 
 
 def acct_is_contract(accounts: DataFrame, contracts: DataFrame) -> DataFrame:
     """Flag 1 when the address is a deployed contract (lookup de-duplicated first)."""
     lu = contracts.select(F.lower("address").alias("_c")).where(F.col("_c").isNotNull()).distinct()
     j = accounts.join(lu, accounts["address"] == lu["_c"], "left")
-    return j.select(*accounts.columns, F.when(F.col("_c").isNotNull(), 1).otherwise(0).alias("is_contract")) \
-            .orderBy("address")
+    return j.select(*accounts.columns, F.when(F.col("_c").isNotNull(), 1).otherwise(0).alias("is_contract"))
 
 
 def is_exchange(description="description", pattern: str = EXCHANGE_PATTERN) -> Column:
@@ -253,4 +253,5 @@ def build_account_table(base0: DataFrame, transactions: DataFrame, token_transfe
     addrs = acct_distinct_labels(base0)
     merged = acct_merge_bounds(addrs, acct_activity_bounds(addrs, transactions),
                                acct_token_bounds(addrs, token_transfers))
-    return acct_is_contract(merged, contracts)
+    # Kept once: balancing reads the table many times, the ledgers only here.
+    return cut_lineage(acct_is_contract(merged, contracts))

@@ -21,15 +21,19 @@ Scale notes
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hopweave.functions.common import (WEI_PER_ETH, WEI_PER_GWEI, as_of_ts, end_of_day, utc_ts, whole_hours,
-                                       whole_minutes)
+from hopweave.functions.common import (WEI_PER_ETH, WEI_PER_GWEI, as_of_ts, end_of_day, hash_shard, sized_broadcast,
+                                       utc_ts, whole_hours, whole_minutes)
+from hopweave.session import delete_path, hadoop_fs, hadoop_path, path_exists, rename_path
 
 LN24 = math.log(24.0)
 KEYS = ["address", "day"]
+# Account lists are broadcast below this proven row count.
+ACCOUNT_BROADCAST_ROWS = 200_000
 
 
 # ---- accounts → calendar ------------------------------------------------------
@@ -223,9 +227,32 @@ def _internal_rows(tr: DataFrame) -> DataFrame:
     return out.unionByName(inn)
 
 
-def d_internal(tr: DataFrame) -> DataFrame:
+def d_burst_dense(events: DataFrame, calendar: DataFrame | None = None, burst_minutes: int = 5) -> DataFrame:
+    """Reference form of the burst: dense minute grid, zero-filled, rolling row frame.
+
+    Kept for verification of the sparse range-frame form; it materialises every
+    minute between a day's first and last event.
+    """
+    bins = minute_bins(events, calendar).select(*KEYS, "m", "cnt")
+    bounds = bins.groupBy(*KEYS).agg(F.min("m").alias("m0"), F.max("m").alias("m1"))
+    grid = bounds.select(*KEYS, F.explode(F.sequence("m0", "m1", F.expr("INTERVAL 1 MINUTE"))).alias("m"))
+    filled = grid.join(bins, KEYS + ["m"], "left").select(*KEYS, "m", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    w = Window.partitionBy(*KEYS).orderBy("m").rowsBetween(-(burst_minutes - 1), 0)
+    return (filled.select(*KEYS, F.sum("cnt").over(w).alias("r"))
+            .groupBy(*KEYS).agg(F.max("r").cast("bigint").alias("burst_max_tx_5m")))
+
+
+def of_accounts(rows: DataFrame, accounts: DataFrame | None, side: str = "address") -> DataFrame:
+    """Rows whose ``side`` is one of the accounts (all rows without a list): applied before
+    any aggregation, so the rest of the chain is never shuffled."""
+    if accounts is None:
+        return rows
+    return rows.join(accounts.select(F.col("address").alias("_account")), F.col(side) == F.col("_account"), "left_semi")
+
+
+def d_internal(tr: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Successful internal ETH movements: per (address, day) out/in counts and sums."""
-    r = _internal_rows(tr)
+    r = of_accounts(_internal_rows(tr), accounts)
     is_out, is_in = F.col("dir") == "out", F.col("dir") == "in"
     return r.groupBy("address", "day").agg(
         F.sum(F.when(is_out, 1).otherwise(0)).cast("bigint").alias("internal_out_cnt"),
@@ -234,7 +261,7 @@ def d_internal(tr: DataFrame) -> DataFrame:
         wei_to(WEI_PER_ETH, F.sum(F.when(is_in, F.col("value_wei")).otherwise(F.lit(0)))).alias("internal_in_value_eth_sum"))
 
 
-def activity_events(txn: DataFrame, tr: DataFrame) -> DataFrame:
+def activity_events(txn: DataFrame, tr: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Every timestamp that enters a day's activity list: sent, received, internal.
 
     A self-transfer contributes its timestamp twice (once per side).
@@ -244,7 +271,7 @@ def activity_events(txn: DataFrame, tr: DataFrame) -> DataFrame:
     recv = txn.where(F.col("to_addr").isNotNull()).select(F.col("to_addr").alias("address"), "day",
                                                           F.col("block_timestamp").alias("ts"))
     internal = _internal_rows(tr).select("address", "day", "ts")
-    return sent.unionByName(recv).unionByName(internal).where(F.col("ts").isNotNull())
+    return of_accounts(sent.unionByName(recv).unionByName(internal).where(F.col("ts").isNotNull()), accounts)
 
 
 def d_activity_list(calendar: DataFrame, events: DataFrame) -> DataFrame:
@@ -340,31 +367,15 @@ def d_hour_profile(calendar: DataFrame, events: DataFrame, stats: DataFrame | No
         whole_hours("first_ts", "last_ts").cast("bigint").alias("active_hour_span"))
 
 
-def d_burst_dense(events: DataFrame, calendar: DataFrame | None = None, burst_minutes: int = 5) -> DataFrame:
-    """Reference form of the burst: dense minute grid, zero-filled, rolling row frame.
-
-    Kept for verification of the sparse range-frame form; it materialises every
-    minute between a day's first and last event.
-    """
-    bins = minute_bins(events, calendar).select(*KEYS, "m", "cnt")
-    bounds = bins.groupBy(*KEYS).agg(F.min("m").alias("m0"), F.max("m").alias("m1"))
-    grid = bounds.select(*KEYS, F.explode(F.sequence("m0", "m1", F.expr("INTERVAL 1 MINUTE"))).alias("m"))
-    filled = grid.join(bins, KEYS + ["m"], "left").select(*KEYS, "m", F.coalesce("cnt", F.lit(0)).alias("cnt"))
-    w = Window.partitionBy(*KEYS).orderBy("m").rowsBetween(-(burst_minutes - 1), 0)
-    return (filled.select(*KEYS, F.sum("cnt").over(w).alias("r"))
-            .groupBy(*KEYS).agg(F.max("r").cast("bigint").alias("burst_max_tx_5m")))
-
-
-def d_peers(txn: DataFrame, contracts_lu: DataFrame) -> DataFrame:
+def d_peers(txn: DataFrame, contracts_lu: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Distinct counterparties per (address, day) over normal transfers, both directions,
     split into contracts and others (definition inferred; the source never defines it)."""
-    pairs = (txn.where(F.col("from_addr").isNotNull() & F.col("to_addr").isNotNull())
-             .select("from_addr", "day", "to_addr").distinct())
+    rows = txn.where(F.col("from_addr").isNotNull() & F.col("to_addr").isNotNull())
     sides = F.explode(F.array(
         F.struct(F.col("from_addr").alias("a"), F.col("to_addr").alias("p")),
         F.struct(F.col("to_addr").alias("a"), F.col("from_addr").alias("p"))))
-    peers = (pairs.select("day", sides.alias("s"))
-             .select(F.col("s.a").alias("address"), "day", F.col("s.p").alias("peer")).distinct())
+    rows = rows.select("day", sides.alias("s")).select(F.col("s.a").alias("address"), "day", F.col("s.p").alias("peer"))
+    peers = of_accounts(rows, accounts).distinct()
     lu = contracts_lu.select(F.col("address").alias("_c"))
     flagged = peers.join(lu, peers.peer == lu._c, "left")
     return flagged.groupBy("address", "day").agg(
@@ -442,11 +453,13 @@ def build_daily(accounts: DataFrame, tx: DataFrame, token_transfers: DataFrame,
     lu = d_contract_lookup(contracts)
     tk = d_token_norm(token_transfers, lo, hi)
     tr = d_trace_norm(traces, lo, hi)
-    ev = activity_events(txn, tr)
+    mine = sized_broadcast(bounds.select("address").distinct(), ACCOUNT_BROADCAST_ROWS)
+    ev = activity_events(txn, tr, mine)
     ds = day_stats(cal, ev)
     out = dict(base=base, bounds=bounds, calendar=cal, txn=txn, contracts_lu=lu, tokens=tk, traces=tr, events=ev,
-               sent=d_sent(txn, lu), recv=d_recv(txn), tok_sent=d_token_sent(tk), tok_recv=d_token_recv(tk),
-               internal=d_internal(tr), peers=d_peers(txn, lu),
+               sent=d_sent(of_accounts(txn, mine, "from_addr"), lu), recv=d_recv(of_accounts(txn, mine, "to_addr")),
+               tok_sent=d_token_sent(of_accounts(tk, mine, "from_addr")), tok_recv=d_token_recv(of_accounts(tk, mine, "to_addr")),
+               internal=d_internal(tr, mine), peers=d_peers(txn, lu, mine),
                stats=d_activity_stats(cal, ev, stats=ds), hourly=d_hour_profile(cal, ev, stats=ds))
     out["core"] = d_core(cal, out["sent"], out["recv"], out["tok_sent"], out["tok_recv"], out["internal"],
                          out["peers"], out["stats"], out["hourly"])
@@ -454,15 +467,31 @@ def build_daily(accounts: DataFrame, tx: DataFrame, token_transfers: DataFrame,
     return out
 
 
-def overwrite_shard(df: DataFrame, path: str, n: int, lo: int, hi: int, key: str = "address",
-                    partition_col: str = "day") -> None:
-    """Idempotent reload of one hash shard of accounts: rows of the shard are
-    rewritten by dynamic partition overwrite of (shard, day) partitions."""
-    from hopweave.functions.common import hash_shard
-    part = df.where(hash_shard(key, n).between(lo, hi)).withColumn("shard", hash_shard(key, n))
-    (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("shard", partition_col).parquet(path))
+def reload_shards(df: DataFrame, path: str, n: int, lo: int, hi: int, group: DataFrame | None = None, key: str = "address") -> None:
+    """Delete the rows of hash shards ``lo`` .. ``hi`` (of ``n``), then insert those of ``df``.
 
-
-__all__ = [n for n in dir() if n.startswith("d_")] + ["build_daily", "activity_events", "minute_bins",
-                                                      "overwrite_shard", "by_address", "day_stats"]
+    Stored days that the reload no longer has are gone afterwards; other shards are not
+    touched.  With ``group`` (a table of addresses) only the group's rows are deleted and
+    inserted, the shards' other rows stay.  Each shard folder is replaced as a whole.
+    """
+    spark = df.sparkSession
+    shard = hash_shard(key, n)
+    mine = shard.between(lo, hi)
+    rows = df.where(mine)
+    if group is not None:
+        members = group.select(F.lower("address").alias("_member")).distinct()
+        rows = rows.join(members, F.lower(F.col(key)) == F.col("_member"), "left_semi")
+        if path_exists(spark, path):
+            stored = spark.read.schema(df.schema).parquet(path).select(*df.columns).where(mine)
+            rows = rows.unionByName(stored.join(members, F.lower(F.col(key)) == F.col("_member"), "left_anti"))
+    staged = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    # rebalance splits a large shard over several tasks and files
+    rows.withColumn("shard", shard).hint("rebalance", "shard").write.partitionBy("shard").parquet(staged)
+    for k in range(lo, hi + 1):  # a folder per shard, so the table stays at n folders
+        old, new = f"{path.rstrip('/')}/shard={k}", f"{staged}/shard={k}"
+        if path_exists(spark, old):
+            delete_path(spark, old)
+        if path_exists(spark, new):
+            hadoop_fs(spark, path).mkdirs(hadoop_path(spark, path))
+            rename_path(spark, new, old)
+    delete_path(spark, staged)
