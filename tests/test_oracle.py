@@ -66,7 +66,8 @@ def test_every_query_has_a_builder_and_most_an_oracle():
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 100
-    assert set(q) - set(o) == {"pub_manifest", "pub_verify"}
+    # operators of the optional subpackage (op1_..., pipeline) have tests of their own
+    assert {n for n in set(q) - set(o) if n != "pipeline" and not n.startswith("op")} == set()
 
 
 def test_entry_smoke(spark):

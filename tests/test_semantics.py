@@ -207,17 +207,27 @@ def test_manifest_and_verify_detect_change(spark, tmpdir_fresh):
     assert compacted.count() == 100
     files = [f for f in os.listdir(os.path.join(tmpdir_fresh, "compact")) if f.endswith(".parquet")]
     assert len(files) >= 4
-    m1 = P.pub_manifest(spark, os.path.join(tmpdir_fresh, "compact"), "*.parquet")
+    m1 = P.pub_manifest(spark, os.path.join(tmpdir_fresh, "compact"))
     listed = spark.createDataFrame(m1.collect(), m1.schema)
     victim = sorted(files)[0]
+    import hashlib
+    with open(os.path.join(tmpdir_fresh, "compact", victim), "rb") as f:
+        body = f.read()
+    row = m1.where(F.col("path") == victim).first()
+    assert (row["size"], row["sha256"], row["md5"]) == (len(body), hashlib.sha256(body).hexdigest(), hashlib.md5(body).hexdigest())
+    paths = {r.path for r in m1.collect()}
+    assert "_SUCCESS" in paths and not any(x.startswith(".") for x in paths)
+    open(os.path.join(tmpdir_fresh, "compact", "x.part"), "w").close()
+    open(os.path.join(tmpdir_fresh, "compact", "new.txt"), "w").close()
     with open(os.path.join(tmpdir_fresh, "compact", victim), "ab") as f:
         f.write(b"x")
     crc = os.path.join(tmpdir_fresh, "compact", f".{victim}.crc")
     if os.path.exists(crc):  # the local filesystem's own checksum would reject the edited file first
         os.remove(crc)
-    st = {r.path: r.status for r in P.pub_verify(listed, P.pub_manifest(spark, os.path.join(tmpdir_fresh, "compact"),
-                                                                           "*.parquet")).collect()}
-    assert st[victim] == "mismatch" and sum(v == "ok" for v in st.values()) == len(files) - 1
+    os.remove(os.path.join(tmpdir_fresh, "compact", sorted(files)[1]))
+    st = {r.path: r.status for r in P.pub_verify(listed, P.pub_manifest(spark, os.path.join(tmpdir_fresh, "compact"))).collect()}
+    assert st[victim] == "mismatch" and st[sorted(files)[1]] == "missing" and st["new.txt"] == "not listed" and "x.part" not in st
+    assert sum(v == "ok" for v in st.values()) == len(files) - 1  # the other parts and _SUCCESS
     rep = P.pub_repack_validated(spark, out, os.path.join(tmpdir_fresh, "stg"), os.path.join(tmpdir_fresh, "fin")).first()
     assert rep.rows_in == rep.rows_out == 100 and rep.published
 
@@ -252,14 +262,6 @@ def test_edge_stream_is_idempotent(spark, tmpdir_fresh):
     assert got.select("tx_hash").subtract(want.select("tx_hash")).count() == 0
 
 
-def test_write_parts_rewrites_only_present_windows(spark, tmpdir_fresh):
-    path = os.path.join(tmpdir_fresh, "weekly")
-    df1 = spark.createDataFrame([(1, "2024-W01"), (2, "2024-W02")], "node_id long, week string")
-    W.write_parts(df1, path, "week")
-    W.write_parts(spark.createDataFrame([(3, "2024-W02")], "node_id long, week string"), path, "week")
-    got = sorted((r.node_id, r.week) for r in spark.read.parquet(path).collect())
-    assert got == [(1, "2024-W01"), (3, "2024-W02")]
-
 
 def test_published_shape_identities_hold(spark):
     """Zero share of sent count equals null share of sent average; zero share of the
