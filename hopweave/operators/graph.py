@@ -26,7 +26,7 @@ from hopweave.functions.common import DUST_WEI, as_of_ts, hash_shard, strict_gre
 from hopweave.session import path_exists
 
 TX_COLS = ["from_address", "to_address", "block_number", "timestamp", "value_wei_raw",
-           "gas_price_wei", "gas_used", "nonce", "input_bytes", "tx_hash", "day"]
+           "gas_price_wei", "gas_used", "nonce", "input_length", "tx_hash", "day"]
 
 # Seeds and day lists are broadcast below these proven row counts.
 SEED_BROADCAST_ROWS = 200_000
@@ -45,7 +45,7 @@ def normalize_tx(tx: DataFrame) -> DataFrame:
         F.col("gas_price").alias("gas_price_wei"),
         F.col("receipt_gas_used").cast("bigint").alias("gas_used"),
         F.col("nonce").cast("bigint").alias("nonce"),
-        F.col("input").alias("input_bytes"),
+        F.length("input").cast("bigint").alias("input_length"),  # the calldata itself is never shuffled
         F.col("hash").alias("tx_hash"),
         F.to_date(ts).alias("day"),
     )
@@ -149,14 +149,14 @@ def g_addr_day_index(tx_days: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def _endpoint_pairs(tx_days: DataFrame) -> DataFrame:
-    """Each transfer once per side: (endpoint, other side)."""
+def near_sides(tx_days: DataFrame, l1: DataFrame) -> DataFrame:
+    """Each transfer once per side that is a first-hop neighbour of that day, as (near, far, dir)."""
     sides = F.explode(F.array(
-        F.struct(F.col("from_address").alias("ep"), F.col("to_address").alias("other")),
-        F.struct(F.col("to_address").alias("ep"), F.col("from_address").alias("other"))))
-    return (tx_days.select("day", "value_wei_raw", F.col("timestamp").alias("ts"), sides.alias("s"))
-            .select("day", "value_wei_raw", "ts", F.col("s.ep").alias("ep"), F.col("s.other").alias("other"))
-            .where(F.col("ep").isNotNull()))
+        F.struct(F.lit("out").alias("dir"), F.col("from_address").alias("near"), F.col("to_address").alias("far")),
+        F.struct(F.lit("in").alias("dir"), F.col("to_address").alias("near"), F.col("from_address").alias("far"))))
+    rows = tx_days.select(*TX_COLS, sides.alias("s")).select(*TX_COLS, "s.dir", "s.near", "s.far")
+    wanted = l1.select("day", F.col("neighbor_addr").alias("near")).where(F.col("near").isNotNull()).distinct()
+    return rows.join(wanted, ["day", "near"], "left_semi").select(*TX_COLS, "dir", "near", "far")
 
 
 def l1_batch(col="neighbor_addr", n_shards: int = 64, per_batch: int = 4) -> Column:
@@ -164,7 +164,7 @@ def l1_batch(col="neighbor_addr", n_shards: int = 64, per_batch: int = 4) -> Col
 
 
 def g_l2_topk(tx_days: DataFrame, l1: DataFrame, k: int = 5, scope: str = "batch",
-              n_shards: int = 64, per_batch: int = 4) -> DataFrame:
+              n_shards: int = 64, per_batch: int = 4, sides: DataFrame | None = None) -> DataFrame:
     """Second-hop neighbours of each (seed, day), ranked by wei, recency, address.
 
     ``scope="global"``: exact top-k per (seed, day).  ``scope="batch"``: the
@@ -172,6 +172,9 @@ def g_l2_topk(tx_days: DataFrame, l1: DataFrame, k: int = 5, scope: str = "batch
     ``n_shards / per_batch`` hash batches and sums and top-k are taken inside
     each batch, so a second-hop address may appear once per batch with a
     partial sum.
+
+    Transfers are first summed per (day, near, far): a hub meets the seeds that list it once
+    per counterparty, not once per transfer.  ``sides``: ``near_sides`` if already kept.
     """
     l1k = l1.where(F.col("neighbor_addr").isNotNull()).select("seed_addr", "neighbor_addr", "day")
     keys = ["seed_addr", "day"]
@@ -180,13 +183,11 @@ def g_l2_topk(tx_days: DataFrame, l1: DataFrame, k: int = 5, scope: str = "batch
         keys = keys + ["l1_batch"]
     elif scope != "global":
         raise ValueError(f"unknown scope {scope!r}")
-    ep = _endpoint_pairs(tx_days)
-    hits = ep.join(l1k, (ep.day == l1k.day) & (ep.ep == l1k.neighbor_addr), "inner").select(
-        *[F.col(c) if c != "day" else ep.day for c in keys], F.col("other").alias("neighbor2_addr"),
-        "value_wei_raw", "ts")
-    scored = hits.groupBy(*keys, "neighbor2_addr").agg(
-        F.sum("value_wei_raw").alias("sum_value_wei"), F.max("ts").alias("last_ts"),
-        F.count(F.lit(1)).alias("tx_cnt"))
+    sides = near_sides(tx_days, l1) if sides is None else sides
+    pairs = sides.groupBy("day", "near", "far").agg(F.sum("value_wei_raw").alias("wei"), F.max("timestamp").alias("ts"), F.count(F.lit(1)).alias("n"))
+    hits = pairs.join(l1k.withColumnRenamed("neighbor_addr", "near"), ["day", "near"])
+    scored = hits.groupBy(*keys, F.col("far").alias("neighbor2_addr")).agg(
+        F.sum("wei").alias("sum_value_wei"), F.max("ts").alias("last_ts"), F.sum("n").alias("tx_cnt"))
     ranked = top_k(scored, keys, [F.desc_nulls_last("sum_value_wei"), F.desc_nulls_last("last_ts"),
                                   F.asc_nulls_first("neighbor2_addr")], k)
     return ranked.select("seed_addr", "neighbor2_addr", "day", "sum_value_wei", "last_ts", "tx_cnt")
@@ -215,18 +216,14 @@ def g_e1_dust(e1: DataFrame, min_wei=DUST_WEI) -> DataFrame:
     return e1.where(dust_ok(min_wei)).select(*TX_COLS)
 
 
-def _e2(tx_days: DataFrame, l1: DataFrame, l2: DataFrame, direction: str, cap: int, min_wei) -> DataFrame:
-    pairs = (l1.select("seed_addr", "day", F.col("neighbor_addr").alias("l1_addr"))
-             .join(l2.select("seed_addr", "day", F.col("neighbor2_addr").alias("l2_addr")),
-                   ["seed_addr", "day"], "inner"))
-    t = tx_days.where(dust_ok(min_wei))
-    if direction == "out":
-        near, far = "from_address", "to_address"
-    else:
-        near, far = "to_address", "from_address"
-    j = t.join(pairs, (t.day == pairs.day) & (t[near] == pairs.l1_addr) & (t[far] == pairs.l2_addr), "inner")
-    j = j.select(*[t[c] for c in TX_COLS], "seed_addr")
-    capped = top_k(j, ["seed_addr", "day", near, far],
+def _e2(sides: DataFrame, l1: DataFrame, l2: DataFrame, directions: list, cap: int, min_wei) -> DataFrame:
+    """Transfers between a first-hop neighbour (near) and a second-hop one (far) of a seed and
+    day: the sides meet the first hop, then the second; no table of neighbour pairs is built."""
+    t = sides.where(dust_ok(min_wei) & F.col("dir").isin(directions))
+    seeds = l1.select("seed_addr", "day", F.col("neighbor_addr").alias("near"))
+    ends = l2.select("seed_addr", "day", F.col("neighbor2_addr").alias("far"))
+    j = t.join(seeds, ["day", "near"]).join(ends, ["seed_addr", "day", "far"])
+    capped = top_k(j, ["seed_addr", "day", "dir", "near", "far"],
                    [F.desc_nulls_last("value_wei_raw"), F.desc_nulls_last("block_number"),
                     F.asc_nulls_first("tx_hash")], cap)
     return capped.select(*TX_COLS)
@@ -234,18 +231,18 @@ def _e2(tx_days: DataFrame, l1: DataFrame, l2: DataFrame, direction: str, cap: i
 
 def g_e2_out(tx_days, l1, l2, cap: int = 20, min_wei=DUST_WEI) -> DataFrame:
     """Transfers first-hop → chosen second-hop, at most ``cap`` per (seed, day, from, to)."""
-    return _e2(tx_days, l1, l2, "out", cap, min_wei)
+    return _e2(near_sides(tx_days, l1), l1, l2, ["out"], cap, min_wei)
 
 
 def g_e2_in(tx_days, l1, l2, cap: int = 20, min_wei=DUST_WEI) -> DataFrame:
     """Transfers chosen second-hop → first-hop, at most ``cap`` per (seed, day, to, from)."""
-    return _e2(tx_days, l1, l2, "in", cap, min_wei)
+    return _e2(near_sides(tx_days, l1), l1, l2, ["in"], cap, min_wei)
 
 
-def g_final_tx(e1, tx_days, l1, l2, cap: int = 20, min_wei=DUST_WEI) -> DataFrame:
-    return (g_e1_dust(e1, min_wei)
-            .unionByName(g_e2_out(tx_days, l1, l2, cap, min_wei))
-            .unionByName(g_e2_in(tx_days, l1, l2, cap, min_wei)))
+def g_final_tx(e1, tx_days, l1, l2, cap: int = 20, min_wei=DUST_WEI, sides: DataFrame | None = None) -> DataFrame:
+    """First-hop edges and, in one pass, second-hop edges of both directions."""
+    sides = near_sides(tx_days, l1) if sides is None else sides
+    return g_e1_dust(e1, min_wei).unionByName(_e2(sides, l1, l2, ["out", "in"], cap, min_wei))
 
 
 def g_edge_features(final_tx: DataFrame) -> DataFrame:
@@ -259,7 +256,7 @@ def g_edge_features(final_tx: DataFrame) -> DataFrame:
         F.any_value("gas_price_wei").alias("_gp"),
         F.any_value("gas_used").alias("_gu"),
         F.any_value("nonce").alias("nonce"),
-        F.any_value("input_bytes").alias("_in"),
+        F.any_value("input_length").alias("_in"),
     )
     return a.select(
         "from_address", "to_address", "block_number", "timestamp",
@@ -267,7 +264,7 @@ def g_edge_features(final_tx: DataFrame) -> DataFrame:
         F.try_multiply(F.col("_gp").cast("decimal(38,0)"), F.col("_gu").cast("decimal(38,0)"))
          .cast("decimal(38,0)").alias("tx_fee_wei"),
         "nonce",
-        F.floor(strict_greatest(F.length("_in") - 2, F.lit(0)) / 2).cast("bigint").alias("input_data_size"),
+        F.floor(strict_greatest(F.col("_in") - 2, F.lit(0)) / 2).cast("bigint").alias("input_data_size"),
         F.col("to_address").isNull().alias("contract_creation"),
         "tx_hash", "day",
     )
@@ -303,25 +300,23 @@ def build_graph(tx: DataFrame, accounts: DataFrame, as_of, k1: int = 15, k2: int
                 min_wei=DUST_WEI, scope: str = "batch", materialize: bool = True) -> dict:
     """The whole neighbourhood build; returns every stage by name.
 
-    With ``materialize`` the small ranked stages (first-hop top-k, second-hop
-    top-k) are checkpointed into the shared checkpoint folder: each is computed
-    once and reread by the later joins, and a lost executor does not replay the
-    ledger scans behind them.
+    With ``materialize`` what later steps read again is checkpointed into the shared
+    checkpoint folder: the first-hop edges, the ranked neighbours, and the transfer sides
+    that touch a first-hop neighbour.  So the ledger is read twice, and a lost executor
+    does not replay those scans.
     """
     from hopweave.session import cut_lineage
     seeds = g_seeds(accounts, as_of)
     win = seed_window(seeds)
-    e1 = g_first_hop(tx, seeds, win)
-    l1 = g_l1_topk(e1, k1)
-    if materialize:
-        l1 = cut_lineage(l1)
+    keep = cut_lineage if materialize else (lambda df: df)
+    e1 = keep(g_first_hop(tx, seeds, win))
+    l1 = keep(g_l1_topk(e1, k1))
     txd = g_active_days_filter(tx, l1, win)
-    l2 = g_l2_topk(txd, l1, k2, scope=scope)
-    if materialize:
-        l2 = cut_lineage(l2)
-    return dict(tx=tx, seeds=seeds, e1=e1, l1=l1, txd=txd, l2=l2, cap=cap, min_wei=min_wei)
+    sides = keep(near_sides(txd, l1))
+    l2 = keep(g_l2_topk(txd, l1, k2, scope=scope, sides=sides))
+    return dict(tx=tx, seeds=seeds, e1=e1, l1=l1, txd=txd, sides=sides, l2=l2, cap=cap, min_wei=min_wei)
 
 
 def build_edges(stages: dict) -> DataFrame:
     s = stages
-    return g_edge_features(g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], s["cap"], s["min_wei"]))
+    return g_edge_features(g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], s["cap"], s["min_wei"], s["sides"]))

@@ -27,7 +27,7 @@ def first_hop(spark, sf_dir):
 # ---- SQL building blocks (DuckDB) -------------------------------------------
 _TX = ("select lower(from_address) as from_address, lower(to_address) as to_address, block_number, "
        "block_timestamp as timestamp, value as value_wei_raw, gas_price as gas_price_wei, receipt_gas_used as gas_used, "
-       "nonce, input as input_bytes, hash as tx_hash, cast(block_timestamp as date) as day from fx_transactions")
+       "nonce, length(input) as input_length, hash as tx_hash, cast(block_timestamp as date) as day from fx_transactions")
 _SEEDS = (f"select lower(address) as address, activity_start_ts as start_ts, "
           f"coalesce(activity_end_ts, TIMESTAMP '{AS_OF}') as end_ts from fx_seeds where activity_start_ts is not null")
 _E1 = ("select t.*, s.address as seed_addr from g_tx t join g_seeds s on t.from_address = s.address "
@@ -58,7 +58,7 @@ def _l2(k, batch=True):
 def _e2(direction, cap):
     near, far = ("from_address", "to_address") if direction == "out" else ("to_address", "from_address")
     return (f"select from_address, to_address, block_number, timestamp, value_wei_raw, gas_price_wei, gas_used, nonce, "
-            f"input_bytes, tx_hash, day from (select t.*, row_number() over (partition by l1.seed_addr, t.day, t.{near}, t.{far} "
+            f"input_length, tx_hash, day from (select t.*, row_number() over (partition by l1.seed_addr, t.day, t.{near}, t.{far} "
             f"order by t.value_wei_raw desc, t.block_number desc, t.tx_hash asc nulls first) as rn "
             f"from g_txd t join g_l1 l1 on l1.day = t.day and t.{near} = l1.neighbor_addr "
             f"join g_l2 l2 on l2.day = t.day and l2.seed_addr = l1.seed_addr and l2.neighbor2_addr = t.{far} "
@@ -66,19 +66,19 @@ def _e2(direction, cap):
 
 
 _E1D = ("select from_address, to_address, block_number, timestamp, value_wei_raw, gas_price_wei, gas_used, nonce, "
-        "input_bytes, tx_hash, day from g_e1 where value_wei_raw >= 100000000000000")
+        "input_length, tx_hash, day from g_e1 where value_wei_raw >= 100000000000000")
 _FINAL = f"{_E1D} union all {_e2('out', CAP)} union all {_e2('in', CAP)}"
 _FEAT = ("select any_value(lower(from_address)) as from_address, any_value(lower(to_address)) as to_address, "
          "any_value(block_number) as block_number, any_value(timestamp) as timestamp, "
          "cast(cast(any_value(value_wei_raw) as decimal(38,0)) as varchar) as value_wei, "
          "cast(cast(any_value(gas_price_wei) as decimal(38,0)) * cast(any_value(gas_used) as decimal(38,0)) as varchar) as tx_fee_wei, "
          "any_value(nonce) as nonce, "
-         "cast(case when any_value(input_bytes) is null then null else floor(greatest(length(any_value(input_bytes)) - 2, 0) / 2) end as bigint) as input_data_size, "
+         "cast(case when any_value(input_length) is null then null else floor(greatest(any_value(input_length) - 2, 0) / 2) end as bigint) as input_data_size, "
          "any_value(to_address) is null as contract_creation, tx_hash, cast(day as varchar) as day "
          "from g_final group by tx_hash, day")
 
 _TXC = ("from_address, to_address, block_number, timestamp, cast(value_wei_raw as varchar) as value_wei_raw, "
-        "gas_price_wei, gas_used, nonce, input_bytes, tx_hash, cast(day as varchar) as day")
+        "gas_price_wei, gas_used, nonce, input_length, tx_hash, cast(day as varchar) as day")
 
 
 def _with(*parts):
@@ -152,7 +152,7 @@ def q_l2_topk_global(spark, sf_dir):
 
 @register("g_two_hop_raw", sql=_with("g_tx", "g_seeds", "g_e1", "g_l1", "g_txd", "g_idx") +
           "select t.from_address, t.to_address, t.block_number, t.timestamp, cast(t.value_wei_raw as varchar) as value_wei_raw, "
-          "t.gas_price_wei, t.gas_used, t.nonce, t.input_bytes, t.tx_hash, cast(t.day as varchar) as day, h.seed_addr "
+          "t.gas_price_wei, t.gas_used, t.nonce, t.input_length, t.tx_hash, cast(t.day as varchar) as day, h.seed_addr "
           "from g_txd t join (select i.day, i.tx_hash, l.seed_addr from g_idx i join g_l1 l on i.day = l.day "
           "and i.addr = l.neighbor_addr) h on t.day = h.day and t.tx_hash = h.tx_hash", fixtures=FX)
 def q_two_hop_raw(spark, sf_dir):
@@ -195,14 +195,14 @@ def q_e2_in(spark, sf_dir):
 def q_final_tx(spark, sf_dir):
     """E1 ∪ E2-out ∪ E2-in."""
     s = stages(spark, sf_dir)
-    return g.g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], CAP)
+    return g.g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], CAP, sides=s["sides"])
 
 
 @register("g_edge_features", sql=_with(*_ALL, "g_final") + _FEAT, fixtures=FX)
 def q_edge_features(spark, sf_dir):
     """Deduplicated daily edges with exact value/fee, input size and creation flag."""
     s = stages(spark, sf_dir)
-    return g.g_edge_features(g.g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], CAP))
+    return g.g_edge_features(g.g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], CAP, sides=s["sides"]))
 
 
 @register("g_append_final", sql=_with(*_ALL, "g_final") + _FEAT, fixtures=FX)
@@ -210,7 +210,7 @@ def q_append_final(spark, sf_dir):
     """Daily edges appended in two overlapping batches, the second replayed; read back."""
     from hopweave.session import cut_lineage, stage_path
     s = stages(spark, sf_dir)
-    edges = g.g_edge_features(g.g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], CAP))
+    edges = g.g_edge_features(g.g_final_tx(s["e1"], s["txd"], s["l1"], s["l2"], CAP, sides=s["sides"]))
     edges, path = cut_lineage(edges), stage_path(spark, "transactions_daily")
     part = F.pmod(F.xxhash64("tx_hash"), F.lit(3))
     g.g_append_final(edges.where(part < 2), path)
