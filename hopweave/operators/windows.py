@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hopweave.functions.common import existing, iso_week, month_label, stable_hash, utc_ts
+from hopweave.functions.common import existing, iso_week, month_label, stable_hash, utc_ts, week_monday
 from hopweave.session import hadoop_fs, hadoop_path, path_exists
 
 # ---- fixed values: measure columns of the series dataset ----------------------
@@ -160,9 +160,12 @@ def s_week_parts(daily_filtered: DataFrame) -> DataFrame:
 
     A week straddling two months has two parts.  Both the weekly rollup and the
     week → month map are derived from this small table, so the daily table is
-    read once.
+    read once.  Rows are grouped by dates; only the grouped rows get labels.
     """
-    return daily_filtered.groupBy("node_id", "week", "month").agg(*_series_aggs(daily_filtered, as_text=False))
+    dates = daily_filtered.drop("week", "month").withColumns({"_week": week_monday("day"), "_month": F.trunc("day", "month")})
+    parts = dates.groupBy("node_id", "_week", "_month").agg(*_series_aggs(daily_filtered, as_text=False))
+    measures = [c for c in parts.columns if c not in ("node_id", "_week", "_month")]
+    return parts.select("node_id", iso_week("_week").alias("week"), month_label("_month").alias("month"), *measures)
 
 
 def s_weekly(daily_filtered: DataFrame, week_index: DataFrame, parts: DataFrame | None = None) -> DataFrame:
