@@ -9,8 +9,10 @@
    conversation first, else to an earlier (conversation, turn) elsewhere.  A message's
    parent is the original named by most of its outermost quotes; without one it answers
    the turn before it in its conversation.
-4. Parents always come earlier, so pointer doubling finds every message's thread and depth
-   in a number of rounds that grows with the logarithm of the depth.
+4. A run of messages that answer the turn before them hangs on the run's first message.
+   Only those first messages - they quote, or begin a thread - are followed further, by
+   pointer doubling: parents always come earlier, so the rounds grow with the logarithm
+   of the number of quotes on a path, and a round handles only what is not settled yet.
 
 Rows sorted by (thread, depth, conversation, turn) are the conversations in reply order:
 a message follows what it answers.  Their text has no quoted lines.
@@ -96,22 +98,27 @@ def parents(messages: DataFrame) -> DataFrame:
 
 def threads(links: DataFrame) -> DataFrame:
     """(conv, turn, root, depth) of every message: its thread's first message, and the steps to it."""
-    start = links.select("conv", "turn", F.when(F.col("p_conv").isNotNull(), F.struct("p_conv", "p_turn"))
-                         .otherwise(F.struct(F.col("conv").alias("p_conv"), F.col("turn").alias("p_turn"))).alias("up"),
-                         F.when(F.col("p_conv").isNotNull(), 1).otherwise(0).cast("long").alias("depth"))
-    now = stage(start, "threads")
-    roots = F.col("up.p_conv").eqNullSafe(F.col("conv")) & F.col("up.p_turn").eqNullSafe(F.col("turn"))
-    before = None
-    while True:
-        # a root points at itself with depth 0, so doubling leaves finished rows as they are
-        jump = now.select(F.struct(F.col("conv").alias("p_conv"), F.col("turn").alias("p_turn")).alias("up"), F.col("up").alias("far"), F.col("depth").alias("more"))
-        moving = now.join(jump.where(F.col("more") > 0), "up").select("conv", "turn", F.col("far").alias("up"), (F.col("depth") + F.col("more")).alias("depth"))
-        rest = now.join(moving.select("conv", "turn"), ["conv", "turn"], "left_anti")
-        now = stage(rest.unionByName(moving), "threads")
-        total = now.agg(F.sum("depth")).first()[0]
-        if total == before:
-            return now.select("conv", "turn", F.col("up").alias("root"), "depth")
-        before = total
+    run = Window.partitionBy("conv").orderBy("turn")
+    head = F.coalesce(F.col("by"), F.lit("")) != "turn"
+    placed = links.withColumn("_n", F.row_number().over(run)) \
+        .withColumn("_head", F.max(F.when(head, F.struct("turn", "_n"))).over(run.rowsBetween(Window.unboundedPreceding, 0)))
+    placed = stage(placed.select("conv", "turn", "p_conv", "p_turn", "by", F.col("_head.turn").alias("head"), (F.col("_n") - F.col("_head._n")).alias("steps")), "runs")
+    heads = placed.where(F.col("turn") == F.col("head"))
+    key = lambda c, t: F.struct(F.col(c).alias("c"), F.col(t).alias("t"))
+    settled = heads.where("p_conv is null").select(key("conv", "turn").alias("at"), key("conv", "turn").alias("up"), F.lit(0).cast("long").alias("depth"))
+    above = placed.select(F.col("conv").alias("p_conv"), F.col("turn").alias("p_turn"), key("conv", "head").alias("up"), (F.col("steps") + 1).alias("depth"))
+    active = stage(heads.where("p_conv is not null").join(above, ["p_conv", "p_turn"])
+                   .select(key("conv", "turn").alias("at"), "up", F.col("depth").cast("long").alias("depth")), "thread-heads")
+    while not active.isEmpty():
+        # what a row points at either begins a thread, or points further
+        far = settled.unionByName(active).select(F.col("at").alias("up"), F.col("up").alias("far"), F.col("depth").alias("more"))
+        moved = stage(active.join(far, "up").select("at", F.when(F.col("more") == 0, F.col("up")).otherwise(F.col("far")).alias("up"),
+                                                    (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") == 0).alias("done")), "thread-heads")
+        settled = settled.unionByName(moved.where("done").drop("done"))
+        active = moved.where("not done").drop("done")
+    roots = settled.select(F.col("at.c").alias("conv"), F.col("at.t").alias("head"), F.col("up").alias("root"), "depth")
+    return placed.join(roots, ["conv", "head"]).select("conv", "turn", F.struct(F.col("root.c").alias("p_conv"), F.col("root.t").alias("p_turn")).alias("root"),
+                                                       (F.col("depth") + F.col("steps")).alias("depth"))
 
 
 def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
