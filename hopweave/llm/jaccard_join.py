@@ -20,12 +20,13 @@ percent))`` shingles, which drives everything:
    leaves out its costliest segments, empty ones first.
 4. Stars.  The members of a segment key are not paired with one another: each is verified
    against the key's centre only, the one with the fewest ``alone`` shingles (a row per
-   member, whatever the group's size).
-   Members that link with it are connected.  A member that does not may still link with
-   another member: both then differ from the centre in common shingles.  Bounds from
-   the verified distances close nearly all such members; the rest meet again under keys
-   made of their (rarest first by hash) differences from the centre, and so on until no
-   key is left.
+   member, whatever the group's size).  Members that link with it are connected.  A member
+   that does not may still link with another member: both then differ from the centre in
+   common shingles.  Bounds from the verified distances close nearly all such members.
+   Those left over, in stars whose members are not all connected yet, are paired within
+   their star where the bounds allow: directly when they are ``FEW``, else where they meet
+   in the first of their differences from the centre (rarest first, prefix filter).  Every
+   such pair is verified, by the differences both share.
 5. Components of the verified links; a text's component is its smallest linked id.
 
 Sets are compared by 64-bit shingle hashes; a class is known by a 64-bit hash of its set.
@@ -42,7 +43,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hopweave.llm.block_sketch import REPLY, SEGMENT_KEYS, SKETCH, estimated_repeats, merge_sketches, sketch_of
@@ -51,11 +52,14 @@ from hopweave.llm.components import components
 from hopweave.llm.textops import mix64, ngram_hashes, seed_of, slices, word_hashes, words_of
 
 BLOCK_BYTES = 12 << 20
+#: Shingles per sketch segment: 16 counters a shingle and row, so that nearly all shingles
+#: that occur once are known to (0.4 % are not), which the bounds on differences live on.
+SEGMENT_SHINGLES = SEGMENT_KEYS // 4
 #: Estimated chance that two texts of a band agree on a shingle's presence, for the cost of
 #: chance meetings.
 AGREE = 0.15
-#: So many members left over in a star are paired: at most FEW / 2 pairs a member.
-FEW = 400
+#: So many members left over in a star are paired directly: at most FEW / 2 pairs a member.
+FEW = 200
 
 
 def differ(r: int, s: int, percent: int) -> int:
@@ -63,6 +67,15 @@ def differ(r: int, s: int, percent: int) -> int:
     return r + s - 2 * -(-percent * (r + s) // (100 + percent))
 
 
+def most_apart(low: int, high: int, percent: int) -> int:
+    """The most differences of two linked sets whose sizes add up to ``low`` .. ``high``.
+
+    One more shingle in the sum changes the bound by one, up or down, and it rises on the
+    whole: the last two sums hold the largest.
+    """
+    return max(t - 2 * -(-percent * t // (100 + percent)) for t in range(max(low, high - 1), high + 1))
+
+
 # -- bands and tickets ----------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -88,7 +101,7 @@ def band_bounds(largest: int, percent: int) -> list[int]:
 
 def allot(low: int, high: int, percent: int, rows: int) -> Band:
     """The split of H + 1 tickets with the least cost for texts of a band with ``rows`` rows."""
-    apart = max(differ(s, r, percent) for s in {low, high} for r in {s, s * 100 // percent})
+    apart = most_apart(2 * low, high + high * 100 // percent, percent)
     best, least = None, None
     for double in range((apart + 1) // 2 + 1):
         plain = apart + 1 - 2 * double
@@ -164,7 +177,7 @@ def _sets(segments: int, n: int, percent: int):
         data, seen = [], set()
         for r in range(len(size)):
             s = int(size[r])
-            reach = max(differ(s, s * 100 // percent, percent), differ(s, -(-s * percent // 100), percent), differ(s, s, percent)) if s else 0
+            reach = most_apart(s - (-s * percent // 100), s + s * 100 // percent, percent)
             if not s or not reach or alone[r] > reach or int(klass[r]) in seen:
                 data.append(None)
                 continue
@@ -211,33 +224,35 @@ def _stars(entries: DataFrame) -> DataFrame:
     return entries.join(centre, "key").where("class <> centre").select("centre", F.col("class").alias("member")).distinct()
 
 
+_PAIR = ["centre", "member", "c_n", "c_alone", "n", "alone"]
+
+
 def _distances(batches):
     """Differences of centre and member sets (both reduced to shingles that repeat)."""
     for b in batches:
         apart = []
-        for x, y, lone in zip(b.column("c_tokens"), b.column("tokens"), b.column("both_alone").to_pylist(), strict=True):
+        lone = b.column("alone").to_numpy() + b.column("c_alone").to_numpy()
+        for x, y in zip(b.column("c_tokens"), b.column("tokens"), strict=True):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            apart.append(len(x) + len(y) - 2 * common + lone)
-        yield pa.RecordBatch.from_arrays([b.column(c) for c in ("centre", "member", "c_n", "n", "alone")] + [pa.array(apart, pa.int64())],
-                                         names=["centre", "member", "c_n", "n", "alone", "apart"])
+            apart.append(len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True)))
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in _PAIR), pa.array(np.array(apart, np.int64) + lone)], names=[*_PAIR, "apart"])
 
 
 def _verify(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(centre, member, n, alone, apart, linked) of every star pair."""
+    """(centre, member, c_alone, n, alone, apart, linked) of every star pair."""
     centres = sets.select(F.col("class").alias("centre"), F.col("n").alias("c_n"), F.col("alone").alias("c_alone"), F.col("tokens").alias("c_tokens"))
     pairs = stars.join(centres, "centre").join(sets.withColumnRenamed("class", "member"), "member") \
-        .select("centre", "member", "c_n", "n", "alone", "c_tokens", "tokens", (F.col("alone") + F.col("c_alone")).alias("both_alone"))
-    done = pairs.mapInArrow(_distances, "centre long, member long, c_n long, n long, alone long, apart long")
+        .select(*_PAIR, "c_tokens", "tokens")
+    done = pairs.mapInArrow(_distances, ", ".join(f"{c} long" for c in [*_PAIR, "apart"]))
     common = (F.col("n") + F.col("c_n") - F.col("apart")) / 2
     union = (F.col("n") + F.col("c_n") + F.col("apart")) / 2
     return done.withColumn("linked", 100 * common >= percent * union)
 
 
-def _reach(percent: int):
-    """Column: the most differences a set of size n can have to any set it links with."""
-    total = F.col("n") + F.floor(F.col("n") * 100 / percent)
-    return total - 2 * F.ceil(percent * total / (100 + percent)) + 1
+def _most_apart(total, percent: int):
+    """Column form of ``most_apart`` for sizes that add up to at most ``total``."""
+    bound = lambda t: t - 2 * F.ceil(percent * t / F.lit(100 + percent))
+    return F.greatest(bound(total), bound(total - 1))
 
 
 def _open_members(tested: DataFrame, percent: int) -> DataFrame:
@@ -250,42 +265,67 @@ def _open_members(tested: DataFrame, percent: int) -> DataFrame:
     shared = F.col("apart") - F.col("alone")
     rows = tested.withColumn("shared", shared)
     star = rows.groupBy("centre").agg(F.min("apart").alias("_a"), F.min(F.col("apart") - 2 * F.col("shared")).alias("_b"),
-                                      F.count(F.lit(1)).alias("_size"))
-    rows = rows.join(star, "centre").where("_size > 1") \
-        .where(F.col("apart") + F.greatest(F.col("_a") - 2 * F.col("shared"), F.col("_b")) <= _reach(percent))
-    # a star matters only while it has a member that is not linked with its centre, and another one
+                                      F.max("n").alias("largest"), F.count(F.lit(1)).alias("_size"))
+    rows = rows.join(star, "centre").where("_size > 1").withColumn("reach", _most_apart(F.col("n") + F.col("largest"), percent)) \
+        .where(F.col("apart") + F.greatest(F.col("_a") - 2 * F.col("shared"), F.col("_b")) <= F.col("reach"))
+    # a star matters only while it has a member not connected with its centre, and another one
     alive = rows.groupBy("centre").agg(F.count(F.lit(1)).alias("open"), F.max((~F.col("linked")).cast("int")).alias("_far")) \
         .where("open > 1 and _far = 1").select("centre", "open")
-    return rows.join(alive, "centre").select("centre", "member", "n", "alone", "apart", "shared", "linked", "open")
+    return rows.join(alive, "centre").select("centre", "member", "root", "c_alone", "n", "alone", "apart", "shared", "linked", "reach", "open")
 
 
-def _left_over_pairs(still: DataFrame, percent: int) -> DataFrame:
-    """Pairs among the few members left over in a star, as (centre, member) rows."""
-    few = still.where(F.col("open") <= FEW)
-    other = few.select("centre", *[F.col(c).alias(f"o_{c}") for c in ("member", "apart", "shared", "linked")])
-    return few.join(other, "centre").where("member < o_member and not (linked and o_linked)") \
-        .where(F.col("apart") + F.col("o_apart") - 2 * F.least("shared", "o_shared") <= _reach(percent)) \
-        .select(F.col("member").alias("centre"), F.col("o_member").alias("member")).distinct()
+_SIDE = ("member", "root", "n", "apart", "shared", "linked")
 
 
-def _difference_keys(percent: int):
-    def keys(batches):
-        for b in batches:
-            out, owner, lone = [], [], []
-            cols = [b.column(c) for c in ("centre", "member", "n", "alone", "c_tokens", "tokens")]
-            for centre, member, n, alone, x, y in zip(*(c.to_pylist() for c in cols[:4]), *cols[4:], strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                apart = np.sort(mix64(np.setxor1d(x, y, assume_unique=True), centre))
-                total = n + n * 100 // percent
-                reach = differ(n, total - n, percent) + 1
-                pick = apart[:max(0, reach - alone + 1)]
-                if len(apart) <= reach - alone:  # two such members may have no difference in common
-                    pick = np.append(pick, mix64(np.array([centre]).view(np.uint64), 0xA110))
-                out.append(pick)
-                owner.append(np.full(len(pick), member))
-                lone.append(np.full(len(pick), alone))
-            yield _entry_batch(out, owner, lone)
-    return keys
+def _may_link(percent: int):
+    """Condition on two members of a star: one not connected with its centre, any other
+    (``o_`` columns) it is not connected with either."""
+    return (F.col("root") != F.col("o_root")) & (F.col("o_linked") | (F.col("member") < F.col("o_member"))) \
+        & (F.col("apart") + F.col("o_apart") - 2 * F.least("shared", "o_shared") <= _most_apart(F.col("n") + F.col("o_n"), percent))
+
+
+def _other(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.select(*keys, *[F.col(c).alias(f"o_{c}") for c in _SIDE])
+
+
+def _differences(batches):
+    """(centre, member, token): shingles in one of the two sets only."""
+    for b in batches:
+        tokens, owner = [], []
+        for k, (x, y) in enumerate(zip(b.column("c_tokens"), b.column("tokens"), strict=True)):
+            t = np.setxor1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True).view(np.int64)
+            tokens.append(t)
+            owner.append(np.full(len(t), k))
+        at = pa.array(np.concatenate(owner) if owner else np.zeros(0, np.int64))
+        yield pa.RecordBatch.from_arrays([b.column("centre").take(at), b.column("member").take(at),
+                                          pa.array(np.concatenate(tokens) if tokens else [], pa.int64())], names=["centre", "member", "token"])
+
+
+def _left_over_links(still: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): verified links between members left over in a star."""
+    centres = sets.select(F.col("class").alias("centre"), F.col("tokens").alias("c_tokens"))
+    apart = stage(still.select("centre", "member").join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member")
+                  .mapInArrow(_differences, "centre long, member long, token long"), "differences")
+    often = apart.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    common = stage(apart.join(often, ["centre", "token"]), "common-differences")
+    far, kept = ~F.col("linked"), ["centre", "c_alone", *_SIDE, *[f"o_{c}" for c in _SIDE]]
+    few, many = still.where(F.col("open") <= FEW), still.where(F.col("open") > FEW)
+    pairs = few.where(far).join(_other(few, "centre"), "centre").where(_may_link(percent)).select(*kept)
+    # Of members x and y that link, each has at most reach - alone differences the other lacks
+    place = F.row_number().over(Window.partitionBy("centre", "member").orderBy("often", "token"))
+    keys = common.withColumn("place", place).join(many, ["centre", "member"]).where(F.col("place") <= F.col("reach") - F.col("alone") + 1)
+    pairs = pairs.unionByName(keys.where(far).join(_other(keys, "centre", "token"), ["centre", "token"]).where(_may_link(percent)).select(*kept))
+    # without a common difference they are as far apart as both are from the centre, less its own lone shingles
+    near = many.where(F.col("apart") - F.col("c_alone") <= F.col("reach"))
+    pairs = pairs.unionByName(near.where(far).join(_other(near, "centre"), "centre").where(_may_link(percent))
+                              .where(F.col("apart") + F.col("o_apart") - 2 * F.col("c_alone") <= F.col("reach")).select(*kept))
+    pairs = pairs.withColumns({"x": F.least("member", "o_member"), "y": F.greatest("member", "o_member")}).dropDuplicates(["x", "y"]).drop("x", "y")
+    shared = common.groupBy("centre", "member").agg(F.collect_list("token").alias("tokens"))      # at most a set's shingles
+    met = pairs.join(shared, ["centre", "member"], "left") \
+        .join(shared.select("centre", F.col("member").alias("o_member"), F.col("tokens").alias("o_tokens")), ["centre", "o_member"], "left")
+    same = F.coalesce(F.size(F.array_intersect("tokens", "o_tokens")), F.lit(0)) + F.col("c_alone")
+    total, differ_by = F.col("n") + F.col("o_n"), F.col("apart") + F.col("o_apart") - 2 * same
+    return met.where(100 * (total - differ_by) >= percent * (total + differ_by)).select(F.col("member").alias("a"), F.col("o_member").alias("b"))
 
 
 def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
@@ -303,37 +343,25 @@ def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
     counts = {r["band"]: r["count"] for r in sets.groupBy(number.alias("band")).count().collect()}  # a row per band
     bands = {k: allot(bounds[k], bounds[k + 1] - 1, percent, c) for k, c in counts.items()}
     entries = sets.mapInArrow(_entries(bands, bounds, percent), _ENTRY)
-    stars, pairs, tested, links = _stars(entries), None, None, []
-    while True:
-        rows = stars if pairs is None else stars.unionByName(pairs).distinct()
-        if tested is not None:
-            rows = rows.join(tested.select("centre", "member"), ["centre", "member"], "left_anti")
-        now = stage(_verify(rows, sets, percent), "star-pairs")
-        links.append(now.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b")))
-        tested = now if tested is None else tested.unionByName(now)
-        if pairs is not None:                    # pairs are settled; only stars go on
-            now = now.join(stars, ["centre", "member"], "left_semi")
-        still = stage(_open_members(now, percent), "open-members")
-        if still.isEmpty():
-            break
-        centres = sets.select(F.col("class").alias("centre"), F.col("tokens").alias("c_tokens"))
-        entries = still.where(F.col("open") > FEW).join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member") \
-            .select("centre", "member", "n", "alone", "c_tokens", "tokens").mapInArrow(_difference_keys(percent), _ENTRY).distinct()
-        stars = stage(_stars(entries), "stars")
-        pairs = stage(_left_over_pairs(still, percent), "left-over-pairs")
-        if stars.isEmpty() and pairs.isEmpty():
-            break
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+    tested = stage(_verify(_stars(entries), sets, percent), "star-pairs")
+    links = tested.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b"))
+    # what these links connect need not be compared any more
+    roots = stage(components(links), "star-components")
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    joined = tested.join(of("centre"), "centre", "left").join(of("member"), "member", "left") \
+        .withColumn("root", F.coalesce("member_root", "member")) \
+        .withColumn("linked", F.coalesce("centre_root", "centre") == F.col("root"))
+    still = stage(_open_members(joined, percent), "open-members")
+    if still.isEmpty():
+        return links
+    return links.unionByName(stage(_left_over_links(still, sets, percent), "left-over-links"))
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, block_bytes: int, segment_keys: int) -> DataFrame:
     """(doc_id, t, n, class, root, component_id) of every row; t: the text's hash, root: the
     component as a class (null without shingles)."""
     _, size = source_bytes(docs, text_col)
-    blocks, segments = pieces_for(size, block_bytes, 4), pieces_for(size // 6, segment_keys)
+    blocks, segments = pieces_for(size, block_bytes, 16), pieces_for(size // 6, segment_keys)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("t"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc_id", "t"), F.lit(blocks)).cast("int"))
     grouped = rows.groupBy("block")
@@ -355,14 +383,14 @@ def _members(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int,
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
-                    block_bytes: int = BLOCK_BYTES, segment_keys: int = SEGMENT_KEYS) -> DataFrame:
+                    block_bytes: int = BLOCK_BYTES, segment_keys: int = SEGMENT_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, class, component_id) of every row."""
     return _members(docs, id_col, text_col, n, percent, block_bytes, segment_keys) \
         .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80,
-                block_bytes: int = BLOCK_BYTES, segment_keys: int = SEGMENT_KEYS) -> DataFrame:
+                block_bytes: int = BLOCK_BYTES, segment_keys: int = SEGMENT_SHINGLES) -> DataFrame:
     """The rows of ``docs`` (all columns) with one row of every component: its smallest id.
 
     Texts without shingles link with nothing and stay, row by row.
