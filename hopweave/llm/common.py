@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,11 +14,13 @@ from hopweave.sources.tables import table
 __all__ = ["stage", "table", "crc_bucket", "source_bytes", "pieces_for"]
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table beside the shared checkpoint folder and read it back.
 
     Cuts the lineage, survives lost executors and keeps column pruning; every call
-    takes a folder of its own, removed when the driver ends.
+    takes a folder of its own, removed when the driver ends.  Shuffle files of finished
+    jobs stay until the driver collects garbage: ``release`` asks for that after a large
+    shuffle whose result is now a table.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
@@ -25,6 +28,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 

@@ -303,14 +303,16 @@ def _differences(batches):
 
 def _left_over_links(still: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): verified links between members left over in a star."""
+    far, kept = ~F.col("linked"), ["centre", "c_alone", *_SIDE, *[f"o_{c}" for c in _SIDE]]
+    few, many = still.where(F.col("open") <= FEW), still.where(F.col("open") > FEW)
+    pairs = stage(few.where(far).join(_other(few, "centre"), "centre").where(_may_link(percent)).select(*kept), "few-pairs")
+    need = pairs.select("centre", "member").unionByName(pairs.select("centre", F.col("o_member").alias("member"))) \
+        .unionByName(many.select("centre", "member")).distinct()
     centres = sets.select(F.col("class").alias("centre"), F.col("tokens").alias("c_tokens"))
-    apart = stage(still.select("centre", "member").join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member")
-                  .mapInArrow(_differences, "centre long, member long, token long"), "differences")
+    apart = stage(need.join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member")
+                  .mapInArrow(_differences, "centre long, member long, token long"), "differences", release=True)
     often = apart.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     common = stage(apart.join(often, ["centre", "token"]), "common-differences")
-    far, kept = ~F.col("linked"), ["centre", "c_alone", *_SIDE, *[f"o_{c}" for c in _SIDE]]
-    few, many = still.where(F.col("open") <= FEW), still.where(F.col("open") > FEW)
-    pairs = few.where(far).join(_other(few, "centre"), "centre").where(_may_link(percent)).select(*kept)
     # Of members x and y that link, each has at most reach - alone differences the other lacks
     place = F.row_number().over(Window.partitionBy("centre", "member").orderBy("often", "token"))
     keys = common.withColumn("place", place).join(many, ["centre", "member"]).where(F.col("place") <= F.col("reach") - F.col("alone") + 1)
@@ -343,7 +345,7 @@ def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
     counts = {r["band"]: r["count"] for r in sets.groupBy(number.alias("band")).count().collect()}  # a row per band
     bands = {k: allot(bounds[k], bounds[k + 1] - 1, percent, c) for k, c in counts.items()}
     entries = sets.mapInArrow(_entries(bands, bounds, percent), _ENTRY)
-    tested = stage(_verify(_stars(entries), sets, percent), "star-pairs")
+    tested = stage(_verify(_stars(entries), sets, percent), "star-pairs", release=True)
     links = tested.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b"))
     # what these links connect need not be compared any more
     roots = stage(components(links), "star-components")
@@ -367,7 +369,7 @@ def _members(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int,
     grouped = rows.groupBy("block")
     replies = grouped.applyInArrow(_sketch(segments, n), SKETCH).groupBy("segment").applyInArrow(merge_sketches, REPLY)
     found = stage(grouped.cogroup(replies.groupBy("block"))
-                  .applyInArrow(_sets(segments, n, percent), "doc_id long, t long, n long, class long, alone long, tokens binary"), "sets")
+                  .applyInArrow(_sets(segments, n, percent), "doc_id long, t long, n long, class long, alone long, tokens binary"), "sets", release=True)
     sets = stage(found.where(F.col("tokens").isNotNull()).groupBy("class").agg(
         F.min(F.struct("n", "alone", "tokens")).alias("s")).select("class", "s.n", "s.alone", "s.tokens"), "class-sets")
     links = links_of(sets, percent)
