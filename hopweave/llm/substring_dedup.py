@@ -178,7 +178,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     keep = [c for c in keep if c not in _OUT]
     _, size = source_bytes(docs, text_col)
-    blocks, segments = pieces_for(size, block_bytes, 4), pieces_for(size // 6, segment_windows)
+    blocks, segments = pieces_for(size, block_bytes, 16), pieces_for(size // 6, segment_windows)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(F.pmod(F.xxhash64(F.lit("block"), key), F.lit(blocks)).cast("int").alias("block"), key.alias("key"), F.col(text_col).alias("text"),
                        *[F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)])
