@@ -3,7 +3,9 @@
 A window is ``n`` consecutive words of one document.  A word goes when a window covers it
 whose word sequence also starts earlier (at a smaller id, or earlier in the same document).
 
-1. Documents are dealt to blocks of bounded size by the hash of their id.  Every block
+1. Documents are dealt to blocks of bounded size by the hash of their id and text, so rows
+   that share an id (or have none) are spread.  Exact copies, id and text, that would fill
+   half a block are judged as one row and joined with its result.  Every block
    builds a count-min sketch (two rows of saturating counters) of its windows, cut into
    segments by window hash, and sends each segment's non-zero counters.
 2. Per segment the blocks' sketches are merged.  The merged counters only overestimate,
@@ -29,18 +31,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hopweave.llm.block_sketch import REPLY, SEGMENT_KEYS, SKETCH, by_segment, estimated_repeats, merge_sketches, sketch_of, told
-from hopweave.llm.common import pieces_for, source_bytes
+from hopweave.llm.common import pieces_for, stage
 from hopweave.llm.textops import mix64, ngram_hashes, slices, word_hashes, words_of
 
 WINDOW = 20
 #: Text bytes per block: with the windows per segment they bound a task's memory.  Their
 #: number of pairs is the number of messages; beyond some 10 TB raise both.
 BLOCK_BYTES = 12 << 20
+#: What a row counts besides its text when copies are weighed.
+ROW_BYTES = 64
 
 _OUT = ["n_words", "n_removed", "removed", "kept_text"]
 
@@ -91,7 +95,7 @@ def _candidates(docs, replies, segments: int, n: int):
 
 def _group_exactly(segments: int, n: int):
     def firsts(docs, replies):
-        _, key, (h1, h2, row, _), _, _, lead, _ = _candidates(docs, replies, segments, n)
+        _, key, (h1, h2, row, start), _, _, lead, _ = _candidates(docs, replies, segments, n)
         ks, data, sizes = [], [], []
         for k, at in by_segment(h1[lead], segments):
             own = lead[at]
@@ -99,7 +103,8 @@ def _group_exactly(segments: int, n: int):
             own = own[np.argsort(key[row[own]], kind="stable")]
             ks.append(k)
             sizes.append(len(own))
-            data.append(len(ids).to_bytes(4, "little") + ids.tobytes() + count.astype("<u4").tobytes() + h1[own].tobytes() + h2[own].tobytes())
+            data.append(len(ids).to_bytes(4, "little") + ids.tobytes() + count.astype("<u4").tobytes() + h1[own].tobytes() + h2[own].tobytes()
+                        + start[own].astype("<u4").tobytes())
         block = docs.column("block")[0].as_py() if docs.num_rows else 0
         return pa.table({"segment": pa.array(ks, pa.int32()), "block": pa.array([block] * len(ks), pa.int32()),
                          "n": pa.array(sizes, pa.int32()), "data": pa.array(data, pa.binary())})
@@ -107,8 +112,9 @@ def _group_exactly(segments: int, n: int):
 
 
 def _find_first(t):
-    """Of all blocks' firsts of a segment, which are the first of all (smallest id)."""
-    ids, h1, h2, sizes = [], [], [], t.column("n").to_numpy()
+    """Of all blocks' firsts of a segment, which are the first of all: the smallest id and start
+    of their sequence, in several blocks if rows repeat the id."""
+    ids, h1, h2, starts, sizes = [], [], [], [], t.column("n").to_numpy()
     for n, x in zip(sizes, t.column("data"), strict=True):
         x = x.as_buffer()
         docs = int.from_bytes(memoryview(x)[:4], "little")
@@ -119,12 +125,14 @@ def _find_first(t):
         ids.append(np.repeat(own, count))
         h1.append(np.frombuffer(x, "<u8", n, at))
         h2.append(np.frombuffer(x, "<u8", n, at + 8 * n))
-    ids, h1, h2 = (np.concatenate(x) for x in (ids, h1, h2))
-    order = np.lexsort((ids, h2, h1))
-    first = np.ones(len(order), dtype=bool)
-    first[1:] = (h1[order[1:]] != h1[order[:-1]]) | (h2[order[1:]] != h2[order[:-1]])
+        starts.append(np.frombuffer(x, "<u4", n, at + 16 * n))
+    ids, h1, h2, starts = (np.concatenate(x) for x in (ids, h1, h2, starts))
+    order = np.lexsort((starts, ids, h2, h1))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (h1[order[1:]] != h1[order[:-1]]) | (h2[order[1:]] != h2[order[:-1]])
+    least = order[new][np.cumsum(new) - 1]
     flag = np.empty(len(order), dtype=bool)
-    flag[order] = first
+    flag[order] = (ids[order] == ids[least]) & (starts[order] == starts[least])
     cut = np.concatenate([[0], np.cumsum(sizes)])
     bits = [np.packbits(flag[x:y]).tobytes() for x, y in zip(cut, cut[1:], strict=False)]
     return pa.table({"block": t.column("block"), "kind": pa.array([1] * t.num_rows, pa.int32()), "segment": t.column("segment"),
@@ -169,6 +177,23 @@ def _finish(segments: int, n: int, keep: list[str], untouched: bool):
     return finish
 
 
+def _copies(docs: DataFrame, id_col: str, text_col: str, heavy: int) -> tuple[int, DataFrame | None]:
+    """Text bytes of a table, and the (key, t, u, n) of rows that are so many (n) copies of one id and text
+    that they weigh ``heavy`` bytes or more (None without any)."""
+    each = docs.select(*_identity(id_col, text_col), F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("b")) \
+        .groupBy("key", "t", "u").agg(F.count("*").alias("n"), F.sum("b").alias("b"))
+    many = (F.col("n") > 1) & (F.col("b") + ROW_BYTES * F.col("n") >= heavy)
+    r = each.agg(F.sum("b").alias("b"), F.max(many).alias("many")).first()
+    return int(r["b"] or 0), stage(each.where(many).select("key", "t", "u", "n"), "copies") if r["many"] else None
+
+
+def _identity(id_col: str, text_col: str) -> list[Column]:
+    """Id and two hashes of the text (a null text has none of another's)."""
+    text = F.col(text_col)
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("key"),
+            F.xxhash64(F.lit("text"), text.isNull(), text).alias("t"), F.xxhash64(F.lit("copy"), text.isNull(), text).alias("u")]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=("doc_id",), n: int = WINDOW,
                    block_bytes: int = BLOCK_BYTES, segment_windows: int = SEGMENT_KEYS, untouched: bool = False) -> DataFrame:
     """``keep`` columns plus n_words, n_removed, removed (word spans) and kept_text of every row.
@@ -177,19 +202,37 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     nothing is returned as it came.
     """
     keep = [c for c in keep if c not in _OUT]
-    _, size = source_bytes(docs, text_col)
+    size, copies = _copies(docs, id_col, text_col, block_bytes // 2)
     blocks, segments = pieces_for(size, block_bytes, 16), pieces_for(size // 6, segment_windows)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select(F.pmod(F.xxhash64(F.lit("block"), key), F.lit(blocks)).cast("int").alias("block"), key.alias("key"), F.col(text_col).alias("text"),
-                       *[F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)])
+    rows = docs.select(*_identity(id_col, text_col), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)])
     kept = [f"keep_{k}" for k in range(len(keep))]
+    if copies is None:
+        return _judge(rows, kept, blocks, segments, n, untouched).withColumnsRenamed(dict(zip(kept, keep, strict=True)))
+    same, own = ["key", "t", "u"], [rows.schema[c].dataType for c in kept]
+    copied = rows.join(F.broadcast(copies), same)                       # at most two a block
+    one = copied.groupBy(*same).agg(F.min("text").alias("text")).select("*", *[F.lit(None).cast(t).alias(c) for c, t in zip(kept, own, strict=True)])
+    marks = ["copied", "key", "t", "u"]
+    judged = stage(_judge(rows.join(F.broadcast(copies), same, "left_anti").withColumn("copied", F.lit(False))
+                          .unionByName(one.withColumn("copied", F.lit(True))), [*kept, *marks], blocks, segments, n, untouched), "judged")
+    out = judged.where(~F.col("copied")).drop(*marks)
+    shares = F.least(F.col("n"), F.lit(64)).cast("int")                 # the result is repeated no more often than the row
+    spread = judged.where("copied").drop("copied", *kept).join(F.broadcast(copies), same).withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("n")
+    again = copied.select(*same, *kept, F.pmod(F.spark_partition_id(), shares).alias("share")).join(spread, [*same, "share"]).drop(*same, "share")
+    return out.unionByName(again).withColumnsRenamed(dict(zip(kept, keep, strict=True)))
+
+
+def _judge(rows: DataFrame, kept: list[str], blocks: int, segments: int, n: int, untouched: bool) -> DataFrame:
+    """``kept`` columns and the results of rows (key, t, text, ...), dealt to blocks."""
+    rows = rows.select(F.pmod(F.xxhash64(F.lit("block"), "key", "t"), F.lit(blocks)).cast("int").alias("block"), F.col("key").alias("key"), "text",
+                       *[F.col(c).alias(f"own_{c}") for c in kept])
+    own = [f"own_{c}" for c in kept]
     grouped = rows.groupBy("block")
     maybe = grouped.applyInArrow(_sketch(segments, n), SKETCH) \
         .groupBy("segment").applyInArrow(merge_sketches, REPLY)
     firsts = grouped.cogroup(maybe.groupBy("block")).applyInArrow(_group_exactly(segments, n), "segment int, block int, n int, data binary") \
         .groupBy("segment").applyInArrow(_find_first, REPLY)
-    schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+    schema = T.StructType([rows.schema[c] for c in own] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                           T.StructField("removed", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
                           T.StructField("kept_text", T.StringType())])
-    out = grouped.cogroup(maybe.unionByName(firsts).groupBy("block")).applyInArrow(_finish(segments, n, kept, untouched), schema)
-    return out.withColumnsRenamed(dict(zip(kept, keep, strict=True)))
+    out = grouped.cogroup(maybe.unionByName(firsts).groupBy("block")).applyInArrow(_finish(segments, n, own, untouched), schema)
+    return out.withColumnsRenamed(dict(zip(own, kept, strict=True)))
