@@ -16,7 +16,9 @@ in chunks of bounded size (one task each), and the best ``k`` of each block are
 query.  Rotations and radius are fitted on ``SAMPLE_ROWS`` rows (those with the smallest
 hashed ids): the radius holds ``COVER`` of the sample's own true neighbours, which lie
 farther out than those in the full table, so it errs to the safe side.  A block where fewer
-than ``k`` codes lie within the radius is searched with a larger one.
+than ``k`` codes lie within the radius is searched with a larger one.  Up to 50 ``k`` sample
+rows are too few to learn a radius from: such small tables are searched exhaustively, so
+recall there says nothing about the index.
 
 Defined results: vectors that are null, zero, of another than the most frequent length, or
 that hold null or non-finite components take no part, nor do null ids; a repeated id takes
