@@ -173,3 +173,19 @@ def ngram_hashes(h: np.ndarray, first: np.ndarray, n: int, seed: int = 0,
     np.cumsum(h * up[:-1], out=prefix[1:])
     out = (prefix[pos + length] - prefix[pos]) * down[pos]
     return mix64(out + length.astype(U64) * U64(0xA24BAED4963EE407), seed), begin
+
+
+def word_strings(s: TextSlice, w: Words) -> pa.StringArray:
+    """The words of a slice as one Arrow array (their bytes without the white space between)."""
+    if not len(w.start):
+        return pa.array([], pa.string())
+    length = w.end - w.start
+    offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(length), pa.py_buffer(offsets), pa.py_buffer(s.data[~_IS_SPACE[s.data]]))
+
+
+def row_counts(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many marked bytes every row of a slice has."""
+    total = np.zeros(len(mask) + 1, dtype=np.int64 if len(mask) >= 2**31 else np.int32)
+    np.cumsum(mask, out=total[1:])
+    return (total[offsets[1:]] - total[offsets[:-1]]).astype(np.int64)
