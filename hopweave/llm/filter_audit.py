@@ -12,9 +12,9 @@ step the audit counts what each filter removes.
 1. Shards.  Every task cuts its texts into shards of bounded bytes.  A shard is a sparse
    matrix in CSR form (row pointers, column codes, counts) over a word list of its own; the
    flags C and D and a 128-bit hash of the text are taken in the same pass.  No text is shuffled.
-2. Dictionary.  The distinct words of all shards get dense numbers (``dictionary``); each
-   shard's word list is joined with it, one row per shard and word (so a word that every text
-   holds costs a row per shard, not per text), and the codes become global column numbers.
+2. Dictionary.  The words that the shards list, one row per shard and word (a word that every
+   text holds costs a row per shard, not per text), are dealt by hash and numbered there
+   (``word_numbers``); back at their shard the numbers replace its own codes.
 3. Row sums of the matrix are the words of A, nonzero counts the distinct words of B.
 4. E without a join of the texts: equal rows are counted per id, then per text, part, flags and
    labels with the smallest id beside the count; the smallest id of a text then splits each
@@ -35,19 +35,23 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hopweave.llm.common import stage
+from hopweave.llm.common import pieces_for, stage
 from hopweave.llm.textops import row_counts, slices, word_strings, words_of
 
 FILTERS = "ABCDE"
 #: Bytes of text in a shard (a longer text is a shard of its own).
 SHARD_BYTES = 16 << 20
+#: Listed words that are numbered at once.
+BUCKET_WORDS = 500_000
 
-_DOC = [("doc_id", pa.int64()), ("part", pa.string()), ("t1", pa.int64()), ("t2", pa.int64())]
-_DOC_SQL = "doc_id: bigint, part: string, t1: bigint, t2: bigint"
-_SHARD = f"shard long, docs array<struct<{_DOC_SQL}, c: boolean, d: boolean>>, first array<long>, codes array<int>, counts array<int>, words array<string>"
+_DOC = ["doc_id", "part", "t1", "t2"]
+_DOC_SQL = "doc_id: bigint, part: string, t1: bigint, t2: bigint, c: boolean, d: boolean"
+#: Row pointers, codes and counts are little-endian 32-bit numbers (``first``: 64-bit).
+_SHARD = f"shard long, docs array<struct<{_DOC_SQL}>>, first binary, codes binary, counts binary, width long, words array<string>"
 _SIGNS = np.isin(np.arange(256), list(b"#$%&*|"))
 
 
@@ -55,6 +59,14 @@ def _list(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _bytes(values: np.ndarray, kind: str) -> pa.Array:
+    return pa.array([values.astype(kind).tobytes()], pa.binary())
+
+
+def _numbers(column, kind: str) -> np.ndarray:
+    return np.frombuffer(column[0].as_buffer(), kind)
+
+
 def _shard(number: int, batch: pa.RecordBatch, s) -> pa.RecordBatch:
     w = words_of(s)
     coded = word_strings(s, w).dictionary_encode()
@@ -64,11 +76,11 @@ def _shard(number: int, batch: pa.RecordBatch, s) -> pa.RecordBatch:
     upper = row_counts((s.data >= 65) & (s.data <= 90), s.offsets)
     points = row_counts((s.data & 0xC0) != 0x80, s.offsets)
     signs = row_counts(_SIGNS[s.data], s.offsets)
-    own = [batch.column(n).slice(s.lo, s.rows) for n, _ in _DOC]
-    docs = pa.StructArray.from_arrays([*own, pa.array(100 * upper > 3 * points), pa.array(signs > 0)], names=[*(n for n, _ in _DOC), "c", "d"])
-    columns = [pa.array([number], pa.int64()), _list(docs), _list(pa.array(first, pa.int64())), _list(pa.array(cell % size, pa.int32())),
-               _list(pa.array(count, pa.int32())), _list(coded.dictionary)]
-    return pa.RecordBatch.from_arrays(columns, names=["shard", "docs", "first", "codes", "counts", "words"])
+    own = [batch.column(n).slice(s.lo, s.rows) for n in _DOC]
+    docs = pa.StructArray.from_arrays([*own, pa.array(100 * upper > 3 * points), pa.array(signs > 0)], names=[*_DOC, "c", "d"])
+    columns = [pa.array([number], pa.int64()), _list(docs), _bytes(first, "<i8"), _bytes(cell % size, "<i4"), _bytes(count, "<i4"),
+               pa.array([len(coded.dictionary)], pa.int64()), _list(coded.dictionary)]
+    return pa.RecordBatch.from_arrays(columns, names=["shard", "docs", "first", "codes", "counts", "width", "words"])
 
 
 def _shards(shard_bytes: int):
@@ -82,64 +94,75 @@ def _shards(shard_bytes: int):
     return shards
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """(word, id) of the distinct words of a column ``word``, numbered 0, 1, ... without gaps.
+def csr_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang",
+               shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Texts as CSR shards over their own word lists, in a written table."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
+                       F.xxhash64(F.lit(1), text).alias("t1"), F.xxhash64(F.lit(2), text, F.octet_length(text)).alias("t2"), text.alias("text"))
+    return stage(rows.mapInArrow(_shards(shard_bytes), _SHARD), "csr-shards")
 
-    Rows are numbered inside their partition; the partitions' counts (one small row each) say
-    where each begins.
-    """
-    rows = stage(words.select("word").distinct().withColumn("_at", F.monotonically_increasing_id()), "words")
-    part = F.shiftright("_at", 33)
-    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    start = counts.withColumn("_start", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).select("_part", "_start")
-    return rows.withColumn("_part", part).join(F.broadcast(start), "_part") \
-        .select("word", (F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias("id"))
+
+def _number_words(buckets: int):
+    """Numbers of a bucket's words: the same word has the same number wherever it is listed."""
+    def number(t):
+        coded = t.column("word").combine_chunks().dictionary_encode()
+        rank = np.empty(len(coded.dictionary), dtype=np.int64)
+        rank[pc.array_sort_indices(coded.dictionary).to_numpy()] = np.arange(len(rank))
+        ids = rank[coded.indices.to_numpy()] * buckets + t.column("bucket")[0].as_py()
+        return pa.table({"shard": t.column("shard"), "pos": t.column("pos"), "word": t.column("word"), "id": pa.array(ids)})
+    return number
 
 
-def _renumber(batches):
-    """Shards with global column numbers for their own codes, ascending in every row."""
-    for b in batches:
-        for k in range(b.num_rows):
-            one = b.slice(k, 1)
-            first, codes, counts, ids = (one.column(c).flatten().to_numpy() for c in ("first", "codes", "counts", "ids"))
-            column = ids[codes] if len(codes) else np.zeros(0, np.int64)
-            row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            order = np.lexsort((column, row))
-            yield pa.RecordBatch.from_arrays([one.column("shard"), one.column("docs"), one.column("first"), _list(pa.array(column[order], pa.int64())),
-                                              _list(pa.array(counts[order], pa.int32()))], names=["shard", "docs", "first", "columns", "counts"])
+def word_numbers(shards: DataFrame) -> DataFrame:
+    """(shard, pos, word, id) of every shard's word list under one global numbering.
 
+    A word's hash names its bucket, its rank among the bucket's words the number in it; buckets
+    are alike in size, so the numbers of V words end little above V.  A word is listed once a
+    shard, so a bucket holds its words and, of each, as many rows as there are shards with it.
+    """
+    buckets = pieces_for(shards.agg(F.sum("width")).first()[0] or 0, BUCKET_WORDS, 16)
+    listed = shards.select("shard", F.posexplode("words").alias("pos", "word")) \
+        .withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int"))
+    return listed.groupBy("bucket").applyInArrow(_number_words(buckets), "shard long, pos int, word string, id long")
 
-_MATRIX = _SHARD.replace("codes array<int>", "columns array<long>").replace(", words array<string>", "")
 
+def _global_rows(shard: pa.Table, numbers: pa.Table):
+    """Row pointers, column numbers (ascending in a row) and counts of a shard."""
+    first, codes, counts = (_numbers(shard.column(c), k) for c, k in (("first", "<i8"), ("codes", "<i4"), ("counts", "<i4")))
+    ids = np.zeros(numbers.num_rows, dtype=np.int64)
+    ids[numbers.column("pos").to_numpy()] = numbers.column("id").to_numpy()
+    row, column = np.repeat(np.arange(len(first) - 1), np.diff(first)), ids[codes]
+    order = np.lexsort((column, row))
+    return first, column[order], counts[order]
 
-def document_term_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang",
-                         shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(matrix, dictionary): CSR shards over global column numbers, and the word of each number."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
-                       F.xxhash64(F.lit(1), text).alias("t1"), F.xxhash64(F.lit(2), text, F.octet_length(text)).alias("t2"), text.alias("text"))
-    shards = stage(rows.mapInArrow(_shards(shard_bytes), _SHARD), "csr-shards")
-    listed = shards.select("shard", F.posexplode("words").alias("pos", "word"))
-    words = stage(dictionary(listed), "dictionary")
-    # a shard's word list is bounded by its bytes
-    ids = listed.join(words, "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("pos", "id")))["id"].alias("ids"))
-    whole = shards.drop("words").join(ids, "shard", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<long>")))
-    return whole.select("shard", "docs", "first", "codes", "counts", "ids").mapInArrow(_renumber, _MATRIX), words
+
+def _matrix(shard, numbers):
+    first, column, counts = _global_rows(shard, numbers)
+    return pa.table({"shard": shard.column("shard"), "docs": shard.column("docs"), "first": _list(pa.array(first, pa.int64())),
+                     "columns": _list(pa.array(column, pa.int64())), "counts": _list(pa.array(counts, pa.int32()))})
 
 
-def _row_figures(batches):
+def _figures(shard, numbers):
     """One row per document: row sum and nonzero count of its matrix row, and its flags."""
-    for b in batches:
-        for k in range(b.num_rows):
-            one = b.slice(k, 1)
-            docs = one.column("docs").flatten()
-            first, counts = one.column("first").flatten().to_numpy(), one.column("counts").flatten().to_numpy()
-            total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[first]
-            yield pa.RecordBatch.from_arrays([*docs.flatten(), pa.array(np.diff(total)), pa.array(np.diff(first))],
-                                             names=[*(n for n, _ in _DOC), "c", "d", "n_words", "n_distinct"])
+    first, _, counts = _global_rows(shard, numbers)
+    total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[first]
+    docs = shard.column("docs").combine_chunks().flatten()
+    return pa.Table.from_arrays([*docs.flatten(), pa.array(np.diff(total)), pa.array(np.diff(first))], names=[*_DOC, "c", "d", "n_words", "n_distinct"])
+
+
+_MATRIX = f"shard long, docs array<struct<{_DOC_SQL}>>, first array<long>, columns array<long>, counts array<int>"
+_ROWS = "doc_id long, part string, t1 long, t2 long, c boolean, d boolean, n_words long, n_distinct long"
+
+
+def _of_shards(shards: DataFrame, make, schema: str) -> DataFrame:
+    numbers = word_numbers(shards).select("shard", "pos", "id")
+    return shards.drop("words", "width").groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(make, schema)
 
 
-_FIGURES = "doc_id long, part string, t1 long, t2 long, c boolean, d boolean, n_words long, n_distinct long"
+def document_term_matrix(shards: DataFrame) -> DataFrame:
+    """CSR shards over global column numbers (``word_numbers`` tells their words)."""
+    return _of_shards(shards, _matrix, _MATRIX)
 
 
 def _orders():
@@ -156,8 +179,7 @@ def _orders():
 def failure_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang",
                    shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(part, mask, good, toxic, n): documents by the set of filters that they fail (bit 0: A)."""
-    matrix, _ = document_term_matrix(docs, id_col, text_col, part_col, shard_bytes)
-    rows = matrix.mapInArrow(_row_figures, _FIGURES)
+    rows = _of_shards(csr_shards(docs, id_col, text_col, part_col, shard_bytes), _figures, _ROWS)
     flags = [F.col("n_words") < 200, 100 * F.col("n_distinct") < 50 * F.col("n_words"), F.col("c"), F.col("d")]
     rows = rows.withColumn("mask", sum((f.cast("int") * (1 << k) for k, f in enumerate(flags[1:], 1)), flags[0].cast("int")))
     same = ["t1", "t2", "part", "mask"]
