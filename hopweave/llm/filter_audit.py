@@ -12,9 +12,11 @@ step the audit counts what each filter removes.
 1. Shards.  Every task cuts its texts into shards of bounded bytes.  A shard is a sparse
    matrix in CSR form (row pointers, column codes, counts) over a word list of its own; the
    flags C and D and a 128-bit hash of the text are taken in the same pass.  No text is shuffled.
-2. Dictionary.  The words that the shards list, one row per shard and word (a word that every
-   text holds costs a row per shard, not per text), are dealt by hash and numbered there
-   (``word_numbers``); back at their shard the numbers replace its own codes.
+2. Dictionary.  A shard lists its words in buckets by hash (a word that every text holds is
+   listed once a shard, not once a text).  A bucket gathers the lists of all shards, numbers its
+   distinct words in order (a word's global number: rank and bucket) and answers every list;
+   back at their shard the numbers replace its own codes.  Lists are never more than the words
+   listed, a bucket holds about BUCKET_WORDS of them.
 3. Row sums of the matrix are the words of A, nonzero counts the distinct words of B.
 4. E without a join of the texts: equal rows are counted per id, then per text, part, flags and
    labels with the smallest id beside the count; the smallest id of a text then splits each
@@ -39,19 +41,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hopweave.llm.common import pieces_for, stage
-from hopweave.llm.textops import row_counts, slices, word_strings, words_of
+from hopweave.llm.common import pieces_for, source_bytes, stage
+from hopweave.llm.textops import row_counts, slices, span_hashes, word_strings, words_of
 
 FILTERS = "ABCDE"
 #: Bytes of text in a shard (a longer text is a shard of its own).
 SHARD_BYTES = 16 << 20
-#: Listed words that are numbered at once.
+#: Listed words that are numbered at once (at most 2^24 buckets).
 BUCKET_WORDS = 500_000
 
 _DOC = ["doc_id", "part", "t1", "t2"]
 _DOC_SQL = "doc_id: bigint, part: string, t1: bigint, t2: bigint, c: boolean, d: boolean"
 #: Row pointers, codes and counts are little-endian 32-bit numbers (``first``: 64-bit).
-_SHARD = f"shard long, docs array<struct<{_DOC_SQL}>>, first binary, codes binary, counts binary, width long, words array<string>"
+_SHARD = f"shard long, docs array<struct<{_DOC_SQL}>>, first binary, codes binary, counts binary, lists array<struct<bucket: int, words: binary>>"
 _SIGNS = np.isin(np.arange(256), list(b"#$%&*|"))
 
 
@@ -67,29 +69,43 @@ def _numbers(column, kind: str) -> np.ndarray:
     return np.frombuffer(column[0].as_buffer(), kind)
 
 
-def _shard(number: int, batch: pa.RecordBatch, s) -> pa.RecordBatch:
+def _word_lists(words: pa.StringArray, buckets: int) -> tuple[np.ndarray, pa.Array]:
+    """The bucket-wise order of a shard's words, and per bucket its words, a line each."""
+    joined = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    bucket = (span_hashes(joined, ends[:-1], ends[1:]) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    used, at = np.unique(bucket[order], return_index=True)
+    text = words.take(pa.array(order)).to_pylist()
+    lines = ["\n".join(text[lo:hi]).encode() for lo, hi in zip(at, [*at[1:], len(order)], strict=True)]
+    return order, pa.StructArray.from_arrays([pa.array(used, pa.int32()), pa.array(lines, pa.binary())], names=["bucket", "words"])
+
+
+def _shard(number: int, batch: pa.RecordBatch, s, buckets: int) -> pa.RecordBatch:
     w = words_of(s)
     coded = word_strings(s, w).dictionary_encode()
     size = max(1, len(coded.dictionary))
-    cell, count = np.unique(w.row * size + coded.indices.to_numpy(), return_counts=True)
+    order, lists = _word_lists(coded.dictionary, buckets)
+    code = np.empty(size, dtype=np.int64)
+    code[order] = np.arange(len(order))
+    cell, count = np.unique(w.row * size + code[coded.indices.to_numpy()], return_counts=True)
     first = np.searchsorted(cell, np.arange(s.rows + 1) * size)
     upper = row_counts((s.data >= 65) & (s.data <= 90), s.offsets)
     points = row_counts((s.data & 0xC0) != 0x80, s.offsets)
     signs = row_counts(_SIGNS[s.data], s.offsets)
     own = [batch.column(n).slice(s.lo, s.rows) for n in _DOC]
     docs = pa.StructArray.from_arrays([*own, pa.array(100 * upper > 3 * points), pa.array(signs > 0)], names=[*_DOC, "c", "d"])
-    columns = [pa.array([number], pa.int64()), _list(docs), _bytes(first, "<i8"), _bytes(cell % size, "<i4"), _bytes(count, "<i4"),
-               pa.array([len(coded.dictionary)], pa.int64()), _list(coded.dictionary)]
-    return pa.RecordBatch.from_arrays(columns, names=["shard", "docs", "first", "codes", "counts", "width", "words"])
+    columns = [pa.array([number], pa.int64()), _list(docs), _bytes(first, "<i8"), _bytes(cell % size, "<i4"), _bytes(count, "<i4"), _list(lists)]
+    return pa.RecordBatch.from_arrays(columns, names=["shard", "docs", "first", "codes", "counts", "lists"])
 
 
-def _shards(shard_bytes: int):
+def _shards(shard_bytes: int, buckets: int):
     def shards(batches):
         from pyspark import TaskContext
         number = TaskContext.get().partitionId() << 32
         for b in batches:
             for s in slices(b.column("text"), shard_bytes):
-                yield _shard(number, b, s)
+                yield _shard(number, b, s, buckets)
                 number += 1
     return shards
 
@@ -100,39 +116,50 @@ def csr_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
                        F.xxhash64(F.lit(1), text).alias("t1"), F.xxhash64(F.lit(2), text, F.octet_length(text)).alias("t2"), text.alias("text"))
-    return stage(rows.mapInArrow(_shards(shard_bytes), _SHARD), "csr-shards")
+    buckets = pieces_for(source_bytes(docs, text_col)[1] // 12, BUCKET_WORDS, 16)
+    return stage(rows.mapInArrow(_shards(shard_bytes, buckets), _SHARD), "csr-shards")
+
+
+def _number(t):
+    """(word, number in its bucket) of every word of a bucket's lists, list by list."""
+    s = next(slices(t.column("words").combine_chunks(), 1 << 62))
+    w = words_of(s)
+    coded = word_strings(s, w).dictionary_encode()
+    rank = np.empty(len(coded.dictionary), dtype=np.int64)
+    rank[pc.array_sort_indices(coded.dictionary).to_numpy()] = np.arange(len(rank))
+    return coded, rank[coded.indices.to_numpy()], w.first
+
+
+def _number_lists(t):
+    """The numbers of every list's words: the same word has the same one wherever it is listed."""
+    _, rank, first = _number(t)
+    kind = "<i4" if not len(rank) or rank.max() < 2**31 else "<i8"
+    return pa.table({"shard": t.column("shard"), "bucket": t.column("bucket"), "wide": pa.array([kind == "<i8"] * t.num_rows),
+                     "ranks": pa.array([rank[lo:hi].astype(kind).tobytes() for lo, hi in zip(first[:-1], first[1:], strict=True)], pa.binary())})
+
 
+def _number_words(t):
+    coded, rank, _ = _number(t)
+    low, at = np.unique(rank, return_index=True)
+    return pa.table({"word": coded.dictionary.take(coded.indices.take(pa.array(at))), "id": pa.array((low << 24) + t.column("bucket")[0].as_py())})
 
-def _number_words(buckets: int):
-    """Numbers of a bucket's words: the same word has the same number wherever it is listed."""
-    def number(t):
-        coded = t.column("word").combine_chunks().dictionary_encode()
-        rank = np.empty(len(coded.dictionary), dtype=np.int64)
-        rank[pc.array_sort_indices(coded.dictionary).to_numpy()] = np.arange(len(rank))
-        ids = rank[coded.indices.to_numpy()] * buckets + t.column("bucket")[0].as_py()
-        return pa.table({"shard": t.column("shard"), "pos": t.column("pos"), "word": t.column("word"), "id": pa.array(ids)})
-    return number
 
+def _lists(shards: DataFrame) -> DataFrame:
+    return shards.select("shard", F.explode("lists").alias("x")).select("shard", "x.bucket", "x.words")
 
-def word_numbers(shards: DataFrame) -> DataFrame:
-    """(shard, pos, word, id) of every shard's word list under one global numbering.
 
-    A word's hash names its bucket, its rank among the bucket's words the number in it; buckets
-    are alike in size, so the numbers of V words end little above V.  A word is listed once a
-    shard, so a bucket holds its words and, of each, as many rows as there are shards with it.
-    """
-    buckets = pieces_for(shards.agg(F.sum("width")).first()[0] or 0, BUCKET_WORDS, 16)
-    listed = shards.select("shard", F.posexplode("words").alias("pos", "word")) \
-        .withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int"))
-    return listed.groupBy("bucket").applyInArrow(_number_words(buckets), "shard long, pos int, word string, id long")
+def dictionary(shards: DataFrame) -> DataFrame:
+    """(word, id): the global number of every word of the shards."""
+    return _lists(shards).groupBy("bucket").applyInArrow(_number_words, "word string, id long")
 
 
 def _global_rows(shard: pa.Table, numbers: pa.Table):
     """Row pointers, column numbers (ascending in a row) and counts of a shard."""
     first, codes, counts = (_numbers(shard.column(c), k) for c, k in (("first", "<i8"), ("codes", "<i4"), ("counts", "<i4")))
-    ids = np.zeros(numbers.num_rows, dtype=np.int64)
-    ids[numbers.column("pos").to_numpy()] = numbers.column("id").to_numpy()
-    row, column = np.repeat(np.arange(len(first) - 1), np.diff(first)), ids[codes]
+    ids = [np.zeros(0, np.int64)]
+    for r in sorted(numbers.select(["bucket", "wide", "ranks"]).to_pylist(), key=lambda r: r["bucket"]):
+        ids.append((np.frombuffer(r["ranks"], "<i8" if r["wide"] else "<i4").astype(np.int64) << 24) + r["bucket"])
+    row, column = np.repeat(np.arange(len(first) - 1), np.diff(first)), np.concatenate(ids)[codes]
     order = np.lexsort((column, row))
     return first, column[order], counts[order]
 
@@ -156,12 +183,12 @@ _ROWS = "doc_id long, part string, t1 long, t2 long, c boolean, d boolean, n_wor
 
 
 def _of_shards(shards: DataFrame, make, schema: str) -> DataFrame:
-    numbers = word_numbers(shards).select("shard", "pos", "id")
-    return shards.drop("words", "width").groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(make, schema)
+    numbers = _lists(shards).groupBy("bucket").applyInArrow(_number_lists, "shard long, bucket int, wide boolean, ranks binary")
+    return shards.drop("lists").groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(make, schema)
 
 
 def document_term_matrix(shards: DataFrame) -> DataFrame:
-    """CSR shards over global column numbers (``word_numbers`` tells their words)."""
+    """CSR shards over global column numbers (``dictionary`` tells their words)."""
     return _of_shards(shards, _matrix, _MATRIX)
 
 

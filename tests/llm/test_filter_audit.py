@@ -50,9 +50,9 @@ def test_empty_tables(spark):
 def test_matrix_spells_the_texts(spark):
     docs = frame(spark)
     shards = filter_audit.csr_shards(docs, shard_bytes=3000)
-    matrix, listed = filter_audit.document_term_matrix(shards), filter_audit.word_numbers(shards)
-    word = {r["id"]: r["word"] for r in listed.collect()}
-    assert len(set(word.values())) == len(word) == listed.select("word").distinct().count()
+    matrix, words = filter_audit.document_term_matrix(shards), filter_audit.dictionary(shards).collect()
+    word = {r["id"]: r["word"] for r in words}
+    assert len(set(word.values())) == len(word) == len(words)
     got = []
     for r in matrix.collect():
         for k, d in enumerate(r["docs"]):
