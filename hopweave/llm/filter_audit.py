@@ -46,7 +46,7 @@ from hopweave.llm.textops import row_counts, slices, span_hashes, word_strings,
 
 FILTERS = "ABCDE"
 #: Bytes of text in a shard (a longer text is a shard of its own).
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: Listed words that are numbered at once (at most 2^24 buckets).
 BUCKET_WORDS = 500_000
 
