@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopweave.llm import (class_lm, decontaminate, filter_audit, jaccard_join, language_id, nearest, packing, quality, quotation,
-                          sharding, substring_dedup)
+from hopweave.llm import (class_lm, decontaminate, filter_audit, jaccard_join, language_id, nearest, packing, prefix_trie, quality,
+                          quotation, sharding, substring_dedup)
 from hopweave.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumnRenamed("lang_score", "score").withColumnRenamed("lang_ambiguous", "ambiguous")
 
 
+@query("op11_prefix_trie", prefix_trie.ORACLE)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all prefixes of the rebuilt conversations, with the totals of every subtree."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_filter_audit", filter_audit.ORACLE)
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes in all 120 orders, by language, with the labels it costs."""
