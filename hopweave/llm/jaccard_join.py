@@ -18,15 +18,9 @@ percent))`` shingles, which drives everything:
    least estimated cost (entries plus chance meetings).  A text may leave out as many
    tickets as it has ``alone`` shingles - each of those already uses up a difference - and
    leaves out its costliest segments, empty ones first.
-4. Stars.  The members of a segment key are not paired with one another: each is verified
-   against the key's centre only, the one with the fewest ``alone`` shingles (a row per
-   member, whatever the group's size).  Members that link with it are connected.  A member
-   that does not may still link with another member: both then differ from the centre in
-   common shingles.  Bounds from the verified distances close nearly all such members.
-   Those left over, in stars whose members are not all connected yet, are paired within
-   their star where the bounds allow: directly when they are ``FEW``, else where they meet
-   in the first of their differences from the centre (rarest first, prefix filter).  Every
-   such pair is verified, by the differences both share.
+4. Stars (``stars``).  The members of a segment key are not paired with one another: each is
+   verified against the key's centre, the one with the fewest ``alone`` shingles, and members
+   left over are paired only where the differences they share from it ask for it.
 5. Components of the verified links; a text's component is its smallest linked id.
 
 Sets are compared by 64-bit shingle hashes; a class is known by a 64-bit hash of its set.
@@ -43,12 +37,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopweave.llm.block_sketch import REPLY, SEGMENT_KEYS, SKETCH, estimated_repeats, merge_sketches, sketch_of
 from hopweave.llm.common import pieces_for, source_bytes, stage
 from hopweave.llm.components import components
+from hopweave.llm.stars import links_of_entries, most_apart
 from hopweave.llm.textops import mix64, ngram_hashes, seed_of, slices, word_hashes, words_of
 
 BLOCK_BYTES = 12 << 20
@@ -58,22 +53,6 @@ SEGMENT_SHINGLES = SEGMENT_KEYS // 4
 #: Estimated chance that two texts of a band agree on a shingle's presence, for the cost of
 #: chance meetings.
 AGREE = 0.15
-#: So many members left over in a star are paired directly: at most FEW / 2 pairs a member.
-FEW = 200
-
-
-def differ(r: int, s: int, percent: int) -> int:
-    """The most shingles in which linked sets of sizes r and s differ."""
-    return r + s - 2 * -(-percent * (r + s) // (100 + percent))
-
-
-def most_apart(low: int, high: int, percent: int) -> int:
-    """The most differences of two linked sets whose sizes add up to ``low`` .. ``high``.
-
-    One more shingle in the sum changes the bound by one, up or down, and it rises on the
-    whole: the last two sums hold the largest.
-    """
-    return max(t - 2 * -(-percent * t // (100 + percent)) for t in range(max(low, high - 1), high + 1))
 
 
 # -- bands and tickets ----------------------------------------------------------------------
@@ -144,7 +123,7 @@ def entry_keys(tokens: np.ndarray, alone: int, number: int, band: Band) -> np.nd
 
 # -- texts to sets ---------------------------------------------------------------------------
 
-def _block_sets(texts, n: int):
+def block_sets(texts, n: int):
     """Per row of a block: distinct shingles, one after another, and the first of each row."""
     parts, sizes = [], []
     for s in slices(texts):
@@ -159,7 +138,7 @@ def _block_sets(texts, n: int):
 
 def _sketch(segments: int, n: int):
     def sketch(t):
-        tokens, _ = _block_sets(t.column("text"), n)
+        tokens, _ = block_sets(t.column("text"), n)
         return sketch_of(tokens, t.column("block")[0].as_py(), segments)
     return sketch
 
@@ -167,7 +146,7 @@ def _sketch(segments: int, n: int):
 def _sets(segments: int, n: int, percent: int):
     """Every text's size and class; for the first of a class in the block that may link, its shingles."""
     def sets(docs, replies):
-        tokens, first = _block_sets(docs.column("text"), n)
+        tokens, first = block_sets(docs.column("text"), n)
         keep = estimated_repeats(tokens, replies, segments)
         marks = np.concatenate([[np.uint64(0)], np.cumsum(mix64(tokens, 0xC1A55))])
         size = np.diff(first)
@@ -189,7 +168,7 @@ def _sets(segments: int, n: int, percent: int):
     return sets
 
 
-# -- stars -----------------------------------------------------------------------------------
+# -- index -----------------------------------------------------------------------------------
 
 def _entries(bands: dict[int, Band], bounds: list[int], percent: int):
     def entries(batches):
@@ -217,119 +196,6 @@ def _entry_batch(keys, owner, lone) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"key": join(keys), "class": join(owner), "alone": join(lone)})
 
 
-def _stars(entries: DataFrame) -> DataFrame:
-    """(centre, member) of every key with more than one member: one row per member."""
-    centre = entries.groupBy("key").agg(F.min(F.struct("alone", "class")).alias("_c"), F.min("class").alias("_a"), F.max("class").alias("_z")) \
-        .where("_a < _z").select("key", F.col("_c.class").alias("centre"))
-    return entries.join(centre, "key").where("class <> centre").select("centre", F.col("class").alias("member")).distinct()
-
-
-_PAIR = ["centre", "member", "c_n", "c_alone", "n", "alone"]
-
-
-def _distances(batches):
-    """Differences of centre and member sets (both reduced to shingles that repeat)."""
-    for b in batches:
-        apart = []
-        lone = b.column("alone").to_numpy() + b.column("c_alone").to_numpy()
-        for x, y in zip(b.column("c_tokens"), b.column("tokens"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            apart.append(len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True)))
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in _PAIR), pa.array(np.array(apart, np.int64) + lone)], names=[*_PAIR, "apart"])
-
-
-def _verify(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(centre, member, c_alone, n, alone, apart, linked) of every star pair."""
-    centres = sets.select(F.col("class").alias("centre"), F.col("n").alias("c_n"), F.col("alone").alias("c_alone"), F.col("tokens").alias("c_tokens"))
-    pairs = stars.join(centres, "centre").join(sets.withColumnRenamed("class", "member"), "member") \
-        .select(*_PAIR, "c_tokens", "tokens")
-    done = pairs.mapInArrow(_distances, ", ".join(f"{c} long" for c in [*_PAIR, "apart"]))
-    common = (F.col("n") + F.col("c_n") - F.col("apart")) / 2
-    union = (F.col("n") + F.col("c_n") + F.col("apart")) / 2
-    return done.withColumn("linked", 100 * common >= percent * union)
-
-
-def _most_apart(total, percent: int):
-    """Column form of ``most_apart`` for sizes that add up to at most ``total``."""
-    bound = lambda t: t - 2 * F.ceil(percent * t / F.lit(100 + percent))
-    return F.greatest(bound(total), bound(total - 1))
-
-
-def _open_members(tested: DataFrame, percent: int) -> DataFrame:
-    """Members of stars that may still link with another member of the star.
-
-    Of the ``apart`` differences of a member from the centre, ``alone`` are its own; at most
-    the others are common with another member's.  So members x and y differ in at least
-    ``x.apart + y.apart - 2 min(x.apart - x.alone, y.apart - y.alone)``.
-    """
-    shared = F.col("apart") - F.col("alone")
-    rows = tested.withColumn("shared", shared)
-    star = rows.groupBy("centre").agg(F.min("apart").alias("_a"), F.min(F.col("apart") - 2 * F.col("shared")).alias("_b"),
-                                      F.max("n").alias("largest"), F.count(F.lit(1)).alias("_size"))
-    rows = rows.join(star, "centre").where("_size > 1").withColumn("reach", _most_apart(F.col("n") + F.col("largest"), percent)) \
-        .where(F.col("apart") + F.greatest(F.col("_a") - 2 * F.col("shared"), F.col("_b")) <= F.col("reach"))
-    # a star matters only while it has a member not connected with its centre, and another one
-    alive = rows.groupBy("centre").agg(F.count(F.lit(1)).alias("open"), F.max((~F.col("linked")).cast("int")).alias("_far")) \
-        .where("open > 1 and _far = 1").select("centre", "open")
-    return rows.join(alive, "centre").select("centre", "member", "root", "c_alone", "n", "alone", "apart", "shared", "linked", "reach", "open")
-
-
-_SIDE = ("member", "root", "n", "apart", "shared", "linked")
-
-
-def _may_link(percent: int):
-    """Condition on two members of a star: one not connected with its centre, any other
-    (``o_`` columns) it is not connected with either."""
-    return (F.col("root") != F.col("o_root")) & (F.col("o_linked") | (F.col("member") < F.col("o_member"))) \
-        & (F.col("apart") + F.col("o_apart") - 2 * F.least("shared", "o_shared") <= _most_apart(F.col("n") + F.col("o_n"), percent))
-
-
-def _other(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.select(*keys, *[F.col(c).alias(f"o_{c}") for c in _SIDE])
-
-
-def _differences(batches):
-    """(centre, member, token): shingles in one of the two sets only."""
-    for b in batches:
-        tokens, owner = [], []
-        for k, (x, y) in enumerate(zip(b.column("c_tokens"), b.column("tokens"), strict=True)):
-            t = np.setxor1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True).view(np.int64)
-            tokens.append(t)
-            owner.append(np.full(len(t), k))
-        at = pa.array(np.concatenate(owner) if owner else np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays([b.column("centre").take(at), b.column("member").take(at),
-                                          pa.array(np.concatenate(tokens) if tokens else [], pa.int64())], names=["centre", "member", "token"])
-
-
-def _left_over_links(still: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): verified links between members left over in a star."""
-    far, kept = ~F.col("linked"), ["centre", "c_alone", *_SIDE, *[f"o_{c}" for c in _SIDE]]
-    few, many = still.where(F.col("open") <= FEW), still.where(F.col("open") > FEW)
-    pairs = stage(few.where(far).join(_other(few, "centre"), "centre").where(_may_link(percent)).select(*kept), "few-pairs")
-    need = pairs.select("centre", "member").unionByName(pairs.select("centre", F.col("o_member").alias("member"))) \
-        .unionByName(many.select("centre", "member")).distinct()
-    centres = sets.select(F.col("class").alias("centre"), F.col("tokens").alias("c_tokens"))
-    apart = stage(need.join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member")
-                  .mapInArrow(_differences, "centre long, member long, token long"), "differences", release=True)
-    often = apart.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    common = stage(apart.join(often, ["centre", "token"]), "common-differences")
-    # Of members x and y that link, each has at most reach - alone differences the other lacks
-    place = F.row_number().over(Window.partitionBy("centre", "member").orderBy("often", "token"))
-    keys = common.withColumn("place", place).join(many, ["centre", "member"]).where(F.col("place") <= F.col("reach") - F.col("alone") + 1)
-    pairs = pairs.unionByName(keys.where(far).join(_other(keys, "centre", "token"), ["centre", "token"]).where(_may_link(percent)).select(*kept))
-    # without a common difference they are as far apart as both are from the centre, less its own lone shingles
-    near = many.where(F.col("apart") - F.col("c_alone") <= F.col("reach"))
-    pairs = pairs.unionByName(near.where(far).join(_other(near, "centre"), "centre").where(_may_link(percent))
-                              .where(F.col("apart") + F.col("o_apart") - 2 * F.col("c_alone") <= F.col("reach")).select(*kept))
-    pairs = pairs.withColumns({"x": F.least("member", "o_member"), "y": F.greatest("member", "o_member")}).dropDuplicates(["x", "y"]).drop("x", "y")
-    shared = common.groupBy("centre", "member").agg(F.collect_list("token").alias("tokens"))      # at most a set's shingles
-    met = pairs.join(shared, ["centre", "member"], "left") \
-        .join(shared.select("centre", F.col("member").alias("o_member"), F.col("tokens").alias("o_tokens")), ["centre", "o_member"], "left")
-    same = F.coalesce(F.size(F.array_intersect("tokens", "o_tokens")), F.lit(0)) + F.col("c_alone")
-    total, differ_by = F.col("n") + F.col("o_n"), F.col("apart") + F.col("o_apart") - 2 * same
-    return met.where(100 * (total - differ_by) >= percent * (total + differ_by)).select(F.col("member").alias("a"), F.col("o_member").alias("b"))
-
-
 def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
     """Links between classes that connect what any links connect (None without sets).
 
@@ -345,18 +211,7 @@ def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
     counts = {r["band"]: r["count"] for r in sets.groupBy(number.alias("band")).count().collect()}  # a row per band
     bands = {k: allot(bounds[k], bounds[k + 1] - 1, percent, c) for k, c in counts.items()}
     entries = sets.mapInArrow(_entries(bands, bounds, percent), _ENTRY)
-    tested = stage(_verify(_stars(entries), sets, percent), "star-pairs", release=True)
-    links = tested.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b"))
-    # what these links connect need not be compared any more
-    roots = stage(components(links), "star-components")
-    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-    joined = tested.join(of("centre"), "centre", "left").join(of("member"), "member", "left") \
-        .withColumn("root", F.coalesce("member_root", "member")) \
-        .withColumn("linked", F.coalesce("centre_root", "centre") == F.col("root"))
-    still = stage(_open_members(joined, percent), "open-members")
-    if still.isEmpty():
-        return links
-    return links.unionByName(stage(_left_over_links(still, sets, percent), "left-over-links"))
+    return links_of_entries(entries, sets, percent)
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, block_bytes: int, segment_keys: int) -> DataFrame:

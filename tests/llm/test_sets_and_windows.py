@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from hopweave.llm import jaccard_join, substring_dedup
+from hopweave.llm import jaccard_join, stars, substring_dedup
 from hopweave.llm.components import components
 
 from .cases import documents, fold, frame
@@ -57,12 +57,8 @@ def test_join_one_large_group_of_near_copies(spark):
         for _ in range(rnd.choice([0, 1, 1, 2, 3, 4])):
             w[rnd.randrange(len(w))] = rnd.choice(["q", "r", f"u{i}"])
         rows.append((i, " ".join(w[:rnd.choice([90, 90, 88, 84])])))
-    few, jaccard_join.FEW = jaccard_join.FEW, 10     # leftovers go through the difference keys as well
-    try:
-        df = spark.createDataFrame(rows, "doc_id long, text string")
-        got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.join_components(df).collect())
-    finally:
-        jaccard_join.FEW = few
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.join_components(df).collect())
     assert got == brute_components(rows, 4, 85)
 
 
@@ -72,14 +68,14 @@ def test_tickets_cover_every_linked_pair():
         assert band.plain + 2 * band.double == band.apart + 1
         for s in range(low, high + 1):
             for r in range(s, s * 100 // 85 + 1):
-                assert jaccard_join.differ(r, s, 85) <= band.apart
+                assert stars.differ(r, s, 85) <= band.apart
 
 
 def test_most_apart_is_the_maximum():
     for percent in (60, 80, 85, 93):
         for low in range(2, 60):
             for high in range(low, 140):
-                assert jaccard_join.most_apart(low, high, percent) == max(jaccard_join.differ(t, 0, percent) for t in range(low, high + 1))
+                assert stars.most_apart(low, high, percent) == max(stars.differ(t, 0, percent) for t in range(low, high + 1))
 
 
 def test_one_of_each_keeps_the_smallest_id_and_wordless_rows(spark):
