@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopweave.llm import (class_lm, decontaminate, filter_audit, jaccard_join, language_id, nearest, packing, prefix_trie, quality,
-                          quotation, sharding, substring_dedup)
+from hopweave.llm import (class_lm, decontaminate, filter_audit, jaccard_join, language_id, minhash_dedup, nearest, packing,
+                          prefix_trie, quality, quotation, sharding, substring_dedup)
 from hopweave.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+@query("op12_minhash_dedup")
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies of documents: 3-word shingle sets with a Jaccard similarity of 0.85 or more."""
+    return minhash_dedup.near_copies(table(spark, sf_dir, "documents"), n=3, percent=85) \
+        .select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op13_filter_audit", filter_audit.ORACLE)
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes in all 120 orders, by language, with the labels it costs."""
