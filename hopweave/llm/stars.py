@@ -95,11 +95,15 @@ def _open_members(tested: DataFrame, percent: int) -> DataFrame:
     the others are common with another member's.  So members x and y differ in at least
     ``x.apart + y.apart - 2 min(x.apart - x.alone, y.apart - y.alone)``.
     """
+    far, mark = ~F.col("linked"), F.col("apart") - 2 * F.col("shared")
     rows = tested.withColumn("shared", F.col("apart") - F.col("alone"))
-    star = rows.groupBy("centre").agg(F.min("apart").alias("_a"), F.min(F.col("apart") - 2 * F.col("shared")).alias("_b"),
-                                      F.max("n").alias("largest"), F.count(F.lit(1)).alias("_size"))
-    total = F.col("n") + F.col("largest")
-    rows = rows.join(star, "centre").where("_size > 1").withColumn("reach", F.greatest(_bound(total, percent), _bound(total - 1, percent))) \
+    ends = {"_a": F.min("apart"), "_b": F.min(mark), "_n": F.max("n")}
+    of_far = {"_a_far": F.min(F.when(far, F.col("apart"))), "_b_far": F.min(F.when(far, mark)), "_n_far": F.max(F.when(far, F.col("n")))}
+    star = rows.groupBy("centre").agg(F.count(F.lit(1)).alias("_size"), *[v.alias(k) for k, v in {**ends, **of_far}.items()])
+    # one of two members that matter is far; a star without far members is done
+    rows = rows.join(star.where("_size > 1 and _n_far is not null"), "centre").withColumns({k: F.when(far, F.col(k)).otherwise(F.col(f"{k}_far")) for k in ends})
+    total = F.col("n") + F.col("_n")
+    rows = rows.withColumn("reach", F.greatest(_bound(total, percent), _bound(total - 1, percent))) \
         .where(F.col("apart") + F.greatest(F.col("_a") - 2 * F.col("shared"), F.col("_b")) <= F.col("reach"))
     # a star matters only while it has a member not connected with its centre, and another one
     alive = rows.groupBy("centre").agg(F.count(F.lit(1)).alias("open"), F.max((~F.col("linked")).cast("int")).alias("_far")) \
@@ -108,7 +112,7 @@ def _open_members(tested: DataFrame, percent: int) -> DataFrame:
 
 
 def _differences(batches):
-    """(centre, member, token): tokens in one of the two sets only."""
+    """(centre, member, open, token): tokens in one of the two sets only."""
     for b in batches:
         tokens, owner = [], []
         for k, (x, y) in enumerate(zip(b.column("c_tokens"), b.column("tokens"), strict=True)):
@@ -116,8 +120,8 @@ def _differences(batches):
             tokens.append(t)
             owner.append(np.full(len(t), k))
         at = pa.array(np.concatenate(owner) if owner else np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays([b.column("centre").take(at), b.column("member").take(at),
-                                          pa.array(np.concatenate(tokens) if tokens else [], pa.int64())], names=["centre", "member", "token"])
+        yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in ("centre", "member", "open")),
+                                          pa.array(np.concatenate(tokens) if tokens else [], pa.int64())], names=["centre", "member", "open", "token"])
 
 
 _SIDE = ("member", "root", "n", "d", "linked")
@@ -151,25 +155,26 @@ def _left_over_links(still: DataFrame, sets: DataFrame, percent: int) -> DataFra
     """(a, b): verified links between open members of a star that are not connected yet."""
     far = ~F.col("linked")
     centres = sets.select(F.col("class").alias("centre"), F.col("tokens").alias("c_tokens"))
-    apart = stage(still.select("centre", "member").join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member")
-                  .mapInArrow(_differences, "centre long, member long, token long"), "differences", release=True)
-    often = apart.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("often"))
-    often = often.join(still.groupBy("centre").agg(F.first("open").alias("open")), "centre")
-    often = stage(often, "difference-counts")
+    apart = stage(still.select("centre", "member", "open").join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member")
+                  .mapInArrow(_differences, "centre long, member long, open long, token long"), "differences", release=True)
+    often = apart.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("often"), F.max("open").alias("open"))
+    often = stage(often.where("often > 1"), "difference-counts")
     everywhere = often.where("often = open").groupBy("centre").agg(F.count(F.lit(1)).alias("_all"))
     # d: differences not common to all; e: d less what a partner's size allows for
     rows = still.join(everywhere, "centre", "left").withColumn("d", F.col("apart") - F.col("c_alone") - F.coalesce("_all", F.lit(0)))
     rows = rows.withColumn("e", F.col("d") - F.col("n") * ((100 - percent) / (100 + percent)))
     least = rows.groupBy("centre").agg(F.min("e").alias("e_all"), F.min(F.when(far, F.col("e"))).alias("e_far"))
-    rows = stage(rows.join(least, "centre").select("centre", *_SIDE, "alone", "e", "e_all", "e_far"), "left-over")
+    rows = stage(rows.join(least, "centre").select("centre", *_SIDE, "e", "e_all", "e_far"), "left-over")
     links = _profile_links(rows, percent)
 
-    # a member's differences in order; its first d - o + 1 places, o: the least any partner asks for
-    common = apart.join(often.where("often < open").drop("open"), ["centre", "token"])
-    place = F.row_number().over(Window.partitionBy("centre", "member").orderBy("often", "token"))     # a set's tokens
+    # a member's differences in order, those no other member shares first; its first d - o + 1
+    # places, o: the least any partner asks for
+    common = apart.drop("open").join(often.where("often < open").drop("open"), ["centre", "token"])
+    own = Window.partitionBy("centre", "member")                                                       # a set's tokens
+    placed = common.withColumn("place", F.row_number().over(own.orderBy("often", "token"))).withColumn("_m", F.count(F.lit(1)).over(own))
     asks = F.greatest(F.ceil((F.col("e") + F.when(far, F.col("e_all")).otherwise(F.col("e_far"))) / 2 - 1e-6), F.lit(1))
-    placed = common.withColumn("place", place).join(rows, ["centre", "member"]).withColumn("place", F.col("place") + F.col("alone"))
-    keys = placed.where((F.col("place") <= F.col("d") - asks + 1) & (F.col("often") > 1)).select("centre", "token", "place", *_SIDE)
+    placed = placed.join(rows, ["centre", "member"]).withColumn("place", F.col("place") + F.col("d") - F.col("_m"))
+    keys = placed.where(F.col("place") <= F.col("d") - asks + 1).select("centre", "token", "place", *_SIDE)
     keys = stage(keys, "difference-keys")
     need = F.greatest(_needed(percent), F.lit(1))
     pairs = keys.where(far).join(_other(keys, "centre", "token"), ["centre", "token"]) \
@@ -178,7 +183,7 @@ def _left_over_links(still: DataFrame, sets: DataFrame, percent: int) -> DataFra
         .select("centre", "member", "o_member", "n", "o_n", "d", "o_d").dropDuplicates(["centre", "member", "o_member"])
     pairs = stage(pairs, "left-over-pairs")
     wanted = pairs.select("centre", "member").unionByName(pairs.select("centre", F.col("o_member").alias("member"))).distinct()
-    shared = common.where("often > 1").join(wanted, ["centre", "member"], "left_semi") \
+    shared = common.join(wanted, ["centre", "member"], "left_semi") \
         .groupBy("centre", "member").agg(F.collect_list("token").alias("tokens"))                      # at most a set's tokens
     met = pairs.join(shared, ["centre", "member"]).join(_other(shared, "centre"), ["centre", "o_member"])
     same = F.size(F.array_intersect("tokens", "o_tokens"))
