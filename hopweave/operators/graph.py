@@ -12,7 +12,9 @@ Scale notes
 * Every ``groupBy`` is partially aggregated map-side, so hot addresses collapse
   before the shuffle.
 * The second hop probes the day-restricted ledger once, on (day, endpoint),
-  instead of index-then-lookup; AQE splits a skewed (day, hub) partition.
+  instead of index-then-lookup: sides are tested against bit pages of the wanted
+  keys where the ledger is read, and only those that pass are shuffled to the exact
+  join; AQE splits a skewed (day, hub) partition.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hopweave.functions.common import DUST_WEI, as_of_ts, hash_shard, strict_greatest, utc_ts
+from hopweave.functions.membership import probable_members
 from hopweave.session import path_exists
 
 TX_COLS = ["from_address", "to_address", "block_number", "timestamp", "value_wei_raw",
@@ -149,14 +152,33 @@ def g_addr_day_index(tx_days: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def near_sides(tx_days: DataFrame, l1: DataFrame) -> DataFrame:
-    """Each transfer once per side that is a first-hop neighbour of that day, as (near, far, dir)."""
-    sides = F.explode(F.array(
+#: What the second-hop ranking reads of a transfer.
+RANK_COLS = ["day", "value_wei_raw", "timestamp"]
+
+
+def wanted_sides(l1: DataFrame) -> DataFrame:
+    """(day, near): the first-hop neighbours of every day."""
+    return l1.select("day", F.col("neighbor_addr").alias("near")).where(F.col("near").isNotNull()).distinct()
+
+
+def probable_sides(tx_days: DataFrame, wanted: DataFrame, columns=TX_COLS) -> DataFrame:
+    """Each transfer once per side that is in all probability in ``wanted`` (none is missed).
+
+    The sides are tested where the ledger is read, against bit pages of the wanted (day,
+    neighbour) keys; only those that pass go on to the exact join.
+    """
+    sides = F.array(
         F.struct(F.lit("out").alias("dir"), F.col("from_address").alias("near"), F.col("to_address").alias("far")),
-        F.struct(F.lit("in").alias("dir"), F.col("to_address").alias("near"), F.col("from_address").alias("far"))))
-    rows = tx_days.select(*TX_COLS, sides.alias("s")).select(*TX_COLS, "s.dir", "s.near", "s.far")
-    wanted = l1.select("day", F.col("neighbor_addr").alias("near")).where(F.col("near").isNotNull()).distinct()
-    return rows.join(wanted, ["day", "near"], "left_semi").select(*TX_COLS, "dir", "near", "far")
+        F.struct(F.lit("in").alias("dir"), F.col("to_address").alias("near"), F.col("from_address").alias("far")))
+    rows = tx_days.select(*columns, F.explode(sides).alias("s")).select(*columns, "s.dir", "s.near", "s.far").where(F.col("near").isNotNull())
+    return probable_members(rows, wanted, ["day", "near"])
+
+
+def near_sides(tx_days: DataFrame, l1: DataFrame, columns=TX_COLS) -> DataFrame:
+    """Each transfer once per side that is a first-hop neighbour of that day, as (near, far, dir),
+    with the transfer's ``columns``."""
+    wanted = wanted_sides(l1)
+    return probable_sides(tx_days, wanted, columns).join(wanted, ["day", "near"], "left_semi").select(*columns, "dir", "near", "far")
 
 
 def l1_batch(col="neighbor_addr", n_shards: int = 64, per_batch: int = 4) -> Column:
@@ -183,7 +205,7 @@ def g_l2_topk(tx_days: DataFrame, l1: DataFrame, k: int = 5, scope: str = "batch
         keys = keys + ["l1_batch"]
     elif scope != "global":
         raise ValueError(f"unknown scope {scope!r}")
-    sides = near_sides(tx_days, l1) if sides is None else sides
+    sides = near_sides(tx_days, l1, RANK_COLS) if sides is None else sides
     pairs = sides.groupBy("day", "near", "far").agg(F.sum("value_wei_raw").alias("wei"), F.max("timestamp").alias("ts"), F.count(F.lit(1)).alias("n"))
     hits = pairs.join(l1k.withColumnRenamed("neighbor_addr", "near"), ["day", "near"])
     scored = hits.groupBy(*keys, F.col("far").alias("neighbor2_addr")).agg(
@@ -196,7 +218,8 @@ def g_l2_topk(tx_days: DataFrame, l1: DataFrame, k: int = 5, scope: str = "batch
 def g_two_hop_raw(tx_days: DataFrame, l1: DataFrame) -> DataFrame:
     """Older variant: every transfer touching a first-hop neighbour that day, tagged with the seed."""
     l1k = l1.where(F.col("neighbor_addr").isNotNull()).select("seed_addr", "neighbor_addr", "day")
-    ends = tx_days.select(*TX_COLS, F.explode(F.array("from_address", "to_address")).alias("ep"))
+    ends = tx_days.select(*TX_COLS, F.explode(F.array("from_address", "to_address")).alias("ep")).where(F.col("ep").isNotNull())
+    ends = probable_members(ends, l1k.select("day", F.col("neighbor_addr").alias("ep")).distinct(), ["day", "ep"])
     j = ends.join(l1k, (ends.day == l1k.day) & (ends.ep == l1k.neighbor_addr), "inner")
     return j.select(*[ends[c] for c in TX_COLS], "seed_addr")
 

@@ -80,8 +80,8 @@ def p_keep_weeks(base: DataFrame, keep_every: int = 4, mode: str = "reference")
     """Daily rows of the weeks kept: active ones, the first and last place of a run, and
     every ``keep_every``-th place of runs of three weeks or more."""
     placed = p_run_place(p_idle_runs(p_week_marks(base), mode), mode)
-    edge = F.col("place").isin(1) | (F.col("place") == F.col("run_weeks"))
-    sampled = (F.col("run_weeks") > 2) & (F.col("place") % keep_every == 1 % keep_every)
+    edge = (F.col("place") == 1) | (F.col("place") == F.col("run_weeks"))
+    sampled = (F.col("run_weeks") >= 3) & (F.col("place") % keep_every == 1 % keep_every)
     kept = placed.where(~F.col("is_idle") | edge | sampled).select("address", "week")
     return base.join(kept, ["address", "week"], "left_semi")
 

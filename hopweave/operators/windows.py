@@ -140,7 +140,7 @@ def s_daily_filtered(daily: DataFrame, address_map: DataFrame) -> DataFrame:
                     *measures)
 
 
-def _series_aggs(df: DataFrame, from_text: bool = False, as_text: bool = True) -> list:
+def series_aggs(df: DataFrame, from_text: bool = False, as_text: bool = True) -> list:
     cols = set(df.columns)
     out = []
     for c in sorted((set(INT_COUNTS) | set(ETH_NUMS)) & cols):
@@ -162,7 +162,7 @@ def s_week_parts(daily_filtered: DataFrame) -> DataFrame:
     week → month map are derived from this small table, so the daily table is
     read once.
     """
-    return daily_filtered.groupBy("node_id", "week", "month").agg(*_series_aggs(daily_filtered, as_text=False))
+    return daily_filtered.groupBy("node_id", "week", "month").agg(*series_aggs(daily_filtered, as_text=False))
 
 
 def s_weekly(daily_filtered: DataFrame, week_index: DataFrame, parts: DataFrame | None = None) -> DataFrame:
@@ -171,7 +171,7 @@ def s_weekly(daily_filtered: DataFrame, week_index: DataFrame, parts: DataFrame
     p = parts if parts is not None else s_week_parts(daily_filtered)
     # A week list is bounded by the calendar (about 53 rows per year): broadcast is safe.
     p = p.join(F.broadcast(week_index.select("week").distinct()), "week", "left_semi")
-    return p.groupBy("node_id", "week").agg(*_series_aggs(p))
+    return p.groupBy("node_id", "week").agg(*series_aggs(p))
 
 
 def s_week_month_map(daily_filtered: DataFrame, parts: DataFrame | None = None) -> DataFrame:
@@ -183,7 +183,7 @@ def s_monthly(weekly: DataFrame, week_month: DataFrame, month_index: DataFrame)
     """Per (node, month) built from weeks: every week touching the month counts in full."""
     m = week_month.join(F.broadcast(month_index.select("month").distinct()), "month", "left_semi")
     j = weekly.join(F.broadcast(m), "week", "inner")
-    return j.groupBy("node_id", "month").agg(*_series_aggs(j, from_text=True))
+    return j.groupBy("node_id", "month").agg(*series_aggs(j, from_text=True))
 
 
 def write_parts(df: DataFrame, path: str, window_col: str, rows_per_file: int | None = None) -> DataFrame:

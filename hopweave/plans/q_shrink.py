@@ -1,11 +1,12 @@
 """Registered shrink/profile queries and their SQL oracles.
 
-Week thinning runs on the dense per-customer order calendar (long idle
+Week thinning runs on the sparse order days and spans of customers (long idle
 stretches); the light projection and profiles run on the daily build.
 """
 
 from __future__ import annotations
 
+from hopweave.operators import series
 from hopweave.operators import shrink as p
 from hopweave.plans import q_daily
 from hopweave.plans.registry import register
@@ -20,26 +21,23 @@ def _base(spark, sf_dir):
     return p.p_day_activity(fx.order_calendar(spark, sf_dir))
 
 
+def _series(spark, sf_dir):
+    """Days with orders, and every account's first and last one."""
+    return fx.order_days(spark, sf_dir), fx.order_spans(spark, sf_dir)
+
+
 def _runs_sql(strict: bool) -> str:
-    """The rule stated by week numbers instead of running counts: a run begins at the last
-    change before a week, and its length is the distance to where it ends."""
-    first_week = "or w.n = 1" if strict else ""
-    # where a run ends: at its first active week (strict), else where the next run begins
-    ends = "select address, n from numbered where activity > 0" if strict else "select address, n from changes"
+    """The rule over the dense table: window functions over all weeks, one scan each."""
+    size = "sum(is_idle::int)" if strict else "count(*)"
     return f"""WITH base AS (select *, cast(date_trunc('week', day) as date) as week,
       normal_total_cnt + erc20_total_cnt + internal_in_cnt + internal_out_cnt as day_activity from fx_order_calendar),
     weekly AS (select address, week, sum(day_activity) as activity from base group by address, week),
-    numbered AS (select *, row_number() over (partition by address order by week) as n, count(*) over (partition by address) as total from weekly),
-    changes AS (select w.address, w.n from numbered w left join numbered p on p.address = w.address and p.n = w.n - 1
-      where not w.activity > 0 and (p.activity > 0 {first_week})),
-    ends AS ({ends}),
-    begun AS (select w.address, w.n, count(c.n) as run_no, coalesce(max(c.n), 1) as begin_n
-      from numbered w left join changes c on c.address = w.address and c.n <= w.n group by w.address, w.n),
-    ended AS (select w.address, w.n, min(e.n) as end_n from numbered w join ends e on e.address = w.address and e.n > w.n group by w.address, w.n),
-    placed AS (select w.address, w.week, w.activity as week_activity, not w.activity > 0 as is_idle, b.run_no,
-      case when not w.activity > 0 then w.n - b.begin_n + 1 end as place,
-      case when not w.activity > 0 then coalesce(e.end_n, w.total + 1) - b.begin_n end as run_weeks
-      from numbered w join begun b on b.address = w.address and b.n = w.n left join ended e on e.address = w.address and e.n = w.n),
+    marked AS (select *, not activity > 0 as is_idle, lag(activity > 0) over (partition by address order by week) as was_active from weekly),
+    numbered AS (select *, sum(case when is_idle and coalesce(was_active, {str(strict).lower()}) then 1 else 0 end)
+      over (partition by address order by week) as run_no from marked),
+    placed AS (select address, week, activity as week_activity, is_idle, run_no,
+      case when is_idle then sum(is_idle::int) over (partition by address, run_no order by week) end as place,
+      case when is_idle then {size} over (partition by address, run_no) end as run_weeks from numbered),
     kept AS (select address, week from placed
       where not is_idle or place = 1 or place = run_weeks or (run_weeks >= 3 and place % 4 = 1)) """
 
@@ -58,7 +56,15 @@ def q_day_activity(spark, sf_dir):
           "select address, cast(week as varchar) as week, cast(activity as bigint) as week_activity from weekly", fixtures=CAL)
 def q_week_marks(spark, sf_dir):
     """Activity per (account, week)."""
-    return p.p_week_marks(_base(spark, sf_dir))
+    return series.week_marks(*_series(spark, sf_dir))
+
+
+# The dense form of the same rule, over the expanded calendar.
+@register("p_keep_weeks_dense", sql=_runs_sql(False) + _BASE_OUT + " from base b where exists "
+          "(select 1 from kept k where k.address = b.address and k.week = b.week)", fixtures=CAL)
+def q_keep_weeks_dense(spark, sf_dir):
+    """Week thinning of a dense daily table."""
+    return p.p_keep_weeks(_base(spark, sf_dir)).select(*BASE_COLS)
 
 
 _RUNS_OUT = "select address, cast(week as varchar) as week, cast(week_activity as bigint) as week_activity, is_idle, cast(run_no as bigint) as run_no"
@@ -67,34 +73,34 @@ _RUNS_OUT = "select address, cast(week as varchar) as week, cast(week_activity a
 @register("p_zero_runs", sql=_runs_sql(False) + _RUNS_OUT + " from placed", fixtures=CAL)
 def q_idle_runs(spark, sf_dir):
     """Idle run numbers, source rule (an idle first week opens no run)."""
-    return p.p_idle_runs(p.p_week_marks(_base(spark, sf_dir)))
+    return series.idle_runs(*_series(spark, sf_dir)).drop("place", "run_weeks")
 
 
 @register("p_zero_runs_strict", sql=_runs_sql(True) + _RUNS_OUT + " from placed", fixtures=CAL)
 def q_idle_runs_strict(spark, sf_dir):
     """Idle run numbers, strict rule (every stretch of idle weeks is a run)."""
-    return p.p_idle_runs(p.p_week_marks(_base(spark, sf_dir)), "strict")
+    return series.idle_runs(*_series(spark, sf_dir), mode="strict").drop("place", "run_weeks")
 
 
 @register("p_run_rank", sql=_runs_sql(False) + _RUNS_OUT + ", cast(place as bigint) as place, cast(run_weeks as bigint) as run_weeks from placed",
           fixtures=CAL)
 def q_run_place(spark, sf_dir):
     """Place in the run and run length of each idle week."""
-    return p.p_run_place(p.p_idle_runs(p.p_week_marks(_base(spark, sf_dir))))
+    return series.idle_runs(*_series(spark, sf_dir))
 
 
 @register("p_keep_weeks", sql=_runs_sql(False) + _BASE_OUT + " from base b where exists "
           "(select 1 from kept k where k.address = b.address and k.week = b.week)", fixtures=CAL)
 def q_keep_weeks(spark, sf_dir):
     """Daily rows of kept weeks (active, run boundary, every 4th zero week)."""
-    return p.p_keep_weeks(_base(spark, sf_dir)).select(*BASE_COLS)
+    return series.keep_weeks(*_series(spark, sf_dir)).select(*BASE_COLS)
 
 
 @register("p_keep_weeks_strict", sql=_runs_sql(True) + _BASE_OUT + " from base b where exists "
           "(select 1 from kept k where k.address = b.address and k.week = b.week)", fixtures=CAL)
 def q_keep_weeks_strict(spark, sf_dir):
     """Week thinning with strict zero runs."""
-    return p.p_keep_weeks(_base(spark, sf_dir), mode="strict").select(*BASE_COLS)
+    return series.keep_weeks(*_series(spark, sf_dir), mode="strict").select(*BASE_COLS)
 
 
 @register("p_light", sql=q_daily.oracle("final", p.LIGHT_COLUMNS), fixtures=q_daily.FX)

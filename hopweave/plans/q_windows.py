@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hopweave.operators import series
 from hopweave.operators import windows as w
 from hopweave.plans.registry import register
 from hopweave.sources import fixtures as fx
@@ -119,8 +120,13 @@ def q_daily_filtered(spark, sf_dir):
     return daily_filtered(spark, sf_dir)
 
 
-def weekly(spark, sf_dir, parts=None):
-    return w.s_weekly(daily_filtered(spark, sf_dir), w.w_window_index(edges(spark, sf_dir), "week"), parts)
+def mapped_series(spark, sf_dir):
+    """Sparse days and spans of mapped accounts."""
+    return series.mapped(fx.order_days(spark, sf_dir), fx.order_spans(spark, sf_dir), w.w_address_map(labels(spark, sf_dir)))
+
+
+def weekly(spark, sf_dir):
+    return series.weekly(*mapped_series(spark, sf_dir), w.w_window_index(edges(spark, sf_dir), "week"))
 
 
 @register("s_weekly", sql=CTE + "select * from wk", fixtures=FX)
@@ -129,17 +135,22 @@ def q_weekly(spark, sf_dir):
     return weekly(spark, sf_dir)
 
 
+@register("s_weekly_dense", sql=CTE + "select * from wk", fixtures=FX)
+def q_weekly_dense(spark, sf_dir):
+    """Weekly rollup of a dense daily table."""
+    return w.s_weekly(daily_filtered(spark, sf_dir), w.w_window_index(edges(spark, sf_dir), "week"))
+
+
 @register("s_week_month_map", sql=CTE + "select * from wm", fixtures=FX)
 def q_week_month(spark, sf_dir):
-    """Distinct (ISO week, month) pairs of the daily rows."""
-    return w.s_week_month_map(daily_filtered(spark, sf_dir))
+    """Distinct (ISO week, month) pairs of the days of all spans."""
+    return series.week_month_map(mapped_series(spark, sf_dir)[1])
 
 
 @register("s_monthly", sql=CTE + "select * from mo", fixtures=FX)
 def q_monthly(spark, sf_dir):
     """Monthly rollup built from whole weeks (a straddling week counts in both months)."""
-    parts = w.s_week_parts(daily_filtered(spark, sf_dir))
-    return w.s_monthly(weekly(spark, sf_dir, parts), w.s_week_month_map(None, parts),
+    return w.s_monthly(weekly(spark, sf_dir), series.week_month_map(mapped_series(spark, sf_dir)[1]),
                        w.w_window_index(edges(spark, sf_dir), "month"))
 
 

@@ -160,34 +160,42 @@ def label_src_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense per-customer day series from first to last order date.
-
-    ``normal_total_cnt`` = orders that day, ``erc20_total_cnt`` = open orders that
-    day, internal counts 0, ``eth_recv_sum`` = order value / 1000.  Long idle stretches make it the input for the
-    week-thinning operators.
-    """
-    o = table(spark, sf_dir, "orders").select(
+def _orders_by_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         F.lower(synth_address("o_custkey")).alias("address"),
         F.col("o_orderdate").cast("date").alias("day"),
         (F.col("o_orderstatus") == "O").cast("int").alias("is_open"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
-    per_day = o.groupBy("address", "day").agg(
+
+
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse per-customer days: only those with orders.
+
+    ``normal_total_cnt`` = orders that day, ``erc20_total_cnt`` = open orders that
+    day, internal counts 0, ``eth_recv_sum`` = order value / 1000.
+    """
+    per_day = _orders_by_account(spark, sf_dir).groupBy("address", "day").agg(
         F.count(F.lit(1)).alias("normal_total_cnt"),
         F.sum("is_open").cast("bigint").alias("erc20_total_cnt"),
         F.sum("cents").alias("cents"))
-    span = o.groupBy("address").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
+    zero = F.lit(0).cast("bigint")
+    return per_day.select("address", "day", "normal_total_cnt", "erc20_total_cnt", zero.alias("internal_in_cnt"), zero.alias("internal_out_cnt"),
+                          (F.col("cents").cast("double") / 1e5).alias("eth_recv_sum"))
+
+
+def order_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last order day of every customer with orders."""
+    return _orders_by_account(spark, sf_dir).groupBy("address").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
+def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense form of ``order_days``: every day of every span, for operators that take dense tables."""
     # Expand days inside address partitions: the dense table comes out hash-partitioned
-    # by address, which the week thinning and rollups reuse without a shuffle.
+    # by address, which later steps reuse without a shuffle.
     from hopweave.operators.daily import by_address
-    cal = by_address(span).select("address", F.explode(F.sequence("d0", "d1")).alias("day"))
-    return (cal.join(per_day, ["address", "day"], "left")
-            .select("address", "day",
-                    F.coalesce("normal_total_cnt", F.lit(0)).cast("bigint").alias("normal_total_cnt"),
-                    F.coalesce("erc20_total_cnt", F.lit(0)).cast("bigint").alias("erc20_total_cnt"),
-                    F.lit(0).cast("bigint").alias("internal_in_cnt"),
-                    F.lit(0).cast("bigint").alias("internal_out_cnt"),
-                    (F.coalesce("cents", F.lit(0)).cast("double") / 1e5).alias("eth_recv_sum")))
+    cal = by_address(order_spans(spark, sf_dir)).select("address", F.explode(F.sequence("first_day", "last_day")).alias("day"))
+    days = order_days(spark, sf_dir)
+    return cal.join(days, ["address", "day"], "left").fillna(0, [c for c in days.columns if c not in ("address", "day")]).select(*days.columns)
 
 
 def label_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
