@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from hopweave.functions.common import (WEI_PER_ETH, WEI_PER_GWEI, as_of_ts, end_of_day, hash_shard, sized_broadcast,
                                        utc_ts, whole_hours, whole_minutes)
+from hopweave.operators import ledger_pass
 from hopweave.session import delete_path, hadoop_fs, hadoop_path, path_exists, rename_path
 
 LN24 = math.log(24.0)
@@ -52,18 +53,23 @@ def d_bounds(base: DataFrame, as_of_day) -> DataFrame:
                     end.alias("activity_end_ts")))
 
 
-def by_address(df: DataFrame) -> DataFrame:
+#: Days of a partition of the calendar (an account's days stay together).
+DAYS_A_PARTITION = 500_000
+
+
+def by_address(df: DataFrame, days: int | None = None) -> DataFrame:
     """Hash-partition one-row-per-account input by address before it is expanded to days.
 
     Every later (address, day) table is then joined to the calendar, and the
     day-over-day window runs, on this one partitioning; a partition holds whole
     accounts, and an account has at most one row per day, so no key is skewed.
-    (When the input already comes out of a shuffle on address, Spark reuses that
-    shuffle; the session keeps adaptive coalescing from shrinking such a small
-    shuffle below one partition per core — see ``session.BASE_CONF``.)
+    The number of partitions follows the summed window lengths, ``days`` (counted by the
+    caller), since adaptive execution may not change it afterwards; it is at least the
+    session's shuffle setting (with fewer, Spark would shuffle the days to match the tables
+    they are joined with).
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "address")
+    return df.repartition(max(n, -(-(days or 0) // DAYS_A_PARTITION)), "address")
 
 
 def d_calendar(bounds: DataFrame) -> DataFrame:
@@ -84,13 +90,13 @@ def calendar_labels(day: Column, first_seen: Column) -> list:
     ]
 
 
-def d_calendar_labels(bounds: DataFrame) -> DataFrame:
+def d_calendar_labels(bounds: DataFrame, days: int | None = None) -> DataFrame:
     """Calendar plus first day, age, weekday (0 = Monday), weekend and month-edge flags.
 
     The first calendar day of an account is the day of its window start, so
     no aggregation over the calendar is needed.
     """
-    cal = by_address(bounds).select("address", "is_scam", "description", "is_contract",
+    cal = by_address(bounds, days).select("address", "is_scam", "description", "is_contract",
                         F.to_date("activity_start_ts").alias("_first"),
                         F.explode(F.sequence(F.to_date("activity_start_ts"), F.to_date("activity_end_ts"))).alias("day"))
     return cal.select("address", "is_scam", "description", "is_contract", "day",
@@ -324,47 +330,54 @@ def day_stats(calendar: DataFrame, events: DataFrame, burst_minutes: int = 5,
     return _day_stats(minute_bins(events, calendar), burst_minutes, session_gap_min)
 
 
-def d_activity_stats(calendar: DataFrame, events: DataFrame, burst_minutes: int = 5,
-                     session_gap_min: int = 30, stats: DataFrame | None = None) -> DataFrame:
-    """Interarrival mean/sample-std (whole minutes), active span, max events in any
-    ``burst_minutes`` window, sessions (1 + gaps > ``session_gap_min``); every calendar day."""
-    s = stats if stats is not None else day_stats(calendar, events, burst_minutes, session_gap_min)
+def _activity_columns() -> list:
+    """Interarrival, span, burst and session columns of a day's bin statistics."""
     n, g1, g2 = F.col("n"), F.coalesce(F.col("g1"), F.lit(0)).cast("double"), F.coalesce(F.col("g2"), F.lit(0.0))
     gaps = (n - 1).cast("double")
     var = (g2 - g1 * g1 / gaps) / (gaps - 1)
-    stats = s.select(
-        *KEYS,
-        F.when(n >= 2, g1 / gaps).alias("tx_interarrival_mean_min"),
-        F.when(n >= 3, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("tx_interarrival_std_min"),
-        F.when(n >= 2, whole_minutes("first_ts", "last_ts")).otherwise(0).cast("bigint").alias("active_span_min"),
-        F.col("burst").cast("bigint").alias("burst_max_tx_5m"),
-        (F.lit(1) + F.col("long_gaps")).cast("bigint").alias("sessions_cnt"))
-    return (calendar.select(*KEYS).join(stats, KEYS, "left").select(
-        *KEYS, "tx_interarrival_mean_min", "tx_interarrival_std_min",
-        F.coalesce("active_span_min", F.lit(0)).cast("bigint").alias("active_span_min"),
-        F.coalesce("burst_max_tx_5m", F.lit(0)).cast("bigint").alias("burst_max_tx_5m"),
-        F.coalesce("sessions_cnt", F.lit(0)).cast("bigint").alias("sessions_cnt")))
+    return [F.when(n >= 2, g1 / gaps).alias("tx_interarrival_mean_min"),
+            F.when(n >= 3, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("tx_interarrival_std_min"),
+            F.when(n >= 2, whole_minutes("first_ts", "last_ts")).otherwise(0).cast("bigint").alias("active_span_min"),
+            F.col("burst").cast("bigint").alias("burst_max_tx_5m"),
+            (F.lit(1) + F.col("long_gaps")).cast("bigint").alias("sessions_cnt")]
 
 
-def d_hour_profile(calendar: DataFrame, events: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """Only days with events: six-hour buckets, night share, peak hour and its share,
-    normalised hour entropy (NULL for ≤ 1 event), whole hours first → last."""
-    s = stats if stats is not None else day_stats(calendar, events)
+def _hour_columns() -> list:
+    """Hour-of-day columns of a day's bin statistics."""
     hs = [F.col(f"_h{h}") for h in range(24)]
     total = F.col("n")
     b = [sum(hs[i] for i in range(lo, lo + 6)) for lo in (0, 6, 12, 18)]
     peak_cnt = F.greatest(*hs)
-    peak_hour = F.array_position(F.array(*hs), peak_cnt) - 1
     ent = sum(F.when(h > 0, -(h / total) * F.log(h / total)).otherwise(F.lit(0.0)) for h in hs)
-    return s.select(
-        *KEYS,
-        b[0].cast("bigint").alias("tx_cnt_00_06"), b[1].cast("bigint").alias("tx_cnt_06_12"),
-        b[2].cast("bigint").alias("tx_cnt_12_18"), b[3].cast("bigint").alias("tx_cnt_18_24"),
-        F.try_divide(b[0], total).alias("night_share"),
-        peak_hour.cast("bigint").alias("peak_hour"),
-        F.try_divide(peak_cnt, total).alias("peak_hour_share"),
-        F.when(total > 1, ent / F.lit(LN24) + F.lit(0.0)).alias("activity_entropy_hours"),
-        whole_hours("first_ts", "last_ts").cast("bigint").alias("active_hour_span"))
+    return [b[0].cast("bigint").alias("tx_cnt_00_06"), b[1].cast("bigint").alias("tx_cnt_06_12"),
+            b[2].cast("bigint").alias("tx_cnt_12_18"), b[3].cast("bigint").alias("tx_cnt_18_24"),
+            F.try_divide(b[0], total).alias("night_share"),
+            (F.array_position(F.array(*hs), peak_cnt) - 1).cast("bigint").alias("peak_hour"),
+            F.try_divide(peak_cnt, total).alias("peak_hour_share"),
+            F.when(total > 1, ent / F.lit(LN24) + F.lit(0.0)).alias("activity_entropy_hours"),
+            whole_hours("first_ts", "last_ts").cast("bigint").alias("active_hour_span")]
+
+
+def activity_of_days(stats: DataFrame) -> DataFrame:
+    """All activity columns of the days with events."""
+    return stats.select(*KEYS, *_activity_columns(), *_hour_columns())
+
+
+def d_activity_stats(calendar: DataFrame, events: DataFrame | None, burst_minutes: int = 5,
+                     session_gap_min: int = 30, stats: DataFrame | None = None) -> DataFrame:
+    """Interarrival mean/sample-std (whole minutes), active span, max events in any
+    ``burst_minutes`` window, sessions (1 + gaps > ``session_gap_min``); every calendar day."""
+    s = stats if stats is not None else day_stats(calendar, events, burst_minutes, session_gap_min)
+    return (calendar.select(*KEYS).join(s.select(*KEYS, *_activity_columns()), KEYS, "left").select(
+        *KEYS, "tx_interarrival_mean_min", "tx_interarrival_std_min",
+        *[_z(c).cast("bigint").alias(c) for c in ("active_span_min", "burst_max_tx_5m", "sessions_cnt")]))
+
+
+def d_hour_profile(calendar: DataFrame, events: DataFrame | None, stats: DataFrame | None = None) -> DataFrame:
+    """Only days with events: six-hour buckets, night share, peak hour and its share,
+    normalised hour entropy (NULL for ≤ 1 event), whole hours first → last."""
+    s = stats if stats is not None else day_stats(calendar, events)
+    return s.select(*KEYS, *_hour_columns())
 
 
 def d_peers(txn: DataFrame, contracts_lu: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
@@ -384,22 +397,23 @@ def d_peers(txn: DataFrame, contracts_lu: DataFrame, accounts: DataFrame | None
         F.count_if(F.col("_c").isNull()).alias("uniq_eoa_peers_cnt"))
 
 
-ZERO_FILLED = {
-    "s": ["normal_sent_cnt", "normal_failed_cnt", "normal_to_contract_cnt", "normal_to_eoa_cnt",
-          "eth_sent_sum", "tx_fee_eth_sum", "gas_used_sum"],
-    "r": ["normal_recv_cnt", "eth_recv_sum"],
-}
+# Columns of the transfer stages.
+RECV_COLS = ["normal_recv_cnt", "eth_recv_sum", "eth_recv_max", "eth_recv_avg"]
+PEER_COLS = ["uniq_peers_cnt", "uniq_contract_peers_cnt", "uniq_eoa_peers_cnt"]
+DAY_COLS = ["normal_sent_cnt", "normal_failed_cnt", "eth_sent_sum", "eth_sent_max", "eth_sent_avg", "tx_fee_eth_sum", "gas_used_sum",
+            "gas_price_avg_gwei", "max_fee_per_gas_avg_gwei", "priority_fee_avg_gwei", "normal_to_contract_cnt", "normal_to_eoa_cnt",
+            *RECV_COLS, *PEER_COLS]
 
 
 def _z(c: str, zero=0) -> Column:
     return F.coalesce(F.col(c), F.lit(zero))
 
 
-def d_core(cal_labeled, sent, recv, tok_sent, tok_recv, internal, peers, stats, hourly) -> DataFrame:
+def d_core(cal_labeled: DataFrame, *tables: DataFrame) -> DataFrame:
     """Calendar left-joined with every day table on (address, day): counts and sums
     default to 0, averages and maxima stay NULL; totals and net flow."""
     j = cal_labeled
-    for t in (sent, recv, tok_sent, tok_recv, internal, peers, stats, hourly):
+    for t in tables:
         j = j.join(t, KEYS, "left")
     return j.select(
         "address", "day", "is_contract", "first_seen_day", "age_days", "dow", "is_weekend", "is_month_start",
@@ -424,7 +438,8 @@ def d_core(cal_labeled, sent, recv, tok_sent, tok_recv, internal, peers, stats,
         _z("uniq_peers_cnt").alias("uniq_peers_cnt"),
         _z("uniq_contract_peers_cnt").alias("uniq_contract_peers_cnt"),
         _z("uniq_eoa_peers_cnt").alias("uniq_eoa_peers_cnt"),
-        "tx_interarrival_mean_min", "tx_interarrival_std_min", "active_span_min", "burst_max_tx_5m", "sessions_cnt",
+        "tx_interarrival_mean_min", "tx_interarrival_std_min", _z("active_span_min").alias("active_span_min"),
+        _z("burst_max_tx_5m").alias("burst_max_tx_5m"), _z("sessions_cnt").alias("sessions_cnt"),
         "tx_cnt_00_06", "tx_cnt_06_12", "tx_cnt_12_18", "tx_cnt_18_24", "night_share", "peak_hour",
         "peak_hour_share", "activity_entropy_hours", "active_hour_span")
 
@@ -439,32 +454,53 @@ def d_final(core: DataFrame) -> DataFrame:
         (F.col("activity_entropy_hours") - F.lag("activity_entropy_hours").over(w)).alias("shift_activity_entropy"))
 
 
+class Stages(dict):
+    """Stages by name; those of the ledger pass are made when one is first asked for."""
+
+    def __init__(self, ready: dict, later: dict):
+        super().__init__(ready)
+        self._later = later
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = made = self._later[name](self)
+        return made
+
+
 def build_daily(accounts: DataFrame, tx: DataFrame, token_transfers: DataFrame, traces: DataFrame,
-                contracts: DataFrame, as_of_day) -> dict:
-    """The whole daily build; returns every stage by name (lazy DataFrames)."""
+                contracts: DataFrame, as_of_day, materialize: bool = True) -> dict:
+    """The whole daily build; returns every stage by name.
+
+    Each ledger is read once, by the pass behind ``days`` (see ``ledger_pass``); with
+    ``materialize`` its result is kept in a table, which all per-day stages read.
+    """
     base = d_base(accounts)
     bounds = d_bounds(base, as_of_day)
-    cal = d_calendar_labels(bounds)
-    # Two scalars bound every ledger scan (pushed down as day range filters).
-    r = bounds.agg(F.min(F.to_date("activity_start_ts")).alias("lo"),
-                   F.max(F.to_date("activity_end_ts")).alias("hi")).first()
+    first, last = F.to_date("activity_start_ts"), F.to_date("activity_end_ts")
+    # Two scalars bound every ledger scan (pushed down as day range filters), one sizes the calendar.
+    r = bounds.agg(F.min(first).alias("lo"), F.max(last).alias("hi"), F.sum(F.datediff(last, first) + 1).alias("days")).first()
     lo, hi = r["lo"], r["hi"]
-    txn = d_tx_norm(tx, lo, hi)
+    txn, tk, tr = d_tx_norm(tx, lo, hi), d_token_norm(token_transfers, lo, hi), d_trace_norm(traces, lo, hi)
     lu = d_contract_lookup(contracts)
-    tk = d_token_norm(token_transfers, lo, hi)
-    tr = d_trace_norm(traces, lo, hi)
-    mine = sized_broadcast(bounds.select("address").distinct(), ACCOUNT_BROADCAST_ROWS)
-    ev = activity_events(txn, tr, mine)
-    ds = day_stats(cal, ev)
-    out = dict(base=base, bounds=bounds, calendar=cal, txn=txn, contracts_lu=lu, tokens=tk, traces=tr, events=ev,
-               sent=d_sent(of_accounts(txn, mine, "from_addr"), lu), recv=d_recv(of_accounts(txn, mine, "to_addr")),
-               tok_sent=d_token_sent(of_accounts(tk, mine, "from_addr")), tok_recv=d_token_recv(of_accounts(tk, mine, "to_addr")),
-               internal=d_internal(tr, mine), peers=d_peers(txn, lu, mine),
-               stats=d_activity_stats(cal, ev, stats=ds), hourly=d_hour_profile(cal, ev, stats=ds))
-    out["core"] = d_core(cal, out["sent"], out["recv"], out["tok_sent"], out["tok_recv"], out["internal"],
-                         out["peers"], out["stats"], out["hourly"])
-    out["final"] = d_final(out["core"])
-    return out
+    ready = dict(base=base, bounds=bounds, calendar=d_calendar_labels(bounds, r["days"] or 0), txn=txn, contracts_lu=lu, tokens=tk, traces=tr)
+    sent = [c for c in DAY_COLS if c not in RECV_COLS + PEER_COLS]
+    some = lambda df, n, cols: df.where(F.col(n) > 0).select(*KEYS, *cols)
+    later = dict(
+        events=lambda s: activity_events(txn, tr, sized_broadcast(bounds.select("address").distinct(), ACCOUNT_BROADCAST_ROWS)),
+        days=lambda s: ledger_pass.ledger_days(txn, tk, tr, bounds, keep=materialize),
+        transfers=lambda s: ledger_pass.transfer_days(s["days"], lu),
+        held=lambda s: ledger_pass.token_days(s["days"]),
+        internal=lambda s: ledger_pass.internal_days(s["days"]),
+        bins=lambda s: _day_stats(ledger_pass.window_minutes(s["days"], bounds)),
+        sent=lambda s: some(s["transfers"], "normal_sent_cnt", sent),
+        recv=lambda s: some(s["transfers"], "normal_recv_cnt", RECV_COLS),
+        peers=lambda s: some(s["transfers"], "uniq_peers_cnt", PEER_COLS),
+        tok_sent=lambda s: some(s["held"], "erc20_sent_cnt", ["erc20_sent_cnt", "erc20_unique_tokens_sent"]),
+        tok_recv=lambda s: some(s["held"], "erc20_recv_cnt", ["erc20_recv_cnt", "erc20_unique_tokens_recv"]),
+        stats=lambda s: d_activity_stats(s["calendar"], None, stats=s["bins"]),
+        hourly=lambda s: d_hour_profile(s["calendar"], None, stats=s["bins"]),
+        core=lambda s: d_core(s["calendar"], s["transfers"], s["held"], s["internal"], activity_of_days(s["bins"])),
+        final=lambda s: d_final(s["core"]))
+    return Stages(ready, later)
 
 
 def reload_shards(df: DataFrame, path: str, n: int, lo: int, hi: int, group: DataFrame | None = None, key: str = "address") -> None:

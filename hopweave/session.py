@@ -107,3 +107,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def rename_path(spark: SparkSession, src: str, dst: str) -> None:
     if not hadoop_fs(spark, src).rename(hadoop_path(spark, src), hadoop_path(spark, dst)):
         raise OSError(f"cannot rename {src} to {dst}")
+
+
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` as a written table beside the shared checkpoint folder, partitioned by columns:
+    its lineage is cut, and reads keep column and partition pruning."""
+    path = stage_path(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
