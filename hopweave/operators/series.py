@@ -134,9 +134,24 @@ def mapped(days: DataFrame, spans: DataFrame, address_map: DataFrame) -> tuple[D
     return of(inside).select("node_id", "day", *measures), of(spans).select("node_id", "first_day", "last_day")
 
 
+def label_week_no(label: Column) -> Column:
+    """``week_no`` of an ISO week label: the week of January 4 is the year's first."""
+    first = F.make_date(F.substring(label, 1, 4).cast("int"), F.lit(1), F.lit(4))
+    return week_no(first) + F.substring(label, 7, 2).cast("int") - 1
+
+
+def _wanted(week_index: DataFrame) -> DataFrame:
+    """(week_no, week) of the index, to broadcast: about 53 rows a year."""
+    return F.broadcast(week_index.select("week").distinct().select(label_week_no(F.col("week")).alias("week_no"), "week"))
+
+
 def _span_weeks(spans: DataFrame) -> DataFrame:
-    weeks = F.sequence(week_no(F.col("first_day")), week_no(F.col("last_day")))
-    return spans.select("*", F.explode(weeks).alias("week_no")).withColumn("_monday", monday(F.col("week_no")))
+    return spans.select("*", F.explode(F.sequence(week_no(F.col("first_day")), week_no(F.col("last_day")))).alias("week_no"))
+
+
+def _zeros(rows: DataFrame, days: DataFrame, *keys: str) -> DataFrame:
+    types = dict(days.dtypes)
+    return rows.select(*keys, *[F.lit(0).cast(types[c]).alias(c) for c in days.columns if c not in ("node_id", "day")])
 
 
 def weekly(days: DataFrame, spans: DataFrame, week_index: DataFrame) -> DataFrame:
@@ -144,17 +159,33 @@ def weekly(days: DataFrame, spans: DataFrame, week_index: DataFrame) -> DataFram
 
     ``days`` and ``spans`` as ``mapped`` returns them; an idle week is one row of zeros.
     """
-    wanted = F.broadcast(week_index.select("week").distinct())            # about 53 rows a year
-    measures = [c for c in days.columns if c not in ("node_id", "day")]
-    types = dict(days.dtypes)
-    zeros = _span_weeks(spans).select("node_id", iso_week("_monday").alias("week"), *[F.lit(0).cast(types[c]).alias(c) for c in measures])
-    rows = days.select("node_id", iso_week("day").alias("week"), *measures).unionByName(zeros)
-    return rows.join(wanted, "week", "left_semi").groupBy("node_id", "week").agg(*series_aggs(rows))
+    rows = days.withColumn("week_no", week_no(F.col("day"))).drop("day").unionByName(_zeros(_span_weeks(spans), days, "node_id", "week_no"))
+    rows = rows.join(_wanted(week_index), "week_no")
+    return rows.groupBy("node_id", "week").agg(*series_aggs(rows.drop("week_no")))
 
 
-def week_month_map(spans: DataFrame) -> DataFrame:
-    """(week, month) pairs of all days of all spans: a week has the month of its first and of
-    its last day in the span."""
+def _week_months(spans: DataFrame) -> DataFrame:
+    """(week_no, first of month) pairs of all days of all spans: a week has the month of its
+    first and of its last day in the span."""
+    weeks = _span_weeks(spans.select("first_day", "last_day").distinct()).withColumn("_monday", monday(F.col("week_no")))
     first, last = F.greatest("_monday", "first_day"), F.least(F.date_add("_monday", DAYS_A_WEEK - 1), "last_day")
-    weeks = _span_weeks(spans.select("first_day", "last_day").distinct())
-    return weeks.select(iso_week("_monday").alias("week"), F.explode(F.array(month_label(first), month_label(last))).alias("month")).distinct()
+    return weeks.select("week_no", F.explode(F.array(F.trunc(first, "month"), F.trunc(last, "month"))).alias("month")).distinct()
+
+
+def week_month_map(spans: DataFrame) -> DataFrame:
+    """(week, month) labels of all days of all spans."""
+    return _week_months(spans).select(iso_week(monday(F.col("week_no"))).alias("week"), month_label("month").alias("month"))
+
+
+def monthly(days: DataFrame, spans: DataFrame, week_index: DataFrame, month_index: DataFrame) -> DataFrame:
+    """Per (node, month): weeks of the index count in full in every month they touch.
+
+    Equals ``windows.s_monthly`` over ``weekly`` and ``week_month_map``.  The active days go
+    straight to their months; idle weeks only say which months a node has.
+    """
+    pairs = _week_months(spans).join(_wanted(week_index), "week_no").select("week_no", month_label("month").alias("month"))
+    pairs = F.broadcast(pairs.join(F.broadcast(month_index.select("month").distinct()), "month", "left_semi"))   # two rows a week at most
+    present = _span_weeks(spans).join(pairs, "week_no").select("node_id", "month").distinct()
+    active = days.withColumn("week_no", week_no(F.col("day"))).join(pairs, "week_no").drop("week_no", "day")
+    rows = active.unionByName(_zeros(present, days, "node_id", "month"))
+    return rows.groupBy("node_id", "month").agg(*series_aggs(rows))

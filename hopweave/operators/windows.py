@@ -115,6 +115,12 @@ def w_meta_join(index: DataFrame, nodes: DataFrame, freq: str) -> DataFrame:
                                                   "nodes_cnt").orderBy(freq)
 
 
+def w_window_labels(edges: DataFrame) -> DataFrame:
+    """(week, month) of every day with edges: both window lists from one pass."""
+    days = edges.select(F.to_date(F.timestamp_seconds("ts")).alias("day")).where(F.col("day").isNotNull()).distinct()
+    return days.select(iso_week("day").alias("week"), month_label("day").alias("month")).distinct()
+
+
 def w_slices(edges: DataFrame, freq: str) -> DataFrame:
     """Edges tagged with their window: the rows of each slice file."""
     return with_window(edges, freq).select(freq, *EDGE_COLS)

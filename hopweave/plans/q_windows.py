@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hopweave.operators import series
 from hopweave.operators import windows as w
 from hopweave.plans.registry import register
+from hopweave.session import cut_lineage
 from hopweave.sources import fixtures as fx
 
 FX = ["fx_accounts", "fx_window_edges", "fx_order_calendar"]
@@ -126,7 +127,7 @@ def mapped_series(spark, sf_dir):
 
 
 def weekly(spark, sf_dir):
-    return series.weekly(*mapped_series(spark, sf_dir), w.w_window_index(edges(spark, sf_dir), "week"))
+    return series.weekly(*mapped_series(spark, sf_dir), w.w_window_labels(edges(spark, sf_dir)))
 
 
 @register("s_weekly", sql=CTE + "select * from wk", fixtures=FX)
@@ -150,8 +151,8 @@ def q_week_month(spark, sf_dir):
 @register("s_monthly", sql=CTE + "select * from mo", fixtures=FX)
 def q_monthly(spark, sf_dir):
     """Monthly rollup built from whole weeks (a straddling week counts in both months)."""
-    return w.s_monthly(weekly(spark, sf_dir), series.week_month_map(mapped_series(spark, sf_dir)[1]),
-                       w.w_window_index(edges(spark, sf_dir), "month"))
+    labels_of = cut_lineage(w.w_window_labels(edges(spark, sf_dir)))
+    return series.monthly(*mapped_series(spark, sf_dir), labels_of, labels_of)
 
 
 @register("s_resume_parts", sql=CTE + "select * from wk", fixtures=FX)

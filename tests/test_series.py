@@ -63,8 +63,9 @@ def test_rollups_equal_the_dense_form(spark):
     months = series.week_month_map(node_spans)
     assert rows(months, "week", "month") == rows(windows.s_week_month_map(daily), "week", "month")
     m = daily.select("month").distinct()
-    assert rows(windows.s_monthly(got, months, m), "node_id", "month", "erc20_total_cnt", "eth_recv_sum") == \
-        rows(windows.s_monthly(want, months, m), "node_id", "month", "erc20_total_cnt", "eth_recv_sum")
+    by_month = windows.s_monthly(want, windows.s_week_month_map(daily), m)
+    assert rows(series.monthly(sparse_days, node_spans, index, m), *by_month.columns) == rows(by_month, *by_month.columns)
+    assert rows(windows.s_monthly(got, months, m), *by_month.columns) == rows(by_month, *by_month.columns)
 
 
 def test_empty_series(spark):
@@ -81,10 +82,18 @@ def test_rollups_generate_no_days_and_runs_shuffle_by_address_only(spark):
     d, s = series.mapped(days, spans, amap)
     index = spark.createDataFrame([("2023-W02",)], "week string")
     month = spark.createDataFrame([("2023-01",)], "month string")
-    for df in (series.weekly(d, s, index), windows.s_monthly(series.weekly(d, s, index), series.week_month_map(s), month)):
+    for df in (series.weekly(d, s, index), series.monthly(d, s, index, month)):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "sequence(first_day" not in plan and "Generate" in plan
         assert "sequence(cast(first_day" not in plan
     plan = series.idle_runs(days, spans)._jdf.queryExecution().executedPlan().toString()
     shuffles = [line for line in plan.splitlines() if "hashpartitioning" in line]
     assert shuffles and all("hashpartitioning(address" in line for line in shuffles)
+
+
+def test_week_labels_and_numbers_agree(spark):
+    days = spark.range(0, 366 * 12).select(F.date_add(F.lit("2014-12-25"), F.col("id").cast("int")).alias("day"))
+    from hopweave.functions.common import iso_week
+    bad = days.where((series.label_week_no(iso_week("day")) != series.week_no(F.col("day"))) | (F.weekday(series.monday(series.week_no(F.col("day")))) != 0)
+                     | ~F.datediff("day", series.monday(series.week_no(F.col("day")))).between(0, 6))
+    assert bad.count() == 0
