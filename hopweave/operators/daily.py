@@ -21,15 +21,14 @@ Scale notes
 from __future__ import annotations
 
 import math
-import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hopweave.functions.common import (WEI_PER_ETH, WEI_PER_GWEI, as_of_ts, end_of_day, hash_shard, sized_broadcast,
                                        utc_ts, whole_hours, whole_minutes)
-from hopweave.operators import ledger_pass
-from hopweave.session import delete_path, hadoop_fs, hadoop_path, path_exists, rename_path
+from hopweave.operators import ledger_pass, parts
 
 LN24 = math.log(24.0)
 KEYS = ["address", "day"]
@@ -508,7 +507,8 @@ def reload_shards(df: DataFrame, path: str, n: int, lo: int, hi: int, group: Dat
 
     Stored days that the reload no longer has are gone afterwards; other shards are not
     touched.  With ``group`` (a table of addresses) only the group's rows are deleted and
-    inserted, the shards' other rows stay.  Each shard folder is replaced as a whole.
+    inserted, the shards' other rows stay.  Each shard folder is replaced as a whole, the old
+    one is kept until its successor is committed; a stop loses nothing (see ``parts``).
     """
     spark = df.sparkSession
     shard = hash_shard(key, n)
@@ -517,17 +517,12 @@ def reload_shards(df: DataFrame, path: str, n: int, lo: int, hi: int, group: Dat
     if group is not None:
         members = group.select(F.lower("address").alias("_member")).distinct()
         rows = rows.join(members, F.lower(F.col(key)) == F.col("_member"), "left_semi")
-        if path_exists(spark, path):
-            stored = spark.read.schema(df.schema).parquet(path).select(*df.columns).where(mine)
-            rows = rows.unionByName(stored.join(members, F.lower(F.col(key)) == F.col("_member"), "left_anti"))
-    staged = f"{path.rstrip('/')}__{uuid.uuid4().hex}"
-    # rebalance splits a large shard over several tasks and files
-    rows.withColumn("shard", shard).hint("rebalance", "shard").write.partitionBy("shard").parquet(staged)
-    for k in range(lo, hi + 1):  # a folder per shard, so the table stays at n folders
-        old, new = f"{path.rstrip('/')}/shard={k}", f"{staged}/shard={k}"
-        if path_exists(spark, old):
-            delete_path(spark, old)
-        if path_exists(spark, new):
-            hadoop_fs(spark, path).mkdirs(hadoop_path(spark, path))
-            rename_path(spark, new, old)
-    delete_path(spark, staged)
+        parts.recover(spark, path, "shard")
+        stored = stored_shards(spark, path, df.schema).drop("shard").where(mine)
+        rows = rows.unionByName(stored.join(members, F.lower(F.col(key)) == F.col("_member"), "left_anti"))
+    parts.replace_parts(rows.withColumn("shard", shard), path, "shard", [f"shard={k}" for k in range(lo, hi + 1)])
+
+
+def stored_shards(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All committed rows of a table that ``reload_shards`` writes, with their shard."""
+    return parts.read_parts(spark, path, "shard", T.StructType([*schema.fields, T.StructField("shard", T.LongType())]))

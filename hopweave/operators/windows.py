@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hopweave.functions.common import existing, iso_week, month_label, stable_hash, utc_ts
-from hopweave.session import hadoop_fs, hadoop_path, path_exists
+from hopweave.operators.parts import add_missing_parts
 
 # ---- fixed values: measure columns of the series dataset ----------------------
 ETH_NUMS = ["eth_sent_sum", "eth_recv_sum", "eth_net_flow", "tx_fee_eth_sum",
@@ -126,12 +126,13 @@ def w_slices(edges: DataFrame, freq: str) -> DataFrame:
     return with_window(edges, freq).select(freq, *EDGE_COLS)
 
 
-def write_slices(edges: DataFrame, path: str, freq: str, rows_per_file: int | None = None) -> DataFrame:
+def write_slices(edges: DataFrame, path: str, freq: str, rows_per_file: int | None = None,
+                 row_group_bytes: int | None = None) -> DataFrame:
     """One directory per window (``month=…`` / ``week=…``); windows already there are skipped.
 
     A large window is split over several tasks and files.
     """
-    return write_parts(w_slices(edges, freq), path, freq, rows_per_file)
+    return write_parts(w_slices(edges, freq), path, freq, rows_per_file, row_group_bytes)
 
 
 # ---- series dataset ------------------------------------------------------------------
@@ -192,22 +193,12 @@ def s_monthly(weekly: DataFrame, week_month: DataFrame, month_index: DataFrame)
     return j.groupBy("node_id", "month").agg(*series_aggs(j, from_text=True))
 
 
-def write_parts(df: DataFrame, path: str, window_col: str, rows_per_file: int | None = None) -> DataFrame:
-    """Resumable part files: windows that have a directory are kept as they are, the others
+def write_parts(df: DataFrame, path: str, window_col: str, rows_per_file: int | None = None,
+                row_group_bytes: int | None = None) -> DataFrame:
+    """Resumable part files: windows that were committed are kept as they are, the others
     are added (filtered before ``df`` is computed); returns the whole table.
 
-    A window's directory appears when the job that writes it commits, so one that exists is
-    complete.
+    A window counts as there only with its commit marker (see ``parts``); what a stopped run
+    left of a window is written anew.
     """
-    spark = df.sparkSession
-    if path_exists(spark, path):
-        fs, prefix = hadoop_fs(spark, path), f"{window_col}="
-        names = [s.getPath().getName() for s in fs.listStatus(hadoop_path(spark, path))]
-        done = [n[len(prefix):] for n in names if n.startswith(prefix)]   # a calendar's worth of windows
-        if done:
-            df = df.where(~F.col(window_col).cast("string").isin(done))
-    w = df.hint("rebalance", window_col).write.mode("append")
-    if rows_per_file:
-        w = w.option("maxRecordsPerFile", rows_per_file)
-    w.partitionBy(window_col).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return add_missing_parts(df, path, window_col, maxRecordsPerFile=rows_per_file, **{"parquet.block.size": row_group_bytes})

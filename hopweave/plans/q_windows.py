@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hopweave.operators import series
 from hopweave.operators import windows as w
 from hopweave.plans.registry import register
-from hopweave.session import cut_lineage
+from hopweave.session import cut_lineage, stage_path
 from hopweave.sources import fixtures as fx
 
 FX = ["fx_accounts", "fx_window_edges", "fx_order_calendar"]
@@ -106,6 +106,12 @@ for _f in ("month", "week"):
         def q_slices(spark, sf_dir):
             return w.w_slices(edges(spark, sf_dir), freq)
 
+        @register(f"w_slices_stored{sfx}", sql=CTE + f"select {freq}, src_id, dst_id, ts, value_wei, tx_fee_wei, block_number, "
+                  f"contract_creation, tx_hash from edw", fixtures=FX)
+        def q_slices_stored(spark, sf_dir):
+            """Slices written as one committed folder per window and read back."""
+            return w.write_slices(edges(spark, sf_dir), stage_path(spark, f"slices_{freq}"), freq)
+
     _mk(_f)
 
 
@@ -158,7 +164,6 @@ def q_monthly(spark, sf_dir):
 @register("s_resume_parts", sql=CTE + "select * from wk", fixtures=FX)
 def q_resume_parts(spark, sf_dir):
     """Weekly parts: half of the weeks written, then the rest by a second run that skips those, read back."""
-    from hopweave.session import stage_path
     path = stage_path(spark, "weekly_parts")
     rows = weekly(spark, sf_dir)
     w.write_parts(rows.where(F.substring("week", 7, 2).cast("int") % 2 == 0), path, "week")
