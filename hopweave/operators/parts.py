@@ -1,11 +1,14 @@
 """Tables of part folders (``key=value``) that survive a stop at any point.
 
-Parts are written below a hidden folder of the table, each gets a commit marker (its files and
-row count), and only then takes its place, one rename a part; a part that is replaced waits in
-``_old`` until then.  What a stop can leave is therefore: a hidden folder (ignored, deleted by
-the next writer), a folder without its marker or without a file that the marker names (not read,
-and written anew), or a part in ``_old`` whose successor did not arrive (read in its place, and
-put back by the next writer).  Writers of one table must not run at the same time.
+Parts are written below a hidden folder of the table.  Then one commit file names the files and
+the row count of each, and only then the parts take their places, one rename a part; a part
+that is replaced waits in ``.old`` until then.  A part counts when its files are exactly
+those that a commit names.  What a stop can leave is therefore: a hidden folder (ignored, deleted
+by the next writer), a part with other files than its commit (not read, and written anew),
+or a part in ``.old`` whose successor did not arrive (read in its place, and put back by the
+next writer).  Writers of one table must not run at the same time.
+
+The driver handles a name per part and file: parts are a calendar's windows or hash shards.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from pyspark.sql import types as T
 
 from hopweave.session import delete_path, hadoop_fs, hadoop_path, path_exists, rename_path
 
-MARKER = "_COMMIT"
-OLD = "_old"
+COMMITS = ".commits"
+OLD = ".old"
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -35,41 +38,56 @@ def _data_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in _children(spark, folder) if not n.startswith(("_", ".")))
 
 
-def mark(spark: SparkSession, folder: str, rows: int) -> None:
-    """The commit marker of a folder, written after its files."""
-    text = json.dumps({"files": _data_files(spark, folder), "rows": rows}).encode()
-    out = hadoop_fs(spark, folder).create(hadoop_path(spark, f"{folder}/{MARKER}"), True)
-    out.write(bytearray(text))
+def commits(spark: SparkSession, path: str) -> dict[str, list[dict]]:
+    """Per part the files and rows that the table's commits name (a replaced part has two)."""
+    for name in sorted(_data_files(spark, f"{path.rstrip('/')}/{COMMITS}"), reverse=True):
+        stream = hadoop_fs(spark, path).open(hadoop_path(spark, f"{path.rstrip('/')}/{COMMITS}/{name}"))
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return json.loads(text)
+    return {}
+
+
+def commit(spark: SparkSession, path: str, said: dict[str, list[dict]]) -> None:
+    """Put a new commit file in place, then drop the earlier ones."""
+    folder = f"{path.rstrip('/')}/{COMMITS}"
+    before = _data_files(spark, folder)
+    name = f"{int(before[-1].split('.')[0]) + 1 if before else 0:012d}.json"
+    out = hadoop_fs(spark, folder).create(hadoop_path(spark, f"{folder}/_{name}"), True)
+    out.write(bytearray(json.dumps(said).encode()))
     out.close()
+    rename_path(spark, f"{folder}/_{name}", f"{folder}/{name}")
+    for old in before:
+        delete_path(spark, f"{folder}/{old}")
 
 
-def marker(spark: SparkSession, folder: str) -> dict | None:
-    """What the marker of a folder says; None for a folder that is not whole."""
-    if MARKER not in _children(spark, folder):
+def entry(spark: SparkSession, said: dict[str, list[dict]], path: str, name: str) -> dict | None:
+    """What a commit says of a part that is whole; None for any other folder."""
+    if name not in said:
         return None
-    stream = hadoop_fs(spark, folder).open(hadoop_path(spark, f"{folder}/{MARKER}"))
-    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
-    try:
-        said = json.loads(text)
-    except ValueError:                      # the marker itself was cut off
-        return None
-    return said if said["files"] == _data_files(spark, folder) else None
+    files = _data_files(spark, f"{path}/{name}")
+    return next((e for e in said[name] if e["files"] == files), None)
+
+
+def _named(names: list[str], key: str) -> list[str]:
+    return [n for n in names if n.startswith(f"{key}=")]
 
 
 def stage_parts(df: DataFrame, path: str, key: str, **options) -> str:
-    """Write ``df`` as marked part folders below a hidden folder of the table; returns that."""
-    spark = df.sparkSession
-    staged = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    """Write ``df`` as part folders below a hidden folder of the table and commit them; returns
+    the folder."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    staged = f"{path}/.staged-{uuid.uuid4().hex}"
     # rebalance splits a large part over several tasks and files
     writer = df.hint("rebalance", key).write.options(**{k: v for k, v in options.items() if v is not None})
     writer.partitionBy(key).parquet(staged)
     folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
     rows = spark.read.schema(df.schema).parquet(staged).groupBy(folder.alias("part")).count().collect()      # a row per part
     counts = {unquote(r["part"]): r["count"] for r in rows}
-    for name in _children(spark, staged):
-        if name.startswith(f"{key}="):
-            mark(spark, f"{staged}/{name}", counts.get(unquote(name), 0))
+    said = {n: [e] for n, e in ((n, entry(spark, before, path, n)) for before in [commits(spark, path)] for n in before) if e}
+    for name in _named(_children(spark, staged), key):
+        said.setdefault(name, []).append({"files": _data_files(spark, f"{staged}/{name}"), "rows": counts.get(unquote(name), 0)})
+    commit(spark, path, said)
     return staged
 
 
@@ -93,18 +111,19 @@ def drop_part(spark: SparkSession, path: str, name: str) -> None:
 def recover(spark: SparkSession, path: str, key: str) -> list[str]:
     """Finish or take back what an earlier stop left; returns the names of the whole parts."""
     path = path.rstrip("/")
+    said = commits(spark, path)
     for name in _children(spark, f"{path}/{OLD}"):
-        if marker(spark, f"{path}/{name}") is None:
+        if entry(spark, said, path, name) is None:
             drop_part(spark, path, name)
             rename_path(spark, f"{path}/{OLD}/{name}", f"{path}/{name}")
         else:
             delete_path(spark, f"{path}/{OLD}/{name}")
     whole = []
     for name in _children(spark, path):
-        if name.startswith("_staged-"):
+        if name.startswith(".staged-"):
             delete_path(spark, f"{path}/{name}")
         elif name.startswith(f"{key}="):
-            if marker(spark, f"{path}/{name}") is None:
+            if entry(spark, said, path, name) is None:
                 drop_part(spark, path, name)
             else:
                 whole.append(name)
@@ -114,8 +133,9 @@ def recover(spark: SparkSession, path: str, key: str) -> list[str]:
 def read_parts(spark: SparkSession, path: str, key: str, schema: T.StructType) -> DataFrame:
     """All whole parts of a table; changes nothing."""
     path = path.rstrip("/")
-    here = {n: path for n in _children(spark, path) if n.startswith(f"{key}=") and marker(spark, f"{path}/{n}") is not None}
-    here |= {n: f"{path}/{OLD}" for n in _children(spark, f"{path}/{OLD}") if n not in here}
+    said = commits(spark, path)
+    here = {n: path for n in _named(_children(spark, path), key) if entry(spark, said, path, n) is not None}
+    here |= {n: f"{path}/{OLD}" for n in _named(_children(spark, f"{path}/{OLD}"), key) if n not in here}
     out = spark.createDataFrame([], schema)
     for base in sorted(set(here.values())):
         folders = [f"{base}/{n}" for n, b in sorted(here.items()) if b == base]
@@ -124,9 +144,10 @@ def read_parts(spark: SparkSession, path: str, key: str, schema: T.StructType) -
 
 
 def part_rows(spark: SparkSession, path: str, key: str) -> dict[str, int]:
-    """Row count of every whole part, as its marker says."""
-    said = {n: marker(spark, f"{path.rstrip('/')}/{n}") for n in _children(spark, path) if n.startswith(f"{key}=")}
-    return {n: m["rows"] for n, m in said.items() if m}
+    """Row count of every whole part, as its commit says."""
+    said = commits(spark, path)
+    found = {n: entry(spark, said, path.rstrip("/"), n) for n in _named(_children(spark, path), key)}
+    return {n: e["rows"] for n, e in found.items() if e}
 
 
 def part_value(name: str, key: str) -> str | None:
@@ -144,9 +165,8 @@ def add_missing_parts(df: DataFrame, path: str, key: str, **options) -> DataFram
         value = F.coalesce(F.col(key).cast("string"), F.lit(NULL_PART))
         df = df.where(~value.isin([NULL_PART if v is None else v for v in done]))
     staged = stage_parts(df, path, key, **options)
-    for name in _children(spark, staged):
-        if name.startswith(f"{key}="):
-            put_part(spark, staged, path, name)
+    for name in _named(_children(spark, staged), key):
+        put_part(spark, staged, path, name)
     delete_path(spark, staged)
     return read_parts(spark, path, key, schema)
 

@@ -198,7 +198,7 @@ def write_parts(df: DataFrame, path: str, window_col: str, rows_per_file: int |
     """Resumable part files: windows that were committed are kept as they are, the others
     are added (filtered before ``df`` is computed); returns the whole table.
 
-    A window counts as there only with its commit marker (see ``parts``); what a stopped run
+    A window counts as there only when a commit names its files (see ``parts``); what a stopped run
     left of a window is written anew.
     """
     return add_missing_parts(df, path, window_col, maxRecordsPerFile=rows_per_file, **{"parquet.block.size": row_group_bytes})

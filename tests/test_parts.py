@@ -19,7 +19,7 @@ class Stop(Exception):
 @pytest.fixture()
 def stop_at(monkeypatch):
     """Let the n-th rename or delete of the part tables fail."""
-    def arm(n, names=("rename_path", "delete_path", "mark")):
+    def arm(n, names=("rename_path", "delete_path", "commit")):
         left = [n]
         for name in names:
             real = getattr(parts, name)
