@@ -216,3 +216,28 @@ def q_append_final(spark, sf_dir):
     g.g_append_final(edges.where(part < 2), path)
     g.g_append_final(edges.where(part > 0), path)
     return g.g_append_final(edges.where(part > 0), path)
+
+
+@register("g_clustered_stage", sql="WITH g_tx AS (" + _TX + """), gaps AS (select from_address as address, value_wei_raw,
+  epoch_us(timestamp) - epoch_us(lag(timestamp) over (partition by from_address order by timestamp)) as gap_us
+  from g_tx where from_address is not null)
+select lower(s.address) as address, count(*) as sent_cnt, cast(sum(value_wei_raw) as varchar) as sum_value_wei, max(gap_us) as longest_gap_us
+from gaps g join fx_seeds s on lower(s.address) = g.address group by 1""", fixtures=FX)
+def q_clustered_stage(spark, sf_dir):
+    """Transfers and seeds stored clustered by address, then joined and windowed bucket by bucket:
+    transfers each seed sent, their value and the longest pause between two."""
+    import uuid
+
+    from pyspark.sql import Window
+
+    from hopweave.operators import clustered as c
+    run, seeds = uuid.uuid4().hex, fx.seeds(spark, sf_dir).select(F.lower("address").alias("address"))
+    sent = g.normalize_tx(fx.transactions(spark, sf_dir)).where("from_address is not null") \
+        .select(F.col("from_address").alias("address"), "timestamp", "value_wei_raw")
+    buckets = c.buckets_for(sent.count())
+    moves = c.write_clustered(sent, f"sent_{run}", ["address"], buckets, sort=["address", "timestamp"])
+    who = c.write_clustered(seeds, f"seeds_{run}", ["address"], buckets)
+    micros = F.unix_micros("timestamp")
+    gap = micros - F.lag(micros).over(Window.partitionBy("address").orderBy("timestamp"))
+    return moves.withColumn("gap", gap).join(who, "address").groupBy("address").agg(
+        F.count(F.lit(1)).alias("sent_cnt"), F.sum("value_wei_raw").cast("decimal(38,0)").alias("sum_value_wei"), F.max("gap").alias("longest_gap_us"))

@@ -71,3 +71,18 @@ def q_verify(spark, sf_dir):
     listed = spark.read.json(history)
     changed = now.where(k != 1).withColumn("sha256", F.when(k == 3, F.reverse("sha256")).otherwise(F.col("sha256")))
     return pub.pub_verify(listed, changed)
+
+
+@register("pub_manifest_files")
+def q_manifest_files(spark, sf_dir):
+    """Size, sha256 and md5 of every published file below the data folder (no SQL: it reads files)."""
+    return pub.pub_manifest(spark, sf_dir).drop("mtime")
+
+
+@register("pub_verify_files")
+def q_verify_files(spark, sf_dir):
+    """A manifest of the data folder's files, stored as JSON lines, against the files as they are."""
+    now = pub.pub_manifest(spark, sf_dir)
+    history = stage_path(spark, "file_manifest_history")
+    pub.append_manifest(now, history, "first")
+    return pub.pub_verify(spark.read.json(history), now)
