@@ -191,20 +191,35 @@ def _left_over_links(still: DataFrame, sets: DataFrame, percent: int) -> DataFra
     return links.unionByName(linked)
 
 
+def _roots_of(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs with the components of centre and member: ``root`` (the member's) and ``linked``."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    return pairs.join(of("centre"), "centre", "left").join(of("member"), "member", "left") \
+        .withColumn("root", F.coalesce("member_root", "member")).withColumn("linked", F.coalesce("centre_root", "centre") == F.col("root")) \
+        .drop("centre_root", "member_root")
+
+
 def links_of_entries(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between classes that connect what any links between entries of a key connect.
 
     ``entries``: (key, class, alone), of a key the one with the least (alone, class) is the centre;
     ``sets``: one row per class, in a written table.
+
+    Every member is verified against the centre with the most members first.  A star all of
+    whose members are connected by then needs nothing more; the other stars are verified whole.
     """
-    tested = stage(_verify(_stars(entries), sets, percent), "star-pairs", release=True)
-    links = tested.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b"))
+    stars = stage(_stars(entries), "stars", release=True)
+    sizes = stars.groupBy("centre").agg(F.count(F.lit(1)).alias("_size"))
+    best = stars.join(sizes, "centre").groupBy("member").agg(F.max(F.struct("_size", "centre"))["centre"].alias("centre"))
+    first = stage(_verify(best.select("centre", "member"), sets, percent), "best-pairs", release=True)
+    link = lambda df: df.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b"))
+    roots = stage(components(link(first)), "best-components")
+    open_stars = _roots_of(stars, roots).where(~F.col("linked")).select("centre").distinct()
+    rest = stars.join(open_stars, "centre", "left_semi").join(first.select("centre", "member"), ["centre", "member"], "left_anti")
+    tested = stage(_verify(rest, sets, percent).unionByName(first.join(open_stars, "centre", "left_semi")), "star-pairs", release=True)
+    links = link(first).unionByName(link(tested)).distinct()
     # what these links connect need not be compared any more
-    roots = stage(components(links), "star-components")
-    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-    joined = tested.join(of("centre"), "centre", "left").join(of("member"), "member", "left") \
-        .withColumn("root", F.coalesce("member_root", "member")) \
-        .withColumn("linked", F.coalesce("centre_root", "centre") == F.col("root"))
+    joined = _roots_of(tested.drop("linked"), stage(components(links), "star-components"))
     still = stage(_open_members(joined, percent), "open-members")
     if still.isEmpty():
         return links
