@@ -31,6 +31,10 @@ from hopweave.llm.common import stage
 from hopweave.llm.components import components
 
 
+#: Pairs whose differences are written out at once.
+SLICE_ROWS = 512
+
+
 def differ(r: int, s: int, percent: int) -> int:
     """The most shingles in which linked sets of sizes r and s differ."""
     return r + s - 2 * -(-percent * (r + s) // (100 + percent))
@@ -113,7 +117,7 @@ def _open_members(tested: DataFrame, percent: int) -> DataFrame:
 
 def _differences(batches):
     """(centre, member, open, token): tokens in one of the two sets only."""
-    for b in batches:
+    for b in (whole.slice(lo, SLICE_ROWS) for whole in batches for lo in range(0, whole.num_rows, SLICE_ROWS)):
         tokens, owner = [], []
         for k, (x, y) in enumerate(zip(b.column("c_tokens"), b.column("tokens"), strict=True)):
             t = np.setxor1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True).view(np.int64)
