@@ -19,8 +19,10 @@ percent))`` shingles, which drives everything:
    tickets as it has ``alone`` shingles - each of those already uses up a difference - and
    leaves out its costliest segments, empty ones first.
 4. Stars (``stars``).  The members of a segment key are not paired with one another: each is
-   verified against the key's centre, the one with the fewest ``alone`` shingles, and members
-   left over are paired only where the differences they share from it ask for it.
+   verified against the key's centre, the one with the fewest ``alone`` shingles.  Members
+   left over are dealt to segments anew, by other hashes and among themselves: sets that met
+   by chance part, and linked ones meet again.  What still is open then is paired only where
+   the differences shared from the centre ask for it.
 5. Components of the verified links; a text's component is its smallest linked id.
 
 Sets are compared by 64-bit shingle hashes; a class is known by a 64-bit hash of its set.
@@ -92,11 +94,11 @@ def allot(low: int, high: int, percent: int, rows: int) -> Band:
     return best
 
 
-def entry_keys(tokens: np.ndarray, alone: int, number: int, band: Band) -> np.ndarray:
-    """Index keys of one set in one band."""
+def entry_keys(tokens: np.ndarray, alone: int, number: int, band: Band, level: int = 0) -> np.ndarray:
+    """Index keys of one set in one band; every ``level`` deals the universe by hashes of its own."""
     m = band.segments
-    seg = (mix64(tokens, seed_of(1, number)) % np.uint64(m)).astype(np.int64)
-    mark = mix64(tokens, seed_of(2, number))
+    seg = (mix64(tokens, seed_of(3 * level + 1, number)) % np.uint64(m)).astype(np.int64)
+    mark = mix64(tokens, seed_of(3 * level + 2, number))
     order = np.argsort(seg, kind="stable")
     seg, mark = seg[order], mark[order]
     size = np.bincount(seg, minlength=m)
@@ -113,7 +115,7 @@ def entry_keys(tokens: np.ndarray, alone: int, number: int, band: Band) -> np.nd
             continue
         use[k] = False
         spare -= ticket[k]
-    salt = mix64(np.arange(m, dtype=np.uint64), seed_of(3, number))
+    salt = mix64(np.arange(m, dtype=np.uint64), seed_of(3 * level + 3, number))
     keys = [mix64(total[use] + salt[use])]
     near = use[seg] & (seg >= band.plain)
     if near.any():
@@ -170,7 +172,7 @@ def _sets(segments: int, n: int, percent: int):
 
 # -- index -----------------------------------------------------------------------------------
 
-def _entries(bands: dict[int, Band], bounds: list[int], percent: int):
+def _entries(bands: dict[int, Band], bounds: list[int], percent: int, level: int):
     def entries(batches):
         for b in batches:
             keys, owner, lone = [], [], []
@@ -180,7 +182,7 @@ def _entries(bands: dict[int, Band], bounds: list[int], percent: int):
                     band = bands.get(number)
                     if band is None or number < own and n > band.high * 100 // percent:
                         continue
-                    x = entry_keys(tokens, alone, number, band)
+                    x = entry_keys(tokens, alone, number, band, level)
                     keys.append(x)
                     owner.append(np.full(len(x), c))
                     lone.append(np.full(len(x), alone))
@@ -196,11 +198,8 @@ def _entry_batch(keys, owner, lone) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"key": join(keys), "class": join(owner), "alone": join(lone)})
 
 
-def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links between classes that connect what any links connect (None without sets).
-
-    ``sets``: (class, n, alone, tokens), one row per class, in a written table.
-    """
+def indexed(sets: DataFrame, percent: int, level: int = 0) -> DataFrame | None:
+    """(key, class, alone): the index entries of sets (None without sets); linked sets share a key."""
     top = sets.agg(F.max("n").alias("n")).first()["n"]
     if top is None:
         return None
@@ -210,8 +209,18 @@ def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
         number = F.when(F.col("n") >= low, F.lit(k)).otherwise(number)
     counts = {r["band"]: r["count"] for r in sets.groupBy(number.alias("band")).count().collect()}  # a row per band
     bands = {k: allot(bounds[k], bounds[k + 1] - 1, percent, c) for k, c in counts.items()}
-    entries = sets.mapInArrow(_entries(bands, bounds, percent), _ENTRY)
-    return links_of_entries(entries, sets, percent)
+    return sets.mapInArrow(_entries(bands, bounds, percent, level), _ENTRY)
+
+
+def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links between classes that connect what any links connect (None without sets).
+
+    ``sets``: (class, n, alone, tokens), one row per class, in a written table.
+    """
+    entries = indexed(sets, percent)
+    if entries is None:
+        return None
+    return links_of_entries(entries, sets, percent, again=lambda fewer, level: indexed(fewer, percent, level))
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, block_bytes: int, segment_keys: int) -> DataFrame:

@@ -62,6 +62,44 @@ def test_join_one_large_group_of_near_copies(spark):
     assert got == brute_components(rows, 4, 85)
 
 
+def test_sets_that_met_a_centre_by_chance_are_dealt_anew(spark):
+    rnd = random.Random(11)
+    sets = []
+    for _ in range(30):
+        base = rnd.sample(range(1 << 40), 60)
+        for _ in range(3):
+            own = set(base)
+            for t in rnd.sample(base, rnd.randrange(5)):
+                own.discard(t)
+            sets.append(own)
+    alone = [set(rnd.sample(range(1 << 40), 40)) for _ in range(150)]
+    rows = [(k, len(x), 0, bytearray(b"".join(t.to_bytes(8, "little") for t in sorted(x)))) for k, x in enumerate([*sets, *alone])]
+    table = spark.createDataFrame(rows, "class long, n long, alone long, tokens binary")
+    one_key = spark.createDataFrame([(1, k, 0) for k in range(len(sets))], "key long, class long, alone long")
+    levels = []
+
+    def again(fewer, level):
+        levels.append((level, fewer.count()))
+        return jaccard_join.indexed(fewer, 85, level)
+
+    links = stars.links_of_entries(one_key, table, 85, again).collect()
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in links:
+        assert 100 * len(sets[r["a"]] & sets[r["b"]]) >= 85 * len(sets[r["a"]] | sets[r["b"]])
+        root[find(r["a"])] = find(r["b"])
+    for a in range(len(sets)):
+        for b in range(a):
+            linked = 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+            assert not linked or find(a) == find(b)
+    assert levels and levels[0][0] == 1 and levels[0][1] > 60
+
+
 def test_tickets_cover_every_linked_pair():
     for low, high in ((1, 1), (6, 7), (20, 23), (100, 117)):
         band = jaccard_join.allot(low, high, 85, 1000)
