@@ -5,7 +5,9 @@ hashed from the key and the child's path, and the smallest draw wins (so a child
 rows in proportion to its weight).  A child's draw depends on nothing but the key and its
 own path and weight: when a weight changes, rows only move between that child and its
 siblings, on every level, so movement stays inside subtrees whose weights change.  Added
-capacity that forms a subtree of its own (``grown``) takes rows only into itself.
+capacity that forms a subtree of its own takes rows only into itself: the ninth shard of
+``balanced_tree(9)``, a region of its own beside the two of ``balanced_tree(8)``, or any
+shard added by ``grown``.
 
 Everything is column arithmetic in the JVM; the text is reduced to its size and CRC
 before anything is shuffled.
@@ -82,10 +84,12 @@ def place(docs: DataFrame, tree: Node | None = None, more: Node | None = None, k
     """(key, size, text_crc32, shard, slot, grown_shard) of every row.
 
     Slots number the rows of a shard without gaps: rows are numbered inside hash buckets of
-    bounded size, and each bucket starts where the counts of the earlier ones end.
+    bounded size, and each bucket starts where the counts of the earlier ones end.  Without a
+    tree, rows lie in the eight shards of ``balanced_tree(8)`` and ``grown_shard`` is their
+    shard in ``balanced_tree(9)``; a given tree grows by ``grown`` unless ``more`` is given.
     """
+    more = more or (grown(tree, 1 + max(_shards(tree))) if tree else balanced_tree(9))
     tree = tree or balanced_tree()
-    more = more or grown(tree, 1 + max(_shards(tree)))
     rows = docs.select(
         F.col(key_col), (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"),

@@ -99,6 +99,14 @@ def test_sharding_law_and_slots(spark):
     assert sharding.place(frame(spark, [])).count() == 0
 
 
+def test_grown_shard_is_the_shard_of_nine(spark):
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    nine = df.select("doc_id", sharding.shard_of(F.col("doc_id"), sharding.balanced_tree(9)).alias("nine"))
+    got = sharding.place(df).join(nine, "doc_id").groupBy("shard", "grown_shard", "nine").count().collect()
+    assert all(r["grown_shard"] == r["nine"] and r["nine"] in (r["shard"], 8) for r in got)
+    assert {r["nine"] for r in got} == set(range(9))
+
+
 def test_weights_and_movement(spark):
     ids = spark.range(20_000)
     tree = sharding.Node("", (sharding.Node("a", (sharding.Node("x", shard=0, leaf_weight=3.0), sharding.Node("y", shard=1))),
