@@ -213,7 +213,7 @@ def indexed(sets: DataFrame, percent: int, level: int = 0) -> DataFrame | None:
 
 
 def links_of(sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links between classes that connect what any links connect (None without sets).
+    """Pairs of classes that connect exactly what the links connect (None without sets).
 
     ``sets``: (class, n, alone, tokens), one row per class, in a written table.
     """

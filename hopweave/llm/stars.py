@@ -207,13 +207,15 @@ def _roots_of(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def links_of_entries(entries: DataFrame, sets: DataFrame, percent: int, again: Callable[[DataFrame, int], DataFrame] | None = None,
                      known: DataFrame | None = None, level: int = 0) -> DataFrame:
-    """(a, b): links between classes that connect what any links between entries of a key connect.
+    """(a, b): pairs that connect exactly what the links between entries of a key connect.
 
     ``entries``: (key, class, alone), of a key the one with the least (alone, class) is the centre;
-    ``sets``: one row per class, in a written table; ``known``: links that are verified already.
+    ``sets``: one row per class, in a written table; ``known``: (node, root), the components
+    of links that are verified already.
 
-    Every member is verified against the centre with the most members first.  A star all of
-    whose members are connected by then needs nothing more; the other stars are verified whole.
+    Every member is verified against the centre with the most members first, unless links are
+    known.  A star all of whose members are connected by then needs nothing more; the other
+    stars are verified whole.  Of what is found the components are handed on, not the links.
 
     ``again(sets, level)`` gives new entries, by other hashes, in which linked sets meet as
     well.  Sets that met a centre by chance are unlike it in everything, and their differences
@@ -221,24 +223,31 @@ def links_of_entries(entries: DataFrame, sets: DataFrame, percent: int, again: C
     most half of the sets are open, and only what is open after that is told by differences.
     """
     stars = stage(_stars(entries), "stars", release=True)
-    sizes = stars.groupBy("centre").agg(F.count(F.lit(1)).alias("_size"))
-    best = stars.join(sizes, "centre").groupBy("member").agg(F.max(F.struct("_size", "centre"))["centre"].alias("centre"))
-    first = stage(_verify(best.select("centre", "member"), sets, percent), "best-pairs", release=True)
     link = lambda df: df.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b"))
-    with_known = lambda df: df if known is None else df.unionByName(known)
-    roots = stage(components(with_known(link(first))), "best-components")
-    open_stars = _roots_of(stars, roots).where(~F.col("linked")).select("centre").distinct()
-    rest = stars.join(open_stars, "centre", "left_semi").join(first.select("centre", "member"), ["centre", "member"], "left_anti")
-    tested = stage(_verify(rest, sets, percent).unionByName(first.join(open_stars, "centre", "left_semi")), "star-pairs", release=True)
-    links = link(first).unionByName(link(tested)).distinct()
+    as_links = lambda df: df.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    first = None
+    if known is None:
+        sizes = stars.groupBy("centre").agg(F.count(F.lit(1)).alias("_size"))
+        best = stars.join(sizes, "centre").groupBy("member").agg(F.max(F.struct("_size", "centre"))["centre"].alias("centre"))
+        first = stage(_verify(best.select("centre", "member"), sets, percent), "best-pairs", release=True)
+        known = stage(components(link(first)), "best-components")
+    open_stars = _roots_of(stars, known).where(~F.col("linked")).select("centre").distinct()
+    rest = stars.join(open_stars, "centre", "left_semi")
+    if first is None:
+        tested = _verify(rest, sets, percent)
+    else:
+        rest = rest.join(first.select("centre", "member"), ["centre", "member"], "left_anti")
+        tested = _verify(rest, sets, percent).unionByName(first.join(open_stars, "centre", "left_semi"))
+    tested = stage(tested, "star-pairs", release=True)
     # what these links connect need not be compared any more
-    joined = _roots_of(tested.drop("linked"), stage(components(with_known(links)), "star-components"))
+    roots = stage(components(as_links(known).unionByName(link(tested))), "star-components")
+    joined = _roots_of(tested.drop("linked"), roots)
     still = stage(_open_members(joined, percent), "open-members")
+    links = as_links(roots).where("a <> b")
     if still.isEmpty():
         return links
     if again is not None:
         fewer = stage(sets.join(still.select(F.col("member").alias("class")).distinct(), "class", "left_semi"), "open-sets")
         if 2 * fewer.count() <= sets.count():
-            links = stage(links, "star-links")
-            return links.unionByName(links_of_entries(again(fewer, level + 1), fewer, percent, again, with_known(links), level + 1))
+            return links_of_entries(again(fewer, level + 1), fewer, percent, again, roots, level + 1)
     return links.unionByName(stage(_left_over_links(still, sets, percent), "left-over-links"))

@@ -182,3 +182,31 @@ def test_spans_and_untouched_texts(spark):
     out = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), untouched=True)
     got = {r["doc_id"]: (r["kept_text"], [(x["start"], x["end"]) for x in r["removed"]]) for r in out.collect()}
     assert got == {1: (rows[0][1], []), 2: ("c d", [(1, 26)]), 3: (rows[2][1], [])}
+
+
+@pytest.mark.parametrize("edges", [[], [(5, 5)], [(k, k + 1) for k in range(40)], [(1, 2), (2, 1), (2, 1), (9, 2), (7, 8)],
+                                   [(100, k) for k in range(50)] + [(100, -3), (60, 61)]])
+def test_components_are_those_of_union_find(spark, edges):
+    root = {x: x for e in edges if e[0] != e[1] for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    got = [tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()]
+    assert sorted(got) == sorted((x, find(x)) for x in root)
+
+
+def test_chains_of_links_across_stars_are_one_component(spark):
+    """Neighbours on a chain link, its ends share nothing; what connects them is handed on as components."""
+    sets = [set(range(k * 3, k * 3 + 60)) for k in range(40)]
+    rows = [(k, len(x), 0, bytearray(b"".join(t.to_bytes(8, "little") for t in sorted(x)))) for k, x in enumerate(sets)]
+    table = spark.createDataFrame(rows, "class long, n long, alone long, tokens binary")
+    one_key = spark.createDataFrame([(1, k, 0) for k in range(len(sets))], "key long, class long, alone long")
+    links = stars.links_of_entries(one_key, table, 85, lambda fewer, level: jaccard_join.indexed(fewer, 85, level))
+    assert {(r["node"], r["root"]) for r in components(links).collect()} == {(k, 0) for k in range(len(sets))}
