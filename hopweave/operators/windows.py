@@ -137,12 +137,15 @@ def write_slices(edges: DataFrame, path: str, freq: str, rows_per_file: int | No
 
 # ---- series dataset ------------------------------------------------------------------
 def s_daily_filtered(daily: DataFrame, address_map: DataFrame) -> DataFrame:
-    """Daily rows of mapped accounts only, with node id, ISO week and month; existing measures only."""
+    """Daily rows of mapped accounts only, with node id, ISO week and month; existing measures only.
+
+    The map's part is hashed: days that come partitioned by the lower-cased address are neither
+    shuffled nor sorted."""
     measures = existing(daily, INT_COUNTS + ETH_NUMS)
     amap = (address_map.select(F.lower("address").alias("address"), "node_id")
             .groupBy("address").agg(F.min("node_id").alias("node_id")))
     d = daily.select(F.lower("address").alias("address"), F.col("day").cast("date").alias("day"), *measures)
-    j = d.join(amap, "address", "inner")
+    j = d.join(amap.hint("shuffle_hash"), "address", "inner")
     return j.select("node_id", "address", "day", iso_week("day").alias("week"), month_label("day").alias("month"),
                     *measures)
 
@@ -175,7 +178,7 @@ def s_week_parts(daily_filtered: DataFrame) -> DataFrame:
 def s_weekly(daily_filtered: DataFrame, week_index: DataFrame, parts: DataFrame | None = None) -> DataFrame:
     """Per (node, ISO week) for weeks of the graph index: counts summed, ETH sums as
     decimal(38,9) text, burst maximum; missing or bad values count as 0."""
-    p = parts if parts is not None else s_week_parts(daily_filtered)
+    p = parts if parts is not None else daily_filtered        # one exchange, of partial sums per node and week
     # A week list is bounded by the calendar (about 53 rows per year): broadcast is safe.
     p = p.join(F.broadcast(week_index.select("week").distinct()), "week", "left_semi")
     return p.groupBy("node_id", "week").agg(*series_aggs(p))

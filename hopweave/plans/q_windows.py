@@ -116,7 +116,8 @@ for _f in ("month", "week"):
 
 
 def daily_filtered(spark, sf_dir):
-    return w.s_daily_filtered(fx.order_calendar(spark, sf_dir), w.w_address_map(labels(spark, sf_dir)))
+    days = fx.order_calendar(spark, sf_dir, by=F.lower("address"))
+    return w.s_daily_filtered(days, w.w_address_map(labels(spark, sf_dir)))
 
 
 @register("s_daily_filtered", sql=CTE + "select node_id, address, cast(day as varchar) as day, week, month, normal_total_cnt, "
