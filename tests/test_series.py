@@ -52,6 +52,20 @@ def test_runs_and_kept_weeks_equal_the_dense_form(spark, mode, every):
     assert rows(series.keep_weeks(days, spans, every, mode), *base.columns) == want
 
 
+def test_days_of_kept_weeks_are_neither_joined_nor_sorted(spark):
+    days, spans = sparse(spark)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = series.keep_weeks(days, spans)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    above = plan[:plan.index("Generate explode(sequence(")]
+    assert not any(step in above for step in ("Join", "Sort", "Exchange", "Aggregate"))
+    shuffles = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert shuffles and all("hashpartitioning(address" in line for line in shuffles)
+
+
 def test_rollups_equal_the_dense_form(spark):
     days, spans = sparse(spark, 5)
     amap = spark.createDataFrame([(f"A{a}", a % 5) for a in range(12)], "address string, node_id long")   # nodes with several accounts
