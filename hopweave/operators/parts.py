@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hopweave.session import delete_path, hadoop_fs, hadoop_path, path_exists, rename_path
+from hopweave.session import delete_path, hadoop_fs, hadoop_path, path_exists, rename_path, setting
 
 COMMITS = ".commits"
 OLD = ".old"
@@ -73,17 +73,26 @@ def _named(names: list[str], key: str) -> list[str]:
     return [n for n in names if n.startswith(f"{key}=")]
 
 
-def stage_parts(df: DataFrame, path: str, key: str, **options) -> str:
+#: Parts that a task writes side by side, without sorting, when its rows came dealt.
+OPEN_PARTS = 64
+
+
+def stage_parts(df: DataFrame, path: str, key: str, dealt: bool = False, **options) -> str:
     """Write ``df`` as part folders below a hidden folder of the table and commit them; returns
-    the folder."""
+    the folder.
+
+    ``dealt``: the caller has dealt the rows so that a task has few parts; they are not shuffled again."""
     spark, path = df.sparkSession, path.rstrip("/")
     staged = f"{path}/.staged-{uuid.uuid4().hex}"
     # rebalance splits a large part over several tasks and files
-    writer = df.hint("rebalance", key).write.options(**{k: v for k, v in options.items() if v is not None})
-    writer.partitionBy(key).parquet(staged)
-    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
-    rows = spark.read.schema(df.schema).parquet(staged).groupBy(folder.alias("part")).count().collect()      # a row per part
-    counts = {unquote(r["part"]): r["count"] for r in rows}
+    writer = (df if dealt else df.hint("rebalance", key)).write.options(**{k: v for k, v in options.items() if v is not None})
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", OPEN_PARTS if dealt else None):
+        writer.partitionBy(key).parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged).groupBy(F.col("_metadata.file_path").alias("file")).count().collect()      # a row per file
+    counts: dict[str, int] = {}
+    for r in rows:
+        part = unquote(r["file"].split("/")[-2])
+        counts[part] = counts.get(part, 0) + r["count"]
     said = {n: [e] for n, e in ((n, entry(spark, before, path, n)) for before in [commits(spark, path)] for n in before) if e}
     for name in _named(_children(spark, staged), key):
         said.setdefault(name, []).append({"files": _data_files(spark, f"{staged}/{name}"), "rows": counts.get(unquote(name), 0)})

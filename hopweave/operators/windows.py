@@ -197,11 +197,12 @@ def s_monthly(weekly: DataFrame, week_month: DataFrame, month_index: DataFrame)
 
 
 def write_parts(df: DataFrame, path: str, window_col: str, rows_per_file: int | None = None,
-                row_group_bytes: int | None = None) -> DataFrame:
+                row_group_bytes: int | None = None, dealt: bool = False) -> DataFrame:
     """Resumable part files: windows that were committed are kept as they are, the others
-    are added (filtered before ``df`` is computed); returns the whole table.
+    are added (filtered before ``df`` is computed); returns the whole table.  ``dealt``: a task
+    of ``df`` has few windows, rows are written where they are.
 
     A window counts as there only when a commit names its files (see ``parts``); what a stopped run
     left of a window is written anew.
     """
-    return add_missing_parts(df, path, window_col, maxRecordsPerFile=rows_per_file, **{"parquet.block.size": row_group_bytes})
+    return add_missing_parts(df, path, window_col, dealt=dealt, maxRecordsPerFile=rows_per_file, **{"parquet.block.size": row_group_bytes})

@@ -162,10 +162,15 @@ def q_monthly(spark, sf_dir):
     return series.monthly(*mapped_series(spark, sf_dir), labels_of, labels_of)
 
 
+#: Nodes whose weeks of a block one task writes (a file per week).
+NODES_A_SHARE = 250_000
+
+
 @register("s_resume_parts", sql=CTE + "select * from wk", fixtures=FX)
 def q_resume_parts(spark, sf_dir):
     """Weekly parts: half of the weeks written, then the rest by a second run that skips those, read back."""
     path = stage_path(spark, "weekly_parts")
-    rows = weekly(spark, sf_dir)
-    w.write_parts(rows.where(F.substring("week", 7, 2).cast("int") % 2 == 0), path, "week")
-    return w.write_parts(rows, path, "week")
+    index = cut_lineage(w.w_window_labels(edges(spark, sf_dir)))
+    rows = series.weekly(*mapped_series(spark, sf_dir), index, nodes_a_share=NODES_A_SHARE)
+    w.write_parts(rows.where(F.substring("week", 7, 2).cast("int") % 2 == 0), path, "week", dealt=True)
+    return w.write_parts(rows, path, "week", dealt=True)
