@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from hopweave.functions.common import (WEI_PER_ETH, WEI_PER_GWEI, as_of_ts, end_of_day, hash_shard, sized_broadcast,
                                        utc_ts, whole_hours, whole_minutes)
 from hopweave.operators import ledger_pass, parts
+from hopweave.session import written
 
 LN24 = math.log(24.0)
 KEYS = ["address", "day"]
@@ -65,10 +66,11 @@ def by_address(df: DataFrame, days: int | None = None) -> DataFrame:
     The number of partitions follows the summed window lengths, ``days`` (counted by the
     caller), since adaptive execution may not change it afterwards; it is at least the
     session's shuffle setting (with fewer, Spark would shuffle the days to match the tables
-    they are joined with).
+    they are joined with).  Sorted accounts expand to sorted days, which a later sort by address
+    and day only has to confirm.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(n, -(-(days or 0) // DAYS_A_PARTITION)), "address")
+    return df.repartition(max(n, -(-(days or 0) // DAYS_A_PARTITION)), "address").sortWithinPartitions("address", "activity_start_ts")
 
 
 def d_calendar(bounds: DataFrame) -> DataFrame:
@@ -305,10 +307,9 @@ def minute_bins(events: DataFrame, calendar: DataFrame | None = None) -> DataFra
 
 def _day_stats(bins: DataFrame, burst_minutes: int = 5, session_gap_min: int = 30) -> DataFrame:
     """Per (address, day) interarrival, span, burst, session and hour-of-day statistics."""
-    w = Window.partitionBy(*KEYS).orderBy("m")
-    em = (F.unix_seconds(F.col("m")) / 60).cast("bigint")
-    wr = Window.partitionBy(*KEYS).orderBy(em).rangeBetween(-(burst_minutes - 1), 0)
-    b = bins.select("*",
+    w = Window.partitionBy(*KEYS).orderBy("_minute")                    # both frames in one order: bins are sorted once
+    wr = w.rangeBetween(-(burst_minutes - 1), 0)
+    b = bins.withColumn("_minute", (F.unix_seconds(F.col("m")) / 60).cast("bigint")).select("*",
                     whole_minutes(F.lag("t1").over(w), F.col("t0")).alias("gap"),
                     F.sum("cnt").over(wr).alias("roll"),
                     F.hour("m").alias("h"))
@@ -474,6 +475,8 @@ def build_daily(accounts: DataFrame, tx: DataFrame, token_transfers: DataFrame,
     """
     base = d_base(accounts)
     bounds = d_bounds(base, as_of_day)
+    if materialize:                                                     # five steps read the accounts
+        bounds = written(bounds, "daily-bounds")
     first, last = F.to_date("activity_start_ts"), F.to_date("activity_end_ts")
     # Two scalars bound every ledger scan (pushed down as day range filters), one sizes the calendar.
     r = bounds.agg(F.min(first).alias("lo"), F.max(last).alias("hi"), F.sum(F.datediff(last, first) + 1).alias("days")).first()

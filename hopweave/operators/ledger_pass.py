@@ -15,7 +15,9 @@ What is left (a row per account, day and counterparty, token or minute) is kept
 partitioned by kind; the per-day tables come from it with a second partial aggregation.
 
 Rows of other accounts are dropped where the ledger is read: by a broadcast list when a count
-proves it small, else by bit pages, with the exact semi join after the aggregation.
+proves it small, else by bit pages.  What the pages let through is dropped exactly: the few foreign
+addresses are found in the kept table and left out where it is read, so the wide rows are neither
+shuffled by address nor sorted for that.
 """
 
 from __future__ import annotations
@@ -25,12 +27,16 @@ from pyspark.sql import functions as F
 
 from hopweave.functions.common import WEI_PER_ETH, WEI_PER_GWEI
 from hopweave.functions.membership import probable_members
-from hopweave.session import written
+from hopweave.session import setting, written
 
 #: Account lists are broadcast below this counted number of rows.
 ACCOUNT_BROADCAST_ROWS = 200_000
 
 TAG = ["address", "day", "kind", "key", "m"]
+#: Kinds of rows; the kept table is written with an open file for each, so rows are not sorted by kind.
+KINDS = 4
+#: Shuffled bytes of a task that adds up and writes tagged rows: wide rows, so many times that in memory.
+TASK_BYTES = 16 << 20
 # Measures of a tagged row and how they add up; _s: sent or out, _r: received or in.
 _TYPES = {"n_s": "bigint", "n_r": "bigint", "failed": "bigint", "wei_s": "decimal(38,0)", "wei_r": "decimal(38,0)", "wei_s_n": "bigint",
           "wei_r_n": "bigint", "max_s": "double", "max_r": "double", "fee": "decimal(38,0)", "gas": "bigint", "gp": "decimal(38,0)",
@@ -96,9 +102,23 @@ def ledger_days(txn: DataFrame, tokens: DataFrame, traces: DataFrame, accounts:
     else:
         rows = tagged_rows(txn, tokens, traces, lambda df: probable_members(df, listed, ["address"]))
     days = rows.groupBy(*TAG).agg(*[_BY.get(c, F.sum)(c).cast(t).alias(c) for c, t in _TYPES.items()])
-    if not small:
-        days = days.join(listed, "address", "left_semi")
-    return written(days, "ledger-days", "kind") if keep else days
+    if not keep:
+        return days if small else days.join(listed, "address", "left_semi")
+    spark = days.sparkSession
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", KINDS), \
+            setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_BYTES):
+        kept = written(days, "ledger-days", "kind")
+    return kept if small else of_listed(kept, listed, broadcast_rows)
+
+
+def of_listed(days: DataFrame, listed: DataFrame, broadcast_rows: int = ACCOUNT_BROADCAST_ROWS) -> DataFrame:
+    """The rows of a kept table whose address is listed; the list holds almost all of its addresses."""
+    found = written(days.select("address").distinct(), "ledger-addresses")      # else the join would come first, over all rows
+    foreign = written(found.join(listed, "address", "left_anti"), "ledger-foreign")
+    n = foreign.count()
+    if not n:
+        return days
+    return days.join(F.broadcast(foreign) if n <= broadcast_rows else foreign, "address", "left_anti")
 
 
 def _avg(total: str, n: str, unit: float) -> Column:
@@ -148,4 +168,5 @@ def window_minutes(days: DataFrame, bounds: DataFrame) -> DataFrame:
     """Minute bins (address, day, m, cnt, t0, t1) of the days inside their account's window."""
     spans = bounds.select(F.col("address").alias("_a"), F.to_date("activity_start_ts").alias("_lo"), F.to_date("activity_end_ts").alias("_hi"))
     inside = (F.col("address") == F.col("_a")) & F.col("day").between(F.col("_lo"), F.col("_hi"))
-    return days.where("kind = 'm'").select("address", "day", "m", F.col("n_s").alias("cnt"), "t0", "t1").join(spans, inside, "left_semi")
+    return days.where("kind = 'm'").select("address", "day", "m", F.col("n_s").alias("cnt"), "t0", "t1") \
+        .join(spans.hint("shuffle_hash"), inside, "left_semi")          # the minutes pass by, unsorted

@@ -106,3 +106,32 @@ def test_each_ledger_is_scanned_once_and_shuffled_once(spark):
         assert final.count("Exchange hashpartitioning") < 17
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_foreign_rows_are_left_out_of_the_kept_table(spark):
+    days = spark.createDataFrame([("0xa1", 1), ("0xb", 2), ("0xa2", 3), ("0xb", 4)], "address string, n int")
+    for listed, want in ((["0xa1", "0xa2"], [1, 3]), (["0xa1", "0xa2", "0xb"], [1, 2, 3, 4]), ([], [])):
+        mine = spark.createDataFrame([(x,) for x in listed], "address string")
+        for rows_ in (10, 0):
+            assert sorted(r["n"] for r in L.of_listed(days, mine, rows_).collect()) == want
+
+
+def test_kept_rows_are_written_unsorted_and_not_dealt_again(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L, "written", lambda df, name, *by: (seen.append((name, df._jdf.queryExecution().executedPlan().toString(),
+                        spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))), df)[1])
+    L.ledger_days(*normal(spark, n=200), accounts(spark), broadcast_rows=0)
+    name, plan, writers = seen[0]
+    assert name == "ledger-days" and int(writers) >= 4
+    assert "LeftSemi" not in plan and "Sort " not in plan
+
+
+def test_days_of_sorted_accounts_and_minutes_sorted_once(spark):
+    at = T(2024, 1, 1)
+    bounds = spark.createDataFrame([(f"0xa{k * 7 % 50:02d}", 0, "d", 0, at, at + dt.timedelta(3)) for k in range(50)],
+                                   "address string, is_scam int, description string, is_contract int, activity_start_ts timestamp, activity_end_ts timestamp")
+    for part in D.d_calendar_labels(bounds).select("address", "day").rdd.glom().collect():
+        assert [tuple(r) for r in part] == sorted(tuple(r) for r in part)
+    bins = spark.createDataFrame([("0xa1", at.date(), at, 1, at, at)], "address string, day date, m timestamp, cnt long, t0 timestamp, t1 timestamp")
+    plan = D._day_stats(bins)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Sort [") == 1
