@@ -34,6 +34,8 @@ from hopweave.llm.textops import mix64, slices, word_hashes, words_of
 UND = "und"
 HASH_BITS = 14
 ORDERS = (1, 2, 3)
+#: Bytes of text handled at once; the n-gram arrays of a slice are up to a hundred times that.
+SLICE_BYTES = 512 << 10
 #: More languages than this are refused: the count table must stay small.
 MAX_LANGUAGES = 512
 #: Up to this many languages the code is exhaustive (2^(L-1) - 1 bits).
@@ -103,7 +105,7 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         total = np.zeros((0, 1 << HASH_BITS))
         for b in batches:
             langs = b.column("lang").to_pylist()
-            for s in slices(b.column("text")):
+            for s in slices(b.column("text"), SLICE_BYTES):
                 start, end, inverse, first = _word_types(s)
                 if not len(start):
                     continue
@@ -200,7 +202,7 @@ def identify(docs: DataFrame, model: EcocModel, text_col: str = "text", keep=("d
         for b in batches:
             letters = b.column("__letters").to_numpy(zero_copy_only=False)
             pred, share, unsure = [], [], []
-            for s in slices(b.column(source)):
+            for s in slices(b.column(source), SLICE_BYTES):
                 ok = letters[s.lo:s.hi]
                 sums, sizes = np.zeros((s.rows, bits)), np.zeros(s.rows)
                 start, end, inverse, first = _word_types(s)

@@ -140,3 +140,22 @@ def test_language_model_edges(spark):
     assert all(abs(r["base_score"]) < 1e-6 and abs(r["score"]) < 1e-6 for r in rows)
     model, counts = class_lm.fit(docs)
     assert class_lm.score(frame(spark, []), model, counts).count() == 0
+
+
+def test_language_slices_bound_the_work_arrays():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from hopweave.llm import language_id as li
+    rng = np.random.default_rng(5)
+    words = ["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(60_000)]
+    column = pa.array([" ".join(rng.choice(words, 2000)) for _ in range(300)])
+    li.word_hashes(s := next(li.slices(column, li.SLICE_BYTES)), li.words_of(s))     # powers are kept
+    tracemalloc.start()
+    for s in li.slices(column, li.SLICE_BYTES):
+        li._type_ngrams(s.data, *li._word_types(s)[:2])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
