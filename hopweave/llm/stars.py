@@ -1,20 +1,22 @@
-"""Links inside groups of candidate sets, without pairing a group's members with one another.
-
-A group (all entries of a key) is a star: every member is verified against one centre, a row
-per member whatever the group's size.  What is linked is connected.  Members of a star
-that are not connected with their centre may still link with another member; both are then
-known by their differences from the centre:
-
-* Tokens in which all open members of a star differ from the centre are set aside; member x is
-  left with d(x) differences.  Members x and y differ in d(x) + d(y) - 2 o(x, y) tokens, o: the
-  differences they share.  They link when that is at most H(n(x) + n(y)).
-* Pairs that link even with o = 0 are told by (d, n) alone: members of equal (d, n) are one
-  profile, and profiles are connected through one member each.
-* All others share a difference among the first d - o + 1 of both (in one order, rarest first;
-  a token no other open member differs in takes a place but meets nobody).  How many places a
-  member needs follows from the least o that any partner asks for, and a meeting counts
-  only within the places that this pair needs.  Pairs so found are verified by the
-  differences they share.
+"""Links inside groups of candidate sets, without writing out a group's pairs.
+
+A group (all entries of a key) is a star around one centre; stars with the same centre are one.
+What is linked is connected, in three steps:
+
+* Every member is verified against the centre of its largest star: a pair per member.  A star
+  all of whose members are connected by then needs nothing more.
+* In the other stars members of different components are compared in pieces of bounded size.
+  Of the pairs whose marks allow a link, first only the closest ones that would connect the
+  star's components are verified,
+* then, between components that are still apart, all of them.
+
+A mark holds, for every cell of a hashed universe, whether the set has an odd number of tokens
+in it.  Cells in which two marks differ hold a difference each, so their number never exceeds
+the differences of the sets: pairs above ``differ`` cannot link.  Marks are a small part of the
+tokens, and only pairs that they allow are verified on whole sets.
+
+Large stars are dealt anew first, by other hashes and among their members only: sets that met by
+chance part, and linked ones meet again.
 
 Sets are (class, n, alone, tokens): n distinct tokens, ``alone`` of them known to be in no other
 set and left out of ``tokens`` (0 if nothing is known).
@@ -26,15 +28,23 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hopweave.functions.common import sized_broadcast
 from hopweave.llm.common import stage
 from hopweave.llm.components import components
+from hopweave.llm.textops import mix64, seed_of
 
-
-#: Pairs whose differences are written out at once.
-SLICE_ROWS = 512
+#: Members of a star that are compared with one another in one group.
+PIECE_MEMBERS = 512
+#: Open members from which a star is dealt anew.
+LARGE_STAR = 64
+#: Cells of a mark for each difference that linked sets may have: of as many differences about
+#: one in this number goes unseen.
+CELLS = 16
+#: Classes that are sent to every executor to pick their sets.
+BROADCAST_ROWS = 100_000
 
 
 def differ(r: int, s: int, percent: int) -> int:
@@ -58,196 +68,201 @@ def _stars(entries: DataFrame) -> DataFrame:
     return entries.join(centre, "key").where("class <> centre").select("centre", F.col("class").alias("member")).distinct()
 
 
-_PAIR = ["centre", "member", "c_n", "c_alone", "n", "alone"]
-
-
-def _distances(batches):
-    """Differences of centre and member sets (both reduced to shingles that repeat)."""
-    for b in batches:
-        apart = []
-        lone = b.column("alone").to_numpy() + b.column("c_alone").to_numpy()
-        for x, y in zip(b.column("c_tokens"), b.column("tokens"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            apart.append(len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True)))
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in _PAIR), pa.array(np.array(apart, np.int64) + lone)], names=[*_PAIR, "apart"])
-
-
-def _verify(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(centre, member, c_alone, n, alone, apart, linked) of every star pair."""
-    centres = sets.select(F.col("class").alias("centre"), F.col("n").alias("c_n"), F.col("alone").alias("c_alone"), F.col("tokens").alias("c_tokens"))
-    pairs = stars.join(centres, "centre").join(sets.withColumnRenamed("class", "member"), "member") \
-        .select(*_PAIR, "c_tokens", "tokens")
-    done = pairs.mapInArrow(_distances, ", ".join(f"{c} long" for c in [*_PAIR, "apart"]))
-    common = (F.col("n") + F.col("c_n") - F.col("apart")) / 2
-    union = (F.col("n") + F.col("c_n") + F.col("apart")) / 2
-    return done.withColumn("linked", 100 * common >= percent * union)
-
-
-def _most_apart(total, percent: int):
-    """Column form of ``most_apart`` for sizes that add up to at most ``total``."""
-    bound = lambda t: t - 2 * F.ceil(percent * t / F.lit(100 + percent))
-    return F.greatest(bound(total), bound(total - 1))
-
-
-def _bound(total, percent: int):
-    """H: the most tokens in which linked sets differ whose sizes add up to ``total``."""
-    return total - 2 * F.ceil(percent * total / F.lit(100 + percent))
-
-
-def _open_members(tested: DataFrame, percent: int) -> DataFrame:
-    """Members of stars that may still link with another member of the star.
-
-    Of the ``apart`` differences of a member from the centre, ``alone`` are its own; at most
-    the others are common with another member's.  So members x and y differ in at least
-    ``x.apart + y.apart - 2 min(x.apart - x.alone, y.apart - y.alone)``.
-    """
-    far, mark = ~F.col("linked"), F.col("apart") - 2 * F.col("shared")
-    rows = tested.withColumn("shared", F.col("apart") - F.col("alone"))
-    ends = {"_a": F.min("apart"), "_b": F.min(mark), "_n": F.max("n")}
-    of_far = {"_a_far": F.min(F.when(far, F.col("apart"))), "_b_far": F.min(F.when(far, mark)), "_n_far": F.max(F.when(far, F.col("n")))}
-    star = rows.groupBy("centre").agg(F.count(F.lit(1)).alias("_size"), *[v.alias(k) for k, v in {**ends, **of_far}.items()])
-    # one of two members that matter is far; a star without far members is done
-    rows = rows.join(star.where("_size > 1 and _n_far is not null"), "centre").withColumns({k: F.when(far, F.col(k)).otherwise(F.col(f"{k}_far")) for k in ends})
-    total = F.col("n") + F.col("_n")
-    rows = rows.withColumn("reach", F.greatest(_bound(total, percent), _bound(total - 1, percent))) \
-        .where(F.col("apart") + F.greatest(F.col("_a") - 2 * F.col("shared"), F.col("_b")) <= F.col("reach"))
-    # a star matters only while it has a member not connected with its centre, and another one
-    alive = rows.groupBy("centre").agg(F.count(F.lit(1)).alias("open"), F.max((~F.col("linked")).cast("int")).alias("_far")) \
-        .where("open > 1 and _far = 1").select("centre", "open")
-    return rows.join(alive, "centre").select("centre", "member", "root", "c_alone", "n", "alone", "apart", "linked", "open")
-
-
-def _differences(batches):
-    """(centre, member, open, token): tokens in one of the two sets only."""
-    for b in (whole.slice(lo, SLICE_ROWS) for whole in batches for lo in range(0, whole.num_rows, SLICE_ROWS)):
-        tokens, owner = [], []
-        for k, (x, y) in enumerate(zip(b.column("c_tokens"), b.column("tokens"), strict=True)):
-            t = np.setxor1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True).view(np.int64)
-            tokens.append(t)
-            owner.append(np.full(len(t), k))
-        at = pa.array(np.concatenate(owner) if owner else np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in ("centre", "member", "open")),
-                                          pa.array(np.concatenate(tokens) if tokens else [], pa.int64())], names=["centre", "member", "open", "token"])
-
-
-_SIDE = ("member", "root", "n", "d", "linked")
-
-
-def _other(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.select(*keys, *[F.col(c).alias(f"o_{c}") for c in rows.columns if c not in keys])
-
-
-def _needed(percent: int):
-    """The differences two members (plain and ``o_`` columns) must share at least to link."""
-    return F.ceil((F.col("d") + F.col("o_d") - _bound(F.col("n") + F.col("o_n"), percent)) / 2)
-
-
-def _profile_links(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that connect all pairs that need not share any difference."""
-    far = ~F.col("linked")
-    profiles = rows.where((F.col("e") + F.when(far, F.col("e_all")).otherwise(F.col("e_far")) <= 0)) \
-        .groupBy("centre", "d", "n", "linked").agg(F.min("member").alias("rep"))
-    met = profiles.where(far).join(_other(profiles, "centre"), "centre").where(_needed(percent) <= 0)
-    met = stage(met.select("centre", "d", "n", "linked", "rep", "o_d", "o_n", "o_linked", "o_rep"), "profile-pairs")
-    key = ["centre", "d", "n", "linked"]
-    sides = met.select(*key, F.col("o_rep").alias("b")).unionByName(met.select(
-        "centre", F.col("o_d").alias("d"), F.col("o_n").alias("n"), F.col("o_linked").alias("linked"), F.col("rep").alias("b")))
-    one = sides.groupBy(*key).agg(F.min("b").alias("b"))
-    return met.select(F.col("rep").alias("a"), F.col("o_rep").alias("b")) \
-        .unionByName(rows.join(one, key).select(F.col("member").alias("a"), "b")).where("a <> b").distinct()
-
-
-def _left_over_links(still: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): verified links between open members of a star that are not connected yet."""
-    far = ~F.col("linked")
-    centres = sets.select(F.col("class").alias("centre"), F.col("tokens").alias("c_tokens"))
-    apart = stage(still.select("centre", "member", "open").join(centres, "centre").join(sets.select(F.col("class").alias("member"), "tokens"), "member")
-                  .mapInArrow(_differences, "centre long, member long, open long, token long"), "differences", release=True)
-    often = apart.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("often"), F.max("open").alias("open"))
-    often = stage(often.where("often > 1"), "difference-counts")
-    everywhere = often.where("often = open").groupBy("centre").agg(F.count(F.lit(1)).alias("_all"))
-    # d: differences not common to all; e: d less what a partner's size allows for
-    rows = still.join(everywhere, "centre", "left").withColumn("d", F.col("apart") - F.col("c_alone") - F.coalesce("_all", F.lit(0)))
-    rows = rows.withColumn("e", F.col("d") - F.col("n") * ((100 - percent) / (100 + percent)))
-    least = rows.groupBy("centre").agg(F.min("e").alias("e_all"), F.min(F.when(far, F.col("e"))).alias("e_far"))
-    rows = stage(rows.join(least, "centre").select("centre", *_SIDE, "e", "e_all", "e_far"), "left-over")
-    links = _profile_links(rows, percent)
-
-    # a member's differences in order, those no other member shares first; its first d - o + 1
-    # places, o: the least any partner asks for
-    common = apart.drop("open").join(often.where("often < open").drop("open"), ["centre", "token"])
-    own = Window.partitionBy("centre", "member")                                                       # a set's tokens
-    placed = common.withColumn("place", F.row_number().over(own.orderBy("often", "token"))).withColumn("_m", F.count(F.lit(1)).over(own))
-    asks = F.greatest(F.ceil((F.col("e") + F.when(far, F.col("e_all")).otherwise(F.col("e_far"))) / 2 - 1e-6), F.lit(1))
-    placed = placed.join(rows, ["centre", "member"]).withColumn("place", F.col("place") + F.col("d") - F.col("_m"))
-    keys = placed.where(F.col("place") <= F.col("d") - asks + 1).select("centre", "token", "place", *_SIDE)
-    keys = stage(keys, "difference-keys")
-    need = F.greatest(_needed(percent), F.lit(1))
-    pairs = keys.where(far).join(_other(keys, "centre", "token"), ["centre", "token"]) \
-        .where((F.col("root") != F.col("o_root")) & (F.col("o_linked") | (F.col("member") < F.col("o_member")))
-               & (F.col("place") <= F.col("d") - need + 1) & (F.col("o_place") <= F.col("o_d") - need + 1)) \
-        .select("centre", "member", "o_member", "n", "o_n", "d", "o_d").dropDuplicates(["centre", "member", "o_member"])
-    pairs = stage(pairs, "left-over-pairs")
-    wanted = pairs.select("centre", "member").unionByName(pairs.select("centre", F.col("o_member").alias("member"))).distinct()
-    shared = common.join(wanted, ["centre", "member"], "left_semi") \
-        .groupBy("centre", "member").agg(F.collect_list("token").alias("tokens"))                      # at most a set's tokens
-    met = pairs.join(shared, ["centre", "member"]).join(_other(shared, "centre"), ["centre", "o_member"])
-    same = F.size(F.array_intersect("tokens", "o_tokens"))
-    linked = met.where(same >= _needed(percent)).select(F.col("member").alias("a"), F.col("o_member").alias("b"))
-    return links.unionByName(linked)
-
-
-def _roots_of(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs with the components of centre and member: ``root`` (the member's) and ``linked``."""
-    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-    return pairs.join(of("centre"), "centre", "left").join(of("member"), "member", "left") \
-        .withColumn("root", F.coalesce("member_root", "member")).withColumn("linked", F.coalesce("centre_root", "centre") == F.col("root")) \
-        .drop("centre_root", "member_root")
-
-
-def links_of_entries(entries: DataFrame, sets: DataFrame, percent: int, again: Callable[[DataFrame, int], DataFrame] | None = None,
-                     known: DataFrame | None = None, level: int = 0) -> DataFrame:
+# -- exact verification ----------------------------------------------------------------------
+
+def _linked(percent: int):
+    """Pairs whose sets link (both reduced to shingles that repeat)."""
+    def linked(batches):
+        for b in batches:
+            n = b.column("a_n").to_numpy() + b.column("b_n").to_numpy()
+            lone = b.column("a_alone").to_numpy() + b.column("b_alone").to_numpy()
+            apart = np.zeros(b.num_rows, np.int64)
+            for k, (x, y) in enumerate(zip(b.column("a_tokens"), b.column("b_tokens"), strict=True)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                apart[k] = len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True))
+            apart += lone
+            at = pa.array(np.flatnonzero(100 * (n - apart) >= percent * (n + apart)))
+            yield pa.RecordBatch.from_arrays([b.column(c).take(at) for c in ("a", "b")], names=["a", "b"])
+    return linked
+
+
+def _sides(pairs: DataFrame, sets: DataFrame, data: str) -> DataFrame:
+    """Pairs with n, alone and ``data`` of both sets.  Both sides read one shuffle of the sets."""
+    side = lambda s: sets.select(F.col("class").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "alone", data)])
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs (a written table) that link."""
+    classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    some = sets.join(sized_broadcast(classes, BROADCAST_ROWS), "class", "left_semi")
+    return _sides(pairs, some, "tokens").mapInArrow(_linked(percent), "a long, b long")
+
+
+# -- marks -----------------------------------------------------------------------------------
+
+def mark_of(tokens: np.ndarray, n: int, percent: int) -> bytes:
+    """The parity of a set's tokens in each cell; twice the cells, the same cells cut in two."""
+    reach = most_apart(2 * n, n + n * 100 // percent, percent)
+    size = 1 << max(6, (CELLS * reach - 1).bit_length())
+    odd = np.bincount((mix64(tokens, seed_of(77)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _marks(percent: int):
+    def marks(batches):
+        for b in batches:
+            data = [mark_of(np.frombuffer(t.as_buffer(), np.uint64), n, percent) for t, n in zip(b.column("tokens"), b.column("n").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("class"), b.column("n"), b.column("alone"), pa.array(data, pa.binary())],
+                                             names=["class", "n", "alone", "mark"])
+    return marks
+
+
+def _folded(marks: list[bytes]) -> np.ndarray:
+    """Marks as rows of words, all cut to the fewest cells among them."""
+    least = min(map(len, marks))
+    out = np.zeros((len(marks), least // 8), np.uint64)
+    for k, m in enumerate(marks):
+        out[k] = np.bitwise_xor.reduce(np.frombuffer(m, np.uint64).reshape(-1, least // 8), axis=0)
+    return out
+
+
+def near_pairs(marks: list[bytes], n: np.ndarray, alone: np.ndarray, root: np.ndarray, part: np.ndarray, percent: int):
+    """(x, y, differences seen) of rows of different components that may link by their marks;
+    rows of two parts are compared across the parts only."""
+    words, xs, ys, seen = _folded(marks), [], [], []
+    cross = len(np.unique(part)) > 1
+    for x in range(len(n) - 1):
+        y = np.arange(x + 1, len(n))
+        y = y[(root[y] != root[x]) & ((part[y] != part[x]) if cross else True)]
+        if not len(y):
+            continue
+        apart = np.bitwise_count(words[y] ^ words[x]).sum(1, dtype=np.int64) + alone[y] + alone[x]
+        total = n[y] + n[x]
+        ok = np.maximum(apart, np.abs(n[y] - n[x])) <= total - 2 * -(-percent * total // (100 + percent))
+        xs.append(np.full(int(ok.sum()), x))
+        ys.append(y[ok])
+        seen.append(apart[ok])
+    cat = lambda v: np.concatenate(v) if v else np.zeros(0, np.int64)
+    return cat(xs), cat(ys), cat(seen)
+
+
+def _allowed(percent: int):
+    """Pairs that may link by their marks."""
+    def allowed(batches):
+        for b in batches:
+            n, alone = (np.stack([b.column(f"a_{c}").to_numpy(), b.column(f"b_{c}").to_numpy()], 1) for c in ("n", "alone"))
+            two, ids = np.arange(2), zip(b.column("a_mark").to_pylist(), b.column("b_mark").to_pylist(), strict=True)
+            ok = [len(near_pairs(list(m), n[k], alone[k], two, two, percent)[0]) > 0 for k, m in enumerate(ids)]
+            at = pa.array(np.flatnonzero(ok))
+            yield pa.RecordBatch.from_arrays([b.column(c).take(at) for c in ("a", "b")], names=["a", "b"])
+    return allowed
+
+
+def _closest(x: np.ndarray, y: np.ndarray, seen: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Positions of the closest pairs that connect all components the pairs connect."""
+    above, out = {}, []
+
+    def top(r):
+        while above.get(r, r) != r:
+            above[r] = above.get(above[r], above[r])
+            r = above[r]
+        return r
+
+    for k in np.argsort(seen, kind="stable").tolist():
+        a, b = top(int(root[x[k]])), top(int(root[y[k]]))
+        if a != b:
+            above[a] = b
+            out.append(k)
+    return np.array(out, np.int64)
+
+
+def _candidates(percent: int, every: bool):
+    """(a, b): pairs of one piece of a star that may link; the closest ones, or every one."""
+    def candidates(t):
+        member, root, n, alone, part = (t.column(c).to_numpy() for c in ("member", "root", "n", "alone", "part"))
+        x, y, seen = near_pairs(t.column("mark").to_pylist(), n, alone, root, part, percent)
+        if not every:
+            at = _closest(x, y, seen, root)
+            x, y = x[at], y[at]
+        a, b = member[x], member[y]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    return candidates
+
+
+def _open_members(stars: DataFrame, roots: DataFrame) -> DataFrame:
+    """(centre, member, root, open) of stars that hold more than one component; the centre is a member."""
+    members = stars.unionByName(stars.select("centre", F.col("centre").alias("member")).distinct())
+    rows = members.join(roots.select(F.col("node").alias("member"), "root"), "member", "left").withColumn("root", F.coalesce("root", "member"))
+    star = rows.groupBy("centre").agg(F.count(F.lit(1)).alias("open"), F.min("root").alias("_a"), F.max("root").alias("_z"))
+    return rows.join(star.where("_a < _z").select("centre", "open"), "centre").select("centre", "member", "root", "open")
+
+
+def _near(rows: DataFrame, marks: DataFrame, percent: int, every: bool) -> DataFrame:
+    """(a, b): pairs of open members of a star that may link; every two parts of a star meet once."""
+    parts = rows.withColumn("_parts", F.ceil(F.col("open") / PIECE_MEMBERS).cast("int")) \
+        .withColumn("part", F.pmod(F.xxhash64("member"), F.col("_parts")).cast("int"))
+    pieces = parts.join(marks.withColumnRenamed("class", "member"), "member") \
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))) \
+        .withColumn("i", F.least("part", "_other")).withColumn("j", F.greatest("part", "_other"))
+    return pieces.select("centre", "i", "j", "member", "root", "n", "alone", "mark", "part") \
+        .groupBy("centre", "i", "j").applyInArrow(_candidates(percent, every), "a long, b long").distinct()
+
+
+def _as_links(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _connected(stars: DataFrame, known: DataFrame, sets: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """``known`` (node, root) and what the links between open members of the stars connect."""
+    tested = None
+    for every in (False, True):
+        rows = stage(_open_members(stars, known), "open-members")
+        pairs = _near(rows, marks, percent, every)
+        pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs", release=True)
+        count = pairs.count()
+        if not count:
+            break
+        links = stage(_verified(pairs, sets, percent), "near-links", release=True)
+        found = links.count()
+        if found:
+            known = stage(components(_as_links(known).unionByName(links)), "components")
+        if found == count:      # the closest pairs connect all that the marks allow to
+            break
+        tested = pairs
+    return known
+
+
+def links_of_entries(entries: DataFrame, sets: DataFrame, percent: int,
+                     again: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """(a, b): pairs that connect exactly what the links between entries of a key connect.
 
     ``entries``: (key, class, alone), of a key the one with the least (alone, class) is the centre;
-    ``sets``: one row per class, in a written table; ``known``: (node, root), the components
-    of links that are verified already.
-
-    Every member is verified against the centre with the most members first, unless links are
-    known.  A star all of whose members are connected by then needs nothing more; the other
-    stars are verified whole.  Of what is found the components are handed on, not the links.
-
-    ``again(sets, level)`` gives new entries, by other hashes, in which linked sets meet as
-    well.  Sets that met a centre by chance are unlike it in everything, and their differences
-    from it would be both sets whole; so open members are dealt anew among themselves while at
-    most half of the sets are open, and only what is open after that is told by differences.
+    ``sets``: one row per class, in a written table.  ``again(sets, level)`` gives new entries, by
+    other hashes, in which linked sets meet as well: members of large stars are dealt anew
+    among themselves while at most half of the sets are in such stars.
     """
-    stars = stage(_stars(entries), "stars", release=True)
-    link = lambda df: df.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b"))
-    as_links = lambda df: df.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    first = None
-    if known is None:
-        sizes = stars.groupBy("centre").agg(F.count(F.lit(1)).alias("_size"))
-        best = stars.join(sizes, "centre").groupBy("member").agg(F.max(F.struct("_size", "centre"))["centre"].alias("centre"))
-        first = stage(_verify(best.select("centre", "member"), sets, percent), "best-pairs", release=True)
-        known = stage(components(link(first)), "best-components")
-    open_stars = _roots_of(stars, known).where(~F.col("linked")).select("centre").distinct()
-    rest = stars.join(open_stars, "centre", "left_semi")
-    if first is None:
-        tested = _verify(rest, sets, percent)
-    else:
-        rest = rest.join(first.select("centre", "member"), ["centre", "member"], "left_anti")
-        tested = _verify(rest, sets, percent).unionByName(first.join(open_stars, "centre", "left_semi"))
-    tested = stage(tested, "star-pairs", release=True)
-    # what these links connect need not be compared any more
-    roots = stage(components(as_links(known).unionByName(link(tested))), "star-components")
-    joined = _roots_of(tested.drop("linked"), roots)
-    still = stage(_open_members(joined, percent), "open-members")
-    links = as_links(roots).where("a <> b")
-    if still.isEmpty():
-        return links
-    if again is not None:
-        fewer = stage(sets.join(still.select(F.col("member").alias("class")).distinct(), "class", "left_semi"), "open-sets")
-        if 2 * fewer.count() <= sets.count():
-            return links_of_entries(again(fewer, level + 1), fewer, percent, again, roots, level + 1)
-    return links.unionByName(stage(_left_over_links(still, sets, percent), "left-over-links"))
+    marks = stage(sets.mapInArrow(_marks(percent), "class long, n long, alone long, mark binary"), "marks")
+    known, dealt, level = None, sets, 0
+    while True:
+        stars = stage(_stars(entries), "stars", release=True)
+        if known is None:
+            sizes = stars.groupBy("centre").agg(F.count(F.lit(1)).alias("_size"))
+            best = stars.join(sizes, "centre").groupBy("member").agg(F.max(F.struct("_size", "centre"))["centre"].alias("centre"))
+            best = _sides(best.select(F.col("centre").alias("a"), F.col("member").alias("b")), marks, "mark")
+            best = stage(best.mapInArrow(_allowed(percent), "a long, b long"), "best-pairs")
+            known = stage(components(stage(_verified(best, sets, percent), "best-links", release=True)), "components")
+        fewer = None
+        if again is not None:
+            large = stage(_open_members(stars, known).where(F.col("open") > LARGE_STAR).select("centre", F.col("member").alias("class")), "large-stars")
+            if not large.isEmpty():
+                fewer = stage(dealt.join(large.select("class").distinct(), "class", "left_semi"), "open-sets")
+                if 2 * fewer.count() <= dealt.count():
+                    stars = stars.join(large.select("centre").distinct(), "centre", "left_anti")
+                else:
+                    fewer = None
+        known = _connected(stars, known, sets, marks, percent)
+        if fewer is None:
+            return _as_links(known).where("a <> b")
+        dealt, level = fewer, level + 1
+        entries = again(fewer, level)
