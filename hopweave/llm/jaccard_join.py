@@ -46,7 +46,7 @@ from hopweave.llm.block_sketch import REPLY, SEGMENT_KEYS, SKETCH, estimated_rep
 from hopweave.llm.common import pieces_for, source_bytes, stage
 from hopweave.llm.components import components
 from hopweave.llm.stars import links_of_entries, most_apart
-from hopweave.llm.textops import mix64, ngram_hashes, seed_of, slices, word_hashes, words_of
+from hopweave.llm.textops import giving_back, mix64, ngram_hashes, seed_of, slices, word_hashes, words_of
 
 BLOCK_BYTES = 12 << 20
 #: Shingles per sketch segment: 16 counters a shingle and row, so that nearly all shingles
@@ -231,9 +231,10 @@ def _members(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int,
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("t"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc_id", "t"), F.lit(blocks)).cast("int"))
     grouped = rows.groupBy("block")
-    replies = grouped.applyInArrow(_sketch(segments, n), SKETCH).groupBy("segment").applyInArrow(merge_sketches, REPLY)
+    replies = grouped.applyInArrow(giving_back(_sketch(segments, n)), SKETCH) \
+        .groupBy("segment").applyInArrow(giving_back(merge_sketches), REPLY)
     found = stage(grouped.cogroup(replies.groupBy("block"))
-                  .applyInArrow(_sets(segments, n, percent), "doc_id long, t long, n long, class long, alone long, tokens binary"), "sets", release=True)
+                  .applyInArrow(giving_back(_sets(segments, n, percent), 2), "doc_id long, t long, n long, class long, alone long, tokens binary"), "sets", release=True)
     sets = stage(found.where(F.col("tokens").isNotNull()).groupBy("class").agg(
         F.min(F.struct("n", "alone", "tokens")).alias("s")).select("class", "s.n", "s.alone", "s.tokens"), "class-sets")
     links = links_of(sets, percent)

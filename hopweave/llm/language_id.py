@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hopweave.llm.common import stage
-from hopweave.llm.textops import mix64, slices, word_hashes, words_of
+from hopweave.llm.textops import give_back, mix64, slices, word_hashes, words_of
 
 UND = "und"
 HASH_BITS = 14
@@ -117,6 +117,7 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                 for k in np.unique(own):
                     tf = np.bincount(inverse[lang_of_word == k], minlength=len(start))
                     total[k] += np.bincount(buckets, weights=tf[types], minlength=1 << HASH_BITS)
+            give_back()
         for name, k in names.items():
             at = np.flatnonzero(total[k])
             yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at), pa.string()), "bucket": pa.array(at, pa.int32()),
@@ -228,5 +229,6 @@ def identify(docs: DataFrame, model: EcocModel, text_col: str = "text", keep=("d
             cat = lambda x, kind: pa.array(np.concatenate(x) if x else [], kind)
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [cat(pred, pa.string()), cat(share, pa.float64()), cat(unsure, pa.bool_())],
                                              names=[*keep, *out])
+            give_back()
 
     return rows.mapInArrow(score, schema)

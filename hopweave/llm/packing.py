@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopweave.llm.common import pieces_for, stage
-from hopweave.llm.textops import SLICE_BYTES, slices, span_hashes
+from hopweave.llm.textops import SLICE_BYTES, give_back, slices, span_hashes
 
 CAPACITY = 2048
 #: Pieces packed together in one task, and how full a bin has to be to be final before the last round.
@@ -193,7 +193,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, id_c
 
     def cut(batches):
         for b in batches:
-            for s in slices(b.column("text"), 2 * SLICE_BYTES):
+            for s in slices(b.column("text"), SLICE_BYTES):
                 ids, begin = token_ids(s, tokenizer_path, ranks_path)
                 owner, piece, start, length, crc = [], [], [], [], []
                 for r in range(s.rows):
@@ -209,6 +209,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, id_c
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                give_back()
 
     return rows.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 

@@ -11,7 +11,8 @@ through a finalising mixer; n-gram hashes are polynomials over word hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,6 +56,33 @@ class _Powers:
 _BYTE_POWERS, _WORD_POWERS = _Powers(_P), _Powers(_Q)
 
 
+def give_back() -> None:
+    """Return memory that finished work has freed to the system.
+
+    Python workers outlive tasks and stages, and the C library keeps what they free: without
+    this each holds the most that any stage before needed.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(work: Callable, tables: int = 1) -> Callable:
+    """A function of one or two Arrow tables that gives back its memory after each call."""
+    def one(t):
+        out = work(t)
+        give_back()
+        return out
+
+    def two(t, u):
+        out = work(t, u)
+        give_back()
+        return out
+
+    return one if tables == 1 else two
+
+
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """Bijective finaliser of 64-bit values (xor-shift-multiply)."""
     x = x ^ U64(seed & 0xFFFFFFFFFFFFFFFF)
