@@ -18,11 +18,10 @@ percent))`` shingles, which drives everything:
    least estimated cost (entries plus chance meetings).  A text may leave out as many
    tickets as it has ``alone`` shingles - each of those already uses up a difference - and
    leaves out its costliest segments, empty ones first.
-4. Stars (``stars``).  The members of a segment key are not paired with one another: each is
-   verified against the key's centre, the one with the fewest ``alone`` shingles.  Members
-   left over are dealt to segments anew, by other hashes and among themselves: sets that met
-   by chance part, and linked ones meet again.  What still is open then is paired only where
-   the differences shared from the centre ask for it.
+4. Stars (``stars``).  The members of a segment key are verified against the key's centre, the
+   one with the fewest ``alone`` shingles.  Members left over are compared by marks, and only
+   pairs that their marks allow are verified; large stars are dealt to segments anew first, by
+   other hashes and among themselves: sets that met by chance part, linked ones meet again.
 5. Components of the verified links; a text's component is its smallest linked id.
 
 Sets are compared by 64-bit shingle hashes; a class is known by a 64-bit hash of its set.
