@@ -26,8 +26,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hopweave.functions.common import (WEI_PER_ETH, WEI_PER_GWEI, as_of_ts, end_of_day, hash_shard, sized_broadcast,
-                                       utc_ts, whole_hours, whole_minutes)
+from hopweave.functions.common import (WEI_PER_ETH, WEI_PER_GWEI, as_of_ts, end_of_day, hash_shard, utc_ts, whole_hours,
+                                       whole_minutes)
+from hopweave.functions.membership import probable_members
 from hopweave.operators import ledger_pass, parts
 from hopweave.session import written
 
@@ -238,15 +239,22 @@ def d_burst_dense(events: DataFrame, calendar: DataFrame | None = None, burst_mi
     """Reference form of the burst: dense minute grid, zero-filled, rolling row frame.
 
     Kept for verification of the sparse range-frame form; it materialises every
-    minute between a day's first and last event.
+    minute between a day's first and last event, as an array of at most 1,440 counts in the
+    day's row: the minutes of the grid are neither joined, shuffled nor sorted.
     """
-    bins = minute_bins(events, calendar).select(*KEYS, "m", "cnt")
-    bounds = bins.groupBy(*KEYS).agg(F.min("m").alias("m0"), F.max("m").alias("m1"))
-    grid = bounds.select(*KEYS, F.explode(F.sequence("m0", "m1", F.expr("INTERVAL 1 MINUTE"))).alias("m"))
-    filled = grid.join(bins, KEYS + ["m"], "left").select(*KEYS, "m", F.coalesce("cnt", F.lit(0)).alias("cnt"))
-    w = Window.partitionBy(*KEYS).orderBy("m").rowsBetween(-(burst_minutes - 1), 0)
-    return (filled.select(*KEYS, F.sum("cnt").over(w).alias("r"))
-            .groupBy(*KEYS).agg(F.max("r").cast("bigint").alias("burst_max_tx_5m")))
+    minute = (F.unix_seconds("m") / 60).cast("bigint")
+    bins = minute_bins(events, calendar).where(F.col("m").isNotNull()).select(*KEYS, F.struct(minute.alias("m"), "cnt").alias("bin"))
+    days = bins.groupBy(*KEYS).agg(F.sort_array(F.collect_list("bin")).alias("bins"))
+    zero = F.lit(0).cast("bigint")
+
+    def with_idle(b, i):
+        """A bin's count and the zeros up to the next bin."""
+        idle = F.coalesce(F.get("bins", i + 1)["m"] - b["m"] - 1, zero)
+        return F.concat(F.array(b["cnt"]), F.array_repeat(zero, idle.cast("int")))
+
+    grid = days.select(*KEYS, F.flatten(F.transform("bins", with_idle)).alias("grid"))
+    rolled = F.transform("grid", lambda cnt, i: sum((F.coalesce(F.get("grid", i - back), zero) for back in range(1, burst_minutes)), cnt))
+    return grid.select(*KEYS, F.array_max(rolled).alias("burst_max_tx_5m"))
 
 
 def of_accounts(rows: DataFrame, accounts: DataFrame | None, side: str = "address") -> DataFrame:
@@ -281,6 +289,18 @@ def activity_events(txn: DataFrame, tr: DataFrame, accounts: DataFrame | None =
     return of_accounts(sent.unionByName(recv).unionByName(internal).where(F.col("ts").isNotNull()), accounts)
 
 
+def account_events(txn: DataFrame, tr: DataFrame, bounds: DataFrame, broadcast_rows: int = ACCOUNT_BROADCAST_ROWS) -> DataFrame:
+    """The events of the accounts, for steps that match them to the calendar.
+
+    A list too long to broadcast is tested by bit pages where the ledger is read (a few
+    events of other accounts pass), so no event is shuffled for it.
+    """
+    listed = bounds.select("address").where(F.col("address").isNotNull()).distinct()
+    if listed.count() <= broadcast_rows:
+        return activity_events(txn, tr, F.broadcast(listed))
+    return probable_members(activity_events(txn, tr), listed, ["address"])
+
+
 def d_activity_list(calendar: DataFrame, events: DataFrame) -> DataFrame:
     """(address, day, sorted timestamps) for every calendar day; [] when idle.
 
@@ -296,12 +316,13 @@ def minute_bins(events: DataFrame, calendar: DataFrame | None = None) -> DataFra
 
     Events are binned first (partial aggregation before the shuffle), and only
     the bins — at most 1,440 per account-day — are matched to the calendar, so a
-    hot account never sends its raw events to one partition.
+    hot account never sends its raw events to one partition.  The calendar is hashed part by
+    part: its files are small, but its days are many, so it must not be broadcast.
     """
     bins = events.groupBy("address", "day", F.date_trunc("minute", "ts").alias("m")).agg(
         F.count(F.lit(1)).alias("cnt"), F.min("ts").alias("t0"), F.max("ts").alias("t1"))
     if calendar is not None:
-        bins = bins.join(calendar.select(*KEYS), KEYS, "left_semi")
+        bins = bins.join(calendar.select(*KEYS).hint("shuffle_hash"), KEYS, "left_semi")
     return bins
 
 
@@ -487,7 +508,7 @@ def build_daily(accounts: DataFrame, tx: DataFrame, token_transfers: DataFrame,
     sent = [c for c in DAY_COLS if c not in RECV_COLS + PEER_COLS]
     some = lambda df, n, cols: df.where(F.col(n) > 0).select(*KEYS, *cols)
     later = dict(
-        events=lambda s: activity_events(txn, tr, sized_broadcast(bounds.select("address").distinct(), ACCOUNT_BROADCAST_ROWS)),
+        events=lambda s: account_events(txn, tr, bounds),
         days=lambda s: ledger_pass.ledger_days(txn, tk, tr, bounds, keep=materialize),
         transfers=lambda s: ledger_pass.transfer_days(s["days"], lu),
         held=lambda s: ledger_pass.token_days(s["days"]),
