@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hopweave.functions.common import existing, iso_week, month_label, stable_hash, utc_ts
+from hopweave.functions.common import existing, iso_week, month_label, run_days, stable_hash, utc_ts, with_day_labels
 from hopweave.operators.parts import add_missing_parts
 
 # ---- fixed values: measure columns of the series dataset ----------------------
@@ -136,18 +136,20 @@ def write_slices(edges: DataFrame, path: str, freq: str, rows_per_file: int | No
 
 
 # ---- series dataset ------------------------------------------------------------------
-def s_daily_filtered(daily: DataFrame, address_map: DataFrame) -> DataFrame:
+def s_daily_filtered(daily: DataFrame, address_map: DataFrame, until: str | None = None, day_text: bool = False) -> DataFrame:
     """Daily rows of mapped accounts only, with node id, ISO week and month; existing measures only.
 
     The map's part is hashed: days that come partitioned by the lower-cased address are neither
-    shuffled nor sorted."""
+    shuffled nor sorted.  ``until``: a column of ``daily``, whose rows then stand for the idle days up to it as well;
+    these are generated after the map was met, once per run.  ``day_text``: days as text."""
     measures = existing(daily, INT_COUNTS + ETH_NUMS)
     amap = (address_map.select(F.lower("address").alias("address"), "node_id")
             .groupBy("address").agg(F.min("node_id").alias("node_id")))
-    d = daily.select(F.lower("address").alias("address"), F.col("day").cast("date").alias("day"), *measures)
+    d = daily.select(F.lower("address").alias("address"), F.col("day").cast("date").alias("day"), *measures, *([until] if until else []))
     j = d.join(amap.hint("shuffle_hash"), "address", "inner")
-    return j.select("node_id", "address", "day", iso_week("day").alias("week"), month_label("day").alias("month"),
-                    *measures)
+    if until:
+        j = run_days(j, measures, until)
+    return with_day_labels(j, day_text).select("node_id", "address", "day", "week", "month", *measures)
 
 
 def series_aggs(df: DataFrame, from_text: bool = False, as_text: bool = True) -> list:

@@ -115,9 +115,9 @@ for _f in ("month", "week"):
     _mk(_f)
 
 
-def daily_filtered(spark, sf_dir):
-    days = fx.order_calendar(spark, sf_dir, by=F.lower("address"))
-    return w.s_daily_filtered(days, w.w_address_map(labels(spark, sf_dir)))
+def daily_filtered(spark, sf_dir, day_text=False):
+    runs = fx.order_runs(spark, sf_dir, by=F.lower("address"))
+    return w.s_daily_filtered(runs, w.w_address_map(labels(spark, sf_dir)), until="until", day_text=day_text)
 
 
 @register("s_daily_filtered", sql=CTE + "select node_id, address, cast(day as varchar) as day, week, month, normal_total_cnt, "
@@ -125,7 +125,7 @@ def daily_filtered(spark, sf_dir):
           fixtures=FX)
 def q_daily_filtered(spark, sf_dir):
     """Daily rows of mapped accounts with node id, ISO week and month."""
-    return daily_filtered(spark, sf_dir)
+    return daily_filtered(spark, sf_dir, day_text=True)
 
 
 def mapped_series(spark, sf_dir):

@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from hopweave.functions.common import iso_week, month_label
 from hopweave.operators import shrink, windows
 from hopweave.sources import fixtures as fx
 
@@ -70,3 +71,22 @@ def test_mapped_and_kept_days_are_not_sorted(spark, tmpdir_fresh):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert mapped.count() == 41
+
+
+def test_mapped_runs_equal_mapped_days(spark, tmpdir_fresh):
+    """Runs meet the map before their days are generated; labels are looked up, those of days outside the list computed."""
+    _some(spark, tmpdir_fresh)
+    far = [dt.datetime(1969, 12, 28), dt.datetime(1970, 1, 2), dt.datetime(2069, 12, 30), dt.datetime(2070, 1, 4)]
+    _orders(spark, tmpdir_fresh + "/far", [(20 + i, 5 + i // 2, "O", 3.0, d, "a") for i, d in enumerate(far)])
+    ids = spark.createDataFrame([("0xA" + str(i).zfill(39), 7 + i) for i in (1, 4, 5, 6)] + [(None, 1), ("0xa" + "1".zfill(39), 3)], "address string, node_id long")
+    low = F.lower("address")
+    for path, n in ((tmpdir_fresh, 42), (tmpdir_fresh + "/far", 12)):
+        dense = windows.s_daily_filtered(fx.order_calendar(spark, path, by=low), ids)
+        mapped = windows.s_daily_filtered(fx.order_runs(spark, path, by=low), ids, until="until")
+        plain = fx.order_calendar(spark, path).join(ids.groupBy(low.alias("address")).agg(F.min("node_id").alias("node_id")), "address") \
+            .withColumns({"week": iso_week("day"), "month": month_label("day")}).select(*dense.columns)
+        assert _sorted(mapped) == _sorted(dense) == _sorted(plain) and mapped.count() == n
+        text = windows.s_daily_filtered(fx.order_runs(spark, path, by=low), ids, until="until", day_text=True)
+        assert _sorted(text) == _sorted(plain.withColumn("day", F.col("day").cast("string")))
+    plan = mapped._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan[:plan.index("ShuffledHashJoin")]
