@@ -95,3 +95,14 @@ def test_edges_of_a_hub_meet_only_the_seeds_that_chose_their_end(spark):
     edges = G.g_e2_out(tx, l1, l2, min_wei=None)
     assert max(plan_rows(edges)) < 20_000
     assert edges.count() == 401 and edges.where("from_address = '0xhub'").distinct().count() == 1
+
+
+def test_raw_second_hop_keeps_every_neighbour(spark, tmpdir_fresh):
+    """The registered query: a seed with nine neighbours on a day has the transfers of all nine."""
+    from hopweave.plans import q_graph
+    rows = [(i, dt.datetime(2024, 1, 10, i), 2, "view", float(i), '{"k": %d}' % (100 + i)) for i in range(9)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmpdir_fresh}/events.parquet")
+    spark.createDataFrame([(2,)], "c_custkey long").write.parquet(f"{tmpdir_fresh}/customer.parquet")
+    got = q_graph.q_two_hop_raw(spark, tmpdir_fresh).collect()
+    assert {x.to_address for x in got} == {"0xa" + str(100 + i).zfill(39) for i in range(9)}
+    assert len(got) == 9 and {x.seed_addr for x in got} == {"0xa" + "2".zfill(39)}
