@@ -97,6 +97,23 @@ def test_edges_of_a_hub_meet_only_the_seeds_that_chose_their_end(spark):
     assert edges.count() == 401 and edges.where("from_address = '0xhub'").distinct().count() == 1
 
 
+
+@pytest.mark.parametrize("seeds_a_part", [1, 3, 1000])
+def test_raw_second_hop_tags_every_transfer_with_every_seed(spark, seeds_a_part):
+    """Null and repeated ends, self-transfers, repeated transfers, a neighbour that many seeds list; however many parts its seeds make."""
+    r = random.Random(seeds_a_part)
+    names = [f"0x{i}" for i in range(8)]
+    some = lambda: None if r.random() < .1 else r.choice(names[:2] if r.random() < .4 else names)
+    transfers = [(some(), some(), 1, 5) for _ in range(60)]
+    l1 = sorted({(seed, some()) for seed in names + [None] for _ in range(4)}, key=str)
+    first = spark.createDataFrame([(s, n, DAY) for s, n in l1] + [("0xother", "0x0", DAY + dt.timedelta(days=1))], "seed_addr string, neighbor_addr string, day date")
+    ledger = _ledger(spark, transfers)
+    want = [(f"h{i:05d}", seed) for i, (f, t, _, _) in enumerate(transfers) for end in (f, t) for seed, n in l1 if end is not None and n == end]
+    key = lambda rows: sorted(rows, key=str)
+    got = G.g_two_hop_raw(ledger.unionByName(ledger), first, seeds_a_part).collect()
+    assert key((x.tx_hash, x.seed_addr) for x in got) == key(want + want)
+
+
 def test_raw_second_hop_keeps_every_neighbour(spark, tmpdir_fresh):
     """The registered query: a seed with nine neighbours on a day has the transfers of all nine."""
     from hopweave.plans import q_graph
@@ -106,3 +123,15 @@ def test_raw_second_hop_keeps_every_neighbour(spark, tmpdir_fresh):
     got = q_graph.q_two_hop_raw(spark, tmpdir_fresh).collect()
     assert {x.to_address for x in got} == {"0xa" + str(100 + i).zfill(39) for i in range(9)}
     assert len(got) == 9 and {x.seed_addr for x in got} == {"0xa" + "2".zfill(39)}
+
+
+def test_stages_that_nobody_asks_for_are_not_made(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(G, "g_l2_topk", lambda *a, **b: made.append("l2"))
+    monkeypatch.setattr(G, "near_sides", lambda *a, **b: made.append("sides"))
+    tx = spark.createDataFrame([("h", "0xA", "0xB", 1, dt.datetime(2024, 1, 2), 5, 1, 1, 1, "0x")],
+                               "hash string, from_address string, to_address string, block_number long, block_timestamp timestamp, value long, "
+                               "gas_price long, receipt_gas_used long, nonce long, input string")
+    seeds = spark.createDataFrame([("0xA", dt.datetime(2024, 1, 1), None)], "address string, activity_start_ts timestamp, activity_end_ts timestamp")
+    s = G.build_graph(tx, seeds, "2024-01-31 23:59:59", k1=None)
+    assert G.g_two_hop_raw(s["txd"], s["l1"]).count() == 1 and not made
